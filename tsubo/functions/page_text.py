@@ -30,22 +30,28 @@ class _Page(HTMLParser):
         super().__init__(convert_charrefs=True)
         self.root = Element("page")
         self.open = [self.root]
+        self.silent = False  # whether the page has had an element without page text
 
     def handle_starttag(self, tag: str, attrs: list[tuple[str, str | None]]) -> None:
-        closes, parents = ENDS.get(tag, ((), ()))
-        for depth in range(len(self.open) - 1, 0, -1):
-            if not closes or self.open[depth].tag in parents:
-                break
-            if self.open[depth].tag in closes:
-                del self.open[depth:]
+        if tag in ENDS:
+            closes, parents = ENDS[tag]
+            for depth in range(len(self.open) - 1, 0, -1):
+                if self.open[depth].tag in parents:
+                    break
+                if self.open[depth].tag in closes:
+                    del self.open[depth:]
         first = {name: value or "" for name, value in reversed(attrs)}
         element = SubElement(self.open[-1], tag, first)
+        self.silent = self.silent or tag in NOT_TEXT
         if tag not in VOID:
             self.open.append(element)
 
     def handle_startendtag(self, tag: str, attrs: list[tuple[str, str | None]]) -> None:
         self.handle_starttag(tag, attrs)
 
+    def updatepos(self, i: int, j: int) -> int:
+        return j  # line numbers are not needed
+
     def handle_endtag(self, tag: str) -> None:
         for depth in range(len(self.open) - 1, 0, -1):
             if self.open[depth].tag == tag:
@@ -53,7 +59,7 @@ class _Page(HTMLParser):
                 return
 
     def handle_data(self, data: str) -> None:
-        if any(element.tag in NOT_TEXT for element in self.open):
+        if self.silent and any(element.tag in NOT_TEXT for element in self.open):
             return
         parent = self.open[-1]
         if len(parent):
@@ -72,8 +78,13 @@ def read_page(html: str | None) -> Element:
 def elements(within: Element, tag: str, *classes: str) -> Iterator[Element]:
     """Descendants with the tag and all classes, in document order."""
     for element in within.iter(tag):
-        if element is not within and set(classes) <= set(element.get("class", "").split()):
-            yield element
+        if element is within:
+            continue
+        if classes:
+            own = element.get("class", "").split()
+            if not all(c in own for c in classes):
+                continue
+        yield element
 
 
 def first(within: Element, tag: str, *classes: str) -> Element | None:

@@ -62,6 +62,18 @@ RAW_COLUMNS = [
 ]
 
 
+def _spread(pages: DataFrame) -> DataFrame:
+    """Pages that arrive in fewer partitions than there are cores are dealt out first.
+
+    Reading HTML costs far more than moving it, but a large table has more
+    partitions than cores anyway and is not moved.
+    """
+    if pages.isStreaming:
+        return pages
+    cores = pages.sparkSession.sparkContext.defaultParallelism
+    return pages.repartition(cores) if pages.rdd.getNumPartitions() < cores else pages
+
+
 def _read(pages: DataFrame, rows: Callable[[str, Element], Iterator[dict]], schema: pa.Schema, ddl: str) -> DataFrame:
     """Rows found on each page; a page with very many leaves in several batches."""
 
@@ -77,7 +89,7 @@ def _read(pages: DataFrame, rows: Callable[[str, Element], Iterator[dict]], sche
         if ready:
             yield pa.RecordBatch.from_pylist(ready, schema=schema)
 
-    return pages.select("url", "html").mapInArrow(run, ddl)
+    return _spread(pages.select("url", "html")).mapInArrow(run, ddl)
 
 
 def _unit(row: Element) -> dict:

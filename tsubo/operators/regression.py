@@ -212,19 +212,41 @@ def residuals(f: Fit, test: DataFrame, refit_on_test: bool = False) -> DataFrame
     return predicted.select(actual.alias("actual"), "predicted", (F.col("predicted") - actual).alias("residual"))
 
 
-def scores(f: Fit, split: DataFrame) -> DataFrame:
-    """R2 of the training and test rows, and of test rows scaled by themselves."""
-    train, test = split.filter(~F.col("is_test")), split.filter("is_test")
-    target = f.moments.target
+def scores(f: Fit) -> DataFrame:
+    """R2 of the training rows, the test rows, and the test rows scaled by themselves.
+
+    All three come from the moments; no row is read again.
+    """
+    m = f.moments
+    own = f.levels.select(F.col(m.category).alias("_category"), F.col("level").alias("_level"))
+    slopes, levels, constant = _refitted(f)
+    # The same line in centred units.
+    shift = constant - m.centre[m.target] + sum(slopes[v] * m.centre[v] for v in m.features)
+    refitted = levels.select(F.col(m.category).alias("_category"), "_level")
     parts = [
-        rows.agg(F.lit(name).alias("subset"), F.count(F.lit(1)).alias("n"), r2(rows, target).alias("r2"))
-        for name, rows in (
-            ("train", predict(f, train)), ("test", predict(f, test)), ("test_refitted", predict_refitted(f, test)),
-        )
-    ]
+        _score_groups(m, "train", ~F.col("is_test"), f.slopes, own, F.coalesce("_level", F.lit(f.baseline_level))),
+        _score_groups(m, "test", F.col("is_test"), f.slopes, own, F.coalesce("_level", F.lit(f.baseline_level))),
+        _score_groups(m, "test_refitted", F.col("is_test"), slopes, refitted, F.coalesce("_level", F.lit(0.0)) + F.lit(shift)),
+    ]
     return parts[0].unionByName(parts[1]).unionByName(parts[2])
 
 
+def _score_groups(
+    m: Moments, subset: str, rows: Column, slopes: dict[str, float], levels: DataFrame, level: Column
+) -> DataFrame:
+    groups = _total(m.table.filter(rows), m, [m.category]).join(levels, F.col(m.category) == F.col("_category"), "left")
+    constants = {v: F.lit(s) for v, s in slopes.items()}
+    return groups.withColumn("level", level).agg(
+        F.lit(subset).alias("subset"), F.sum("n").alias("n"), _held_out_r2(m, constants).alias("r2")
+    )
+
+
+def _held_out_r2(m: Moments, slopes: dict[str, Column]) -> Column:
+    t = m.target
+    sst = F.sum(f"q_{t}_{t}") - F.sum(f"s_{t}") * F.sum(f"s_{t}") / F.sum("n")
+    return 1 - F.try_divide(F.sum(_sse(m, slopes, F.col("level"))), sst)
+
+
 def _sse(m: Moments, slopes: dict[str, Column], level: Column) -> Column:
     """Sum of squared errors of one group from its own sums."""
     t = m.target
@@ -270,11 +292,7 @@ def cross_validate(m: Moments) -> DataFrame:
     # A category that only the fold itself has counts as the baseline.
     base = dict(cells.filter(F.col(m.category) == baseline).select("fold", level).collect())
     scored = cells.withColumn("level", F.coalesce(level, _per_fold(base)))
-    t = m.target
-    sst = F.sum(f"q_{t}_{t}") - F.sum(f"s_{t}") * F.sum(f"s_{t}") / F.sum("n")
-    return scored.groupBy("fold").agg(
-        F.sum("n").alias("n"), (1 - F.try_divide(F.sum(_sse(m, slopes, F.col("level"))), sst)).alias("r2")
-    )
+    return scored.groupBy("fold").agg(F.sum("n").alias("n"), _held_out_r2(m, slopes).alias("r2"))
 
 
 def simple_regression(df: DataFrame, x: str, y: str) -> DataFrame:

@@ -4,15 +4,14 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
-PAGES_SCHEMA = T.StructType.fromDDL("page_id BIGINT, url STRING, html STRING")
-LISTINGS_RAW_SCHEMA = T.StructType.fromDDL(
+PAGES_SCHEMA = "page_id BIGINT, url STRING, html STRING"
+LISTINGS_RAW_SCHEMA = (
     "title STRING, address STRING, building_age STRING, building_size STRING, stations STRING, "
     "nearest_station STRING, distance_to_nearest_station BIGINT, avg_distance_to_stations DOUBLE, url STRING, "
     "rent STRING, management_fee STRING, deposit STRING, key_money STRING, floor STRING, floor_plan STRING, area STRING"
 )
-LISTINGS_CLEAN_SCHEMA = T.StructType.fromDDL(
+LISTINGS_CLEAN_SCHEMA = (
     "url STRING, title STRING, address STRING, rent DOUBLE, management_fee DOUBLE, deposit DOUBLE, key_money DOUBLE, "
     "floor BIGINT, floor_plan STRING, area DOUBLE, building_age BIGINT, building_size BIGINT, nearest_station STRING, "
     "distance_to_nearest_station BIGINT, avg_distance_to_stations DOUBLE, avg_rent_by_station DOUBLE, "
@@ -49,7 +48,7 @@ def append_pages(*batches: DataFrame) -> DataFrame:
     return every
 
 
-def read_csv(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
+def read_csv(spark: SparkSession, path: str, schema: str) -> DataFrame:
     """Headed CSV with a stated schema; a byte-order mark is skipped, empty fields are NULL."""
     return spark.read.options(**CSV_DIALECT).option("multiLine", True).schema(schema).csv(path)
 
