@@ -47,11 +47,11 @@ def summarize(blocks: Column, strict: bool = False) -> StationSummary:
         paired = F.filter(
             F.transform(
                 blocks,
-                lambda b, i: F.struct(
-                    ascii_digits(F.regexp_extract(b, WALK_MINUTES, 1)).try_cast("bigint").alias("minutes"),
-                    i.alias("place"),
-                    F.get(F.regexp_extract_all(b, F.lit(STATION_NAME), F.lit(1)), F.lit(0)).alias("name"),
-                ),
+                lambda b, i: F.named_struct(
+                    F.lit("minutes"), ascii_digits(F.regexp_extract(b, WALK_MINUTES, 1)).try_cast("bigint"),
+                    F.lit("place"), i,
+                    F.lit("name"), F.get(F.regexp_extract_all(b, F.lit(STATION_NAME), F.lit(1)), F.lit(0)),
+                ),
             ),
             lambda s: s["minutes"].isNotNull() & s["name"].isNotNull(),
         )

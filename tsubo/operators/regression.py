@@ -66,25 +66,18 @@ def moments(split: DataFrame, features: list[str] = NUMERIC, target: str = TARGE
     return Moments(stage(table, "moments"), features, target, category, centre)
 
 
-class Fit(NamedTuple):
-    """Slopes per feature, and the level of every category as a table."""
-
-    slopes: dict[str, float]
-    levels: DataFrame  # category, n, level (the centred prediction at the centre)
-    baseline: str
-    baseline_level: float
-    moments: Moments
-    stats: dict[str, tuple[float, float, float]]  # variable -> mean, population and sample deviation
-    rows: int
-
-
 def _total(table: DataFrame, m: Moments, by: list[str]) -> DataFrame:
     return table.groupBy(*by).agg(*(F.sum(c).alias(c) for c in m.sums))
 
 
-def _within(m: Moments) -> list[Column]:
+def _within(m: Moments, prefix: str = "") -> list[Column]:
     """Sums of squares and products about the category means."""
-    return [F.sum(F.col(f"q_{a}_{b}") - F.col(f"s_{a}") * F.col(f"s_{b}") / F.col("n")).alias(f"w_{a}_{b}") for a, b in m.pairs]
+
+    def spread(a: str, b: str) -> Column:
+        own = F.col(f"{prefix}s_{a}") * F.col(f"{prefix}s_{b}")
+        return F.sum(F.col(f"{prefix}q_{a}_{b}") - F.coalesce(F.try_divide(own, F.col(f"{prefix}n")), F.lit(0.0)))
+
+    return [spread(a, b).alias(f"w_{a}_{b}") for a, b in m.pairs]
 
 
 def _solve(row, m: Moments) -> dict[str, float]:
@@ -94,35 +87,118 @@ def _solve(row, m: Moments) -> dict[str, float]:
         w[i, j] = w[j, i] = row[f"w_{a}_{b}"]
     x, y = w[:-1, :-1], w[:-1, -1]
     # Scaled to unit diagonal; a feature that does not vary gets slope zero.
-    d = np.sqrt(np.diag(x))
+    d = np.sqrt(np.maximum(np.diag(x), 0.0))
     d[d == 0] = 1.0
     slopes = np.linalg.lstsq(x / np.outer(d, d), y / d, rcond=1e-12)[0] / d
     return dict(zip(m.features, slopes.tolist(), strict=True))
 
 
-def _level(m: Moments, slopes: dict[str, Column | float], n: str = "n", prefix: str = "s_") -> Column:
-    """Mean of target minus slopes, in centred units."""
-    residual = F.col(f"{prefix}{m.target}")
-    for f in m.features:
-        slope = slopes[f]
-        residual = residual - (slope if isinstance(slope, Column) else F.lit(slope)) * F.col(f"{prefix}{f}")
-    return F.try_divide(residual, F.col(n))
+def _first_category(m: Moments, prefix: str = "") -> Column:
+    """Sums of the baseline: the first category in text order."""
+    sums = [f"{prefix}{c}" for c in ("n", *(f"s_{v}" for v in m.variables))]
+    return F.min_by(F.struct(m.category, *sums), F.when(F.col(f"{prefix}n") > 0, F.col(m.category)))
+
+
+def _level_of(row, m: Moments, slopes: dict[str, float], prefix: str = "") -> float | None:
+    """A category's level from its collected sums."""
+    if not row[f"{prefix}n"]:
+        return None
+    fitted = sum(slopes[v] * row[f"{prefix}s_{v}"] for v in m.features)
+    return (row[f"{prefix}s_{m.target}"] - fitted) / row[f"{prefix}n"]
+
+
+def _level(m: Moments, slopes: dict[str, Column], prefix: str = "") -> Column:
+    """Mean of target minus slopes per category, in centred units; NULL without rows."""
+    residual = F.col(f"{prefix}s_{m.target}")
+    for v in m.features:
+        residual = residual - slopes[v] * F.col(f"{prefix}s_{v}")
+    return F.try_divide(residual, F.col(f"{prefix}n"))
+
+
+def _sse(m: Moments, slopes: dict[str, Column], level: Column, prefix: str = "") -> Column:
+    """Sum of squared errors of one group from its own sums."""
+    t = m.target
+
+    def q(a: str, b: str) -> Column:
+        return F.col(f"{prefix}q_{a}_{b}" if (a, b) in m.pairs else f"{prefix}q_{b}_{a}")
+
+    total = q(t, t)
+    fitted = F.col(f"{prefix}s_{t}")
+    for a in m.features:
+        total = total - 2 * slopes[a] * q(a, t)
+        fitted = fitted - slopes[a] * F.col(f"{prefix}s_{a}")
+        for b in m.features:
+            total = total + slopes[a] * slopes[b] * q(a, b)
+    return total - 2 * level * fitted + level * level * F.col(f"{prefix}n")
+
+
+def _sst(m: Moments, prefix: str = "") -> Column:
+    t = m.target
+    s = F.sum(f"{prefix}s_{t}")
+    return F.sum(f"{prefix}q_{t}_{t}") - F.try_divide(s * s, F.sum(f"{prefix}n"))
+
+
+class Spread(NamedTuple):
+    """Mean, population deviation and sample deviation."""
+
+    mean: float
+    population: float
+    sample: float
+
+
+class Fit(NamedTuple):
+    """Slopes per feature; the level of a category follows from its sums."""
+
+    moments: Moments
+    cells: DataFrame  # one row per category: train_ and test_ sums
+    slopes: dict[str, float]
+    baseline: str
+    baseline_level: float
+    train: dict[str, Spread]
+    test: dict[str, Spread]
+    train_rows: int
+    test_rows: int
+
+    @property
+    def constants(self) -> dict[str, Column]:
+        return {v: F.lit(s) for v, s in self.slopes.items()}
+
+    @property
+    def level(self) -> Column:
+        return _level(self.moments, self.constants, "train_")
+
+    @property
+    def dummy_deviation(self) -> Column:
+        """Population deviation of a category's dummy in the training rows."""
+        share = F.col("train_n") / F.lit(float(self.train_rows))
+        return F.sqrt(share * (1 - share))
+
+
+def _spreads(row, m: Moments, prefix: str) -> dict[str, Spread]:
+    n = row[f"{prefix}n"]
+    found = {}
+    for v in m.variables if n else []:
+        mean = row[f"{prefix}s_{v}"] / n
+        squares = max(row[f"{prefix}q_{v}_{v}"] - n * mean * mean, 0.0)
+        found[v] = Spread(m.centre[v] + mean, (squares / n) ** 0.5, (squares / (n - 1)) ** 0.5 if n > 1 else 0.0)
+    return found
 
 
 def fit(m: Moments) -> Fit:
-    """Fit on the training rows."""
-    train = _total(m.table.filter(~F.col("is_test")), m, [m.category])
-    row = train.agg(*_within(m), *(F.sum(c).alias(c) for c in m.sums), F.min(m.category).alias("baseline")).first()
+    """Fit on the training rows (one small job over the moments)."""
+    side = {"train_": ~F.col("is_test"), "test_": F.col("is_test")}
+    cells = m.table.groupBy(m.category).agg(
+        *(F.coalesce(F.sum(F.when(rows, F.col(c))), F.lit(0)).alias(f"{p}{c}") for p, rows in side.items() for c in m.sums)
+    )
+    row = cells.agg(
+        *_within(m, "train_"), *(F.sum(f"{p}{c}").alias(f"{p}{c}") for p in side for c in m.sums),
+        _first_category(m, "train_").alias("first"),
+    ).first()
     slopes = _solve(row, m)
-    levels = train.select(m.category, "n", _level(m, slopes).alias("level"))
-    baseline_level = levels.filter(F.col(m.category) == row["baseline"]).first()["level"]
-    n = row["n"]
-    stats = {}
-    for v in m.variables:
-        mean = row[f"s_{v}"] / n
-        spread = max(row[f"q_{v}_{v}"] - n * mean * mean, 0.0)
-        stats[v] = (m.centre[v] + mean, (spread / n) ** 0.5, (spread / (n - 1)) ** 0.5 if n > 1 else 0.0)
-    return Fit(slopes, levels, row["baseline"], baseline_level, m, stats, n)
+    return Fit(
+        m, cells, slopes, row["first"][m.category], _level_of(row["first"], m, slopes, "train_"),
+        _spreads(row, m, "train_"), _spreads(row, m, "test_"), row["train_n"], row["test_n"],
+    )
 
 
 def coefficients(f: Fit) -> DataFrame:
@@ -132,167 +208,133 @@ def coefficients(f: Fit) -> DataFrame:
     its baseline instead.
     """
     m = f.moments
-    numeric = [(v, f.slopes[v] * f.stats[v][1], f.stats[v][2], f.slopes[v] * f.stats[v][1] / f.stats[v][2]) for v in m.features]
-    head = f.levels.sparkSession.createDataFrame(numeric, "feature STRING, coefficient DOUBLE, feature_std DOUBLE, per_unit DOUBLE")
-    share = F.col("n") / F.lit(float(f.rows))
-    spread = F.sqrt(share * (1 - share))
-    dummies = f.levels.filter(F.col(m.category) != f.baseline).select(
+    numeric = []
+    for v in m.features:
+        coefficient = f.slopes[v] * f.train[v].population
+        numeric.append((v, coefficient, f.train[v].sample, coefficient / f.train[v].sample if f.train[v].sample else None))
+    head = f.cells.sparkSession.createDataFrame(numeric, "feature STRING, coefficient DOUBLE, feature_std DOUBLE, per_unit DOUBLE")
+    known = f.cells.filter((F.col("train_n") > 0) & (F.col(m.category) != f.baseline))
+    dummies = known.select(
         F.concat(F.lit(f"{m.category}_"), m.category).alias("feature"),
-        ((F.col("level") - F.lit(f.baseline_level)) * spread).alias("coefficient"),
-        (spread * F.sqrt(F.lit(f.rows / (f.rows - 1)))).alias("feature_std"),
+        ((f.level - F.lit(f.baseline_level)) * f.dummy_deviation).alias("coefficient"),
+        (f.dummy_deviation * F.lit((f.train_rows / (f.train_rows - 1)) ** 0.5)).alias("feature_std"),
         F.lit(None).cast("double").alias("per_unit"),
     )
     return head.unionByName(dummies)
 
 
-def predict(f: Fit, rows: DataFrame) -> DataFrame:
-    """Adds ``predicted``; a category the training rows lack counts as the baseline."""
-    m = f.moments
-    levels = stage(f.levels.select(m.category, F.col("level").alias("_level")), "levels")
-    joined = attach(rows, levels, [m.category])
-    return _predicted(joined, f, F.coalesce(F.col("_level"), F.lit(f.baseline_level)), f.slopes).drop("_level")
+class Refitted(NamedTuple):
+    """The same coefficients applied to test rows scaled by their own mean and deviation."""
+
+    slopes: dict[str, float]
+    effect: Column  # what a category adds; NULL for the baseline
+    constant: float
 
 
-def _predicted(joined: DataFrame, f: Fit, level: Column, slopes: dict[str, float]) -> DataFrame:
+def _refitted(f: Fit) -> Refitted:
     m = f.moments
-    value = F.lit(m.centre[m.target]) + level
+    slopes, constant = {}, f.train[m.target].mean
     for v in m.features:
-        value = value + F.lit(slopes[v]) * (F.col(v) - F.lit(m.centre[v]))
-    return joined.withColumn("predicted", value)
+        slopes[v] = f.slopes[v] * f.train[v].population / (f.test[v].population or 1.0)
+        constant -= slopes[v] * f.test[v].mean
+    seen = F.col("test_n") / F.lit(float(f.test_rows))
+    deviation = F.sqrt(seen * (1 - seen))
+    coefficient = (f.level - F.lit(f.baseline_level)) * f.dummy_deviation
+    known = (F.col("train_n") > 0) & (F.col(m.category) != f.baseline)
+    effect = F.when(known, coefficient / F.when(deviation > 0, deviation).otherwise(1.0))
+    shift = f.cells.agg(F.coalesce(F.sum(effect * seen), F.lit(0.0))).first()[0]
+    return Refitted(slopes, effect, constant - shift)
 
 
-def predict_refitted(f: Fit, test: DataFrame) -> DataFrame:
-    """``predicted`` for test rows scaled by their own mean and deviation.
+def predict(f: Fit, rows: DataFrame, refit_on_test: bool = False) -> DataFrame:
+    """Adds ``predicted``; a category the training rows lack counts as the baseline.
 
-    The coefficients are those of the training scale; only the scores change.
+    With ``refit_on_test`` the rows are the test rows, scaled by themselves.
     """
     m = f.moments
-    slopes, levels, constant = _refitted(f)
-    joined = attach(test, levels, [m.category])
-    value = F.lit(constant) + F.coalesce(F.col("_level"), F.lit(0.0))
+    if refit_on_test:
+        slopes, level, constant = _refitted(f)
+        missing = 0.0
+    else:
+        slopes, level, missing = f.slopes, f.level, f.baseline_level
+        constant = m.centre[m.target] - sum(slopes[v] * m.centre[v] for v in m.features)
+    levels = stage(f.cells.select(m.category, level.alias("_level")), "levels")
+    value = F.lit(constant) + F.coalesce("_level", F.lit(missing))
     for v in m.features:
         value = value + F.lit(slopes[v]) * F.col(v)
-    return joined.withColumn("predicted", value).drop("_level")
-
-
-def _refitted(f: Fit) -> tuple[dict[str, float], DataFrame, float]:
-    """Slopes on raw features, level per category and constant under test-set scaling."""
-    m = f.moments
-    test = _total(m.table.filter("is_test"), m, [m.category])
-    row = test.agg(*(F.sum(c).alias(c) for c in m.sums)).first()
-    n = row["n"]
-    slopes, constant = {}, f.stats[m.target][0]
-    for v in m.features:
-        mean = row[f"s_{v}"] / n
-        deviation = (max(row[f"q_{v}_{v}"] / n - mean * mean, 0.0)) ** 0.5 or 1.0
-        slopes[v] = f.slopes[v] * f.stats[v][1] / deviation
-        constant -= slopes[v] * (m.centre[v] + mean)
-    known = test.select(F.col(m.category).alias("_category"), F.col("n").alias("_n"))
-    share = F.col("n") / F.lit(float(f.rows))
-    coefficient = (F.col("level") - F.lit(f.baseline_level)) * F.sqrt(share * (1 - share))
-    seen = F.col("_n") / F.lit(float(n))
-    deviation = F.sqrt(seen * (1 - seen))
-    divisor = F.when(deviation > 0, deviation).otherwise(1.0)
-    dummies = f.levels.filter(F.col(m.category) != f.baseline).join(known, F.col(m.category) == F.col("_category"))
-    levels = stage(dummies.select(m.category, (coefficient / divisor).alias("_level"), (coefficient / divisor * seen).alias("_mean")), "levels")
-    shift = levels.agg(F.coalesce(F.sum("_mean"), F.lit(0.0))).first()[0]
-    return slopes, levels.drop("_mean"), constant - shift
-
-
-def r2(rows: DataFrame, actual: str, predicted: str = "predicted") -> Column:
-    """1 - SSE / SST about the rows' own mean (an aggregate expression)."""
-    y, p = F.col(actual), F.col(predicted)
-    return 1 - F.try_divide(F.sum((y - p) * (y - p)), F.var_pop(y) * F.count(y))
+    return attach(rows, levels, [m.category]).withColumn("predicted", value).drop("_level")
 
 
 def residuals(f: Fit, test: DataFrame, refit_on_test: bool = False) -> DataFrame:
     """Actual, predicted and residual = predicted - actual."""
-    predicted = predict_refitted(f, test) if refit_on_test else predict(f, test)
     actual = F.col(f.moments.target)
+    predicted = predict(f, test, refit_on_test)
     return predicted.select(actual.alias("actual"), "predicted", (F.col("predicted") - actual).alias("residual"))
 
 
+def r2(actual: str, predicted: str = "predicted") -> Column:
+    """1 - SSE / SST about the rows' own mean, as an aggregate over predicted rows."""
+    y, p = F.col(actual), F.col(predicted)
+    return 1 - F.try_divide(F.sum((y - p) * (y - p)), F.var_pop(y) * F.count(y))
+
+
 def scores(f: Fit) -> DataFrame:
     """R2 of the training rows, the test rows, and the test rows scaled by themselves.
 
     All three come from the moments; no row is read again.
     """
     m = f.moments
-    own = f.levels.select(F.col(m.category).alias("_category"), F.col("level").alias("_level"))
-    slopes, levels, constant = _refitted(f)
-    # The same line in centred units.
-    shift = constant - m.centre[m.target] + sum(slopes[v] * m.centre[v] for v in m.features)
-    refitted = levels.select(F.col(m.category).alias("_category"), "_level")
-    parts = [
-        _score_groups(m, "train", ~F.col("is_test"), f.slopes, own, F.coalesce("_level", F.lit(f.baseline_level))),
-        _score_groups(m, "test", F.col("is_test"), f.slopes, own, F.coalesce("_level", F.lit(f.baseline_level))),
-        _score_groups(m, "test_refitted", F.col("is_test"), slopes, refitted, F.coalesce("_level", F.lit(0.0)) + F.lit(shift)),
-    ]
-    return parts[0].unionByName(parts[1]).unionByName(parts[2])
-
-
-def _score_groups(
-    m: Moments, subset: str, rows: Column, slopes: dict[str, float], levels: DataFrame, level: Column
-) -> DataFrame:
-    groups = _total(m.table.filter(rows), m, [m.category]).join(levels, F.col(m.category) == F.col("_category"), "left")
-    constants = {v: F.lit(s) for v, s in slopes.items()}
-    return groups.withColumn("level", level).agg(
-        F.lit(subset).alias("subset"), F.sum("n").alias("n"), _held_out_r2(m, constants).alias("r2")
+    again = _refitted(f)
+    # The refitted line in centred units.
+    shift = again.constant - m.centre[m.target] + sum(again.slopes[v] * m.centre[v] for v in m.features)
+    own = f.cells.withColumns(
+        {"own": F.coalesce(f.level, F.lit(f.baseline_level)), "again": F.coalesce(again.effect, F.lit(0.0)) + F.lit(shift)}
     )
-
-
-def _held_out_r2(m: Moments, slopes: dict[str, Column]) -> Column:
-    t = m.target
-    sst = F.sum(f"q_{t}_{t}") - F.sum(f"s_{t}") * F.sum(f"s_{t}") / F.sum("n")
-    return 1 - F.try_divide(F.sum(_sse(m, slopes, F.col("level"))), sst)
-
-
-def _sse(m: Moments, slopes: dict[str, Column], level: Column) -> Column:
-    """Sum of squared errors of one group from its own sums."""
-    t = m.target
-    q = lambda a, b: F.col(f"q_{a}_{b}") if (a, b) in m.pairs else F.col(f"q_{b}_{a}")
-    total = q(t, t)
-    fitted = F.col(f"s_{t}")
-    for a in m.features:
-        total = total - 2 * slopes[a] * q(a, t)
-        fitted = fitted - slopes[a] * F.col(f"s_{a}")
-        for b in m.features:
-            total = total + slopes[a] * slopes[b] * q(a, b)
-    return total - 2 * level * fitted + level * level * F.col("n")
-
-
-def _per_fold(values: dict[int, float]) -> Column:
-    chosen = F.lit(None).cast("double")
-    for fold, value in values.items():
-        chosen = F.when(F.col("fold") == fold, F.lit(value)).otherwise(chosen)
-    return chosen
+    constants = {v: F.lit(s) for v, s in again.slopes.items()}
+    row = own.agg(
+        F.sum("train_n").alias("train_n"), F.sum("test_n").alias("test_n"),
+        (1 - F.try_divide(F.sum(_sse(m, f.constants, F.col("own"), "train_")), _sst(m, "train_"))).alias("train"),
+        (1 - F.try_divide(F.sum(_sse(m, f.constants, F.col("own"), "test_")), _sst(m, "test_"))).alias("test"),
+        (1 - F.try_divide(F.sum(_sse(m, constants, F.col("again"), "test_")), _sst(m, "test_"))).alias("test_refitted"),
+    )
+    lines = [
+        F.struct(F.lit(subset).alias("subset"), F.col(n).alias("n"), F.col(subset).alias("r2"))
+        for subset, n in (("train", "train_n"), ("test", "test_n"), ("test_refitted", "test_n"))
+    ]
+    return row.select(F.inline(F.array(*lines)))
 
 
 def cross_validate(m: Moments) -> DataFrame:
     """Held-out R2 per fold: fit on the other folds, score on the fold.
 
-    Training sums are totals minus the fold's own sums; no row is read again.
+    Training sums are a category's totals minus its sums in the fold; no row is
+    read again.  A category has at most one entry per fold.
     """
-    train = _total(m.table.filter(~F.col("is_test")), m, ["fold", m.category])
-    baseline = train.agg(F.min(m.category)).first()[0]
+    spark = m.table.sparkSession
+    train = m.table.filter(~F.col("is_test"))
     folds = sorted(r[0] for r in train.select("fold").distinct().collect())
-    totals = _total(train, m, [m.category]).select(
-        F.col(m.category).alias("_category"), *(F.col(c).alias(f"all_{c}") for c in m.sums), F.explode(F.array(*map(F.lit, folds))).alias("_fold")
+    entry = F.struct("fold", F.struct(*m.sums).alias("own"))
+    per_category = train.groupBy(m.category).agg(
+        F.map_from_entries(F.collect_list(entry)).alias("by_fold"), *(F.sum(c).alias(f"all_{c}") for c in m.sums)
     )
-    cells = totals.join(train, (F.col("_category") == F.col(m.category)) & (F.col("_fold") == F.col("fold")), "left").select(
-        F.col("_fold").alias("fold"), F.col("_category").alias(m.category),
-        *(F.coalesce(F.col(c), F.lit(0)).alias(c) for c in m.sums),
-        *((F.col(f"all_{c}") - F.coalesce(F.col(c), F.lit(0))).alias(f"t_{c}") for c in m.sums),
-    )
-    cells = stage(cells, "folds")
-    others = cells.filter("t_n > 0").select("fold", *(F.col(f"t_{c}").alias(c) for c in m.sums))
-    solved = {row["fold"]: _solve(row, m) for row in others.groupBy("fold").agg(*_within(m)).collect()}
-    slopes = {v: _per_fold({fold: s[v] for fold, s in solved.items()}) for v in m.features}
-    level = _level(m, slopes, "t_n", "t_s_")
-    # A category that only the fold itself has counts as the baseline.
-    base = dict(cells.filter(F.col(m.category) == baseline).select("fold", level).collect())
-    scored = cells.withColumn("level", F.coalesce(level, _per_fold(base)))
-    return scored.groupBy("fold").agg(F.sum("n").alias("n"), _held_out_r2(m, slopes).alias("r2"))
+    opened = per_category.withColumn("fold", F.explode(F.array(*map(F.lit, folds)))).withColumn("own", F.col("by_fold")[F.col("fold")])
+    held = {c: F.coalesce(F.col(f"own.{c}"), F.lit(0)) for c in m.sums}
+    cells = opened.select(
+        "fold", m.category, *(held[c].alias(c) for c in m.sums), *((F.col(f"all_{c}") - held[c]).alias(f"rest_{c}") for c in m.sums)
+    )
+    # The last bits of a difference are not a count: without rows there is nothing.
+    rest = cells.filter("rest_n > 0").groupBy("fold").agg(*_within(m, "rest_"), _first_category(m, "rest_").alias("first"))
+    lines = []
+    for row in rest.collect():
+        slopes = _solve(row, m)
+        lines.append((row["fold"], *(slopes[v] for v in m.features), _level_of(row["first"], m, slopes, "rest_")))
+    names = [f"k_{v}" for v in m.features]
+    line = spark.createDataFrame(lines, f"fold INT, {', '.join(f'{k} DOUBLE' for k in names)}, base DOUBLE")
+    slopes = {v: F.col(f"k_{v}") for v in m.features}
+    # One row per fold on this side.
+    scored = cells.join(F.broadcast(line), "fold").withColumn("level", F.coalesce(_level(m, slopes, "rest_"), F.col("base")))
+    r2_of_fold = 1 - F.try_divide(F.sum(_sse(m, slopes, F.col("level"))), _sst(m))
+    return scored.groupBy("fold").agg(F.sum("n").alias("n"), r2_of_fold.alias("r2"))
 
 
 def simple_regression(df: DataFrame, x: str, y: str) -> DataFrame:

@@ -187,10 +187,10 @@ def _curve(source: str, value: str, cut: int) -> str:
     return f"""
 v AS (SELECT {value}::DOUBLE AS x FROM {source} WHERE {value} IS NOT NULL),
 s AS (SELECT count(*) AS n, min(x) AS lo, max(x) AS hi, stddev_samp(x) * count(*) ** (-0.2::DOUBLE) AS h FROM v),
-g AS (SELECT i AS point, lo - {cut} * h + i * (hi - lo + 2 * {cut} * h) / 199 AS at, h, n FROM s, range(200) t(i)),
+g AS (SELECT i AS point, lo - {cut} * h + i * (hi - lo + 2 * {cut} * h) / 199 AS spot, h, n FROM s, range(200) t(i)),
 d AS (SELECT x, count(*) AS c FROM v GROUP BY x)
-SELECT point, round(at, 4) AS x, round(sum(c * exp(-0.5 * ((at - d.x) / h) ** 2)) / (any_value(n) * any_value(h) * sqrt(2 * pi())), 12) AS density
-FROM g, d GROUP BY point, at"""
+SELECT point, round(spot, 4) AS x, round(sum(c * exp(-0.5 * ((spot - d.x) / h) ** 2)) / (any_value(n) * any_value(h) * sqrt(2 * pi())), 12) AS density
+FROM g, d GROUP BY point, spot"""
 
 
 def _box(group: str) -> str:
