@@ -57,27 +57,24 @@ def moments(split: DataFrame, features: list[str] = NUMERIC, target: str = TARGE
     variables = [*features, target]
     row = split.agg(*(F.avg(v).alias(v) for v in variables)).first()
     centre = {v: row[v] for v in variables}
-    z = {v: F.col(v).cast("double") - F.lit(centre[v]) for v in variables}
-    table = split.groupBy("is_test", "fold", category).agg(
-        F.count(F.lit(1)).alias("n"),
-        *(F.sum(z[v]).alias(f"s_{v}") for v in variables),
-        *(F.sum(z[a] * z[b]).alias(f"q_{a}_{b}") for a, b in combinations_with_replacement(variables, 2)),
+    centred = split.selectExpr("is_test", "fold", category, *(f"double(`{v}`) - {centre[v]!r}D AS `{v}`" for v in variables))
+    table = centred.groupBy("is_test", "fold", category).agg(
+        F.expr("count(1) AS n"),
+        *(F.expr(f"sum(`{v}`) AS `s_{v}`") for v in variables),
+        *(F.expr(f"sum(`{a}` * `{b}`) AS `q_{a}_{b}`") for a, b in combinations_with_replacement(variables, 2)),
     )
     return Moments(stage(table, "moments"), features, target, category, centre)
 
 
-def _total(table: DataFrame, m: Moments, by: list[str]) -> DataFrame:
-    return table.groupBy(*by).agg(*(F.sum(c).alias(c) for c in m.sums))
+# The formulas below are SQL text over the sums; ``prefix`` picks the rows the
+# sums stand for and ``slopes`` holds a SQL operand per feature.
 
 
 def _within(m: Moments, prefix: str = "") -> list[Column]:
     """Sums of squares and products about the category means."""
-
-    def spread(a: str, b: str) -> Column:
-        own = F.col(f"{prefix}s_{a}") * F.col(f"{prefix}s_{b}")
-        return F.sum(F.col(f"{prefix}q_{a}_{b}") - F.coalesce(F.try_divide(own, F.col(f"{prefix}n")), F.lit(0.0)))
-
-    return [spread(a, b).alias(f"w_{a}_{b}") for a, b in m.pairs]
+    own = "`{p}s_{a}` * `{p}s_{b}`"
+    spread = "sum(`{p}q_{a}_{b}` - coalesce(try_divide(" + own + ", `{p}n`), 0D)) AS `w_{a}_{b}`"
+    return [F.expr(spread.format(p=prefix, a=a, b=b)) for a, b in m.pairs]
 
 
 def _solve(row, m: Moments) -> dict[str, float]:
@@ -95,8 +92,8 @@ def _solve(row, m: Moments) -> dict[str, float]:
 
 def _first_category(m: Moments, prefix: str = "") -> Column:
     """Sums of the baseline: the first category in text order."""
-    sums = [f"{prefix}{c}" for c in ("n", *(f"s_{v}" for v in m.variables))]
-    return F.min_by(F.struct(m.category, *sums), F.when(F.col(f"{prefix}n") > 0, F.col(m.category)))
+    sums = ", ".join(f"`{prefix}{c}`" for c in ("n", *(f"s_{v}" for v in m.variables)))
+    return F.expr(f"min_by(struct(`{m.category}`, {sums}), CASE WHEN `{prefix}n` > 0 THEN `{m.category}` END) AS first")
 
 
 def _level_of(row, m: Moments, slopes: dict[str, float], prefix: str = "") -> float | None:
@@ -107,35 +104,25 @@ def _level_of(row, m: Moments, slopes: dict[str, float], prefix: str = "") -> fl
     return (row[f"{prefix}s_{m.target}"] - fitted) / row[f"{prefix}n"]
 
 
-def _level(m: Moments, slopes: dict[str, Column], prefix: str = "") -> Column:
+def _level(m: Moments, slopes: dict[str, str], prefix: str = "") -> str:
     """Mean of target minus slopes per category, in centred units; NULL without rows."""
-    residual = F.col(f"{prefix}s_{m.target}")
-    for v in m.features:
-        residual = residual - slopes[v] * F.col(f"{prefix}s_{v}")
-    return F.try_divide(residual, F.col(f"{prefix}n"))
+    fitted = " - ".join(f"{slopes[v]} * `{prefix}s_{v}`" for v in m.features)
+    return f"try_divide(`{prefix}s_{m.target}` - {fitted}, `{prefix}n`)"
 
 
-def _sse(m: Moments, slopes: dict[str, Column], level: Column, prefix: str = "") -> Column:
-    """Sum of squared errors of one group from its own sums."""
+def _r2(m: Moments, slopes: dict[str, str], level: str, prefix: str = "") -> str:
+    """1 - SSE / SST of the rows behind the sums."""
     t = m.target
 
-    def q(a: str, b: str) -> Column:
-        return F.col(f"{prefix}q_{a}_{b}" if (a, b) in m.pairs else f"{prefix}q_{b}_{a}")
+    def q(a: str, b: str) -> str:
+        return f"`{prefix}q_{a}_{b}`" if (a, b) in m.pairs else f"`{prefix}q_{b}_{a}`"
 
-    total = q(t, t)
-    fitted = F.col(f"{prefix}s_{t}")
-    for a in m.features:
-        total = total - 2 * slopes[a] * q(a, t)
-        fitted = fitted - slopes[a] * F.col(f"{prefix}s_{a}")
-        for b in m.features:
-            total = total + slopes[a] * slopes[b] * q(a, b)
-    return total - 2 * level * fitted + level * level * F.col(f"{prefix}n")
-
-
-def _sst(m: Moments, prefix: str = "") -> Column:
-    t = m.target
-    s = F.sum(f"{prefix}s_{t}")
-    return F.sum(f"{prefix}q_{t}_{t}") - F.try_divide(s * s, F.sum(f"{prefix}n"))
+    rest = " - ".join([f"`{prefix}s_{t}`", *(f"{slopes[v]} * `{prefix}s_{v}`" for v in m.features)])
+    squares = " + ".join(f"{slopes[a]} * {slopes[b]} * {q(a, b)}" for a in m.features for b in m.features)
+    products = " + ".join(f"{slopes[v]} * {q(v, t)}" for v in m.features)
+    sse = f"{q(t, t)} - 2 * ({products}) + {squares} - 2 * {level} * ({rest}) + {level} * {level} * `{prefix}n`"
+    sst = f"sum({q(t, t)}) - try_divide(sum(`{prefix}s_{t}`) * sum(`{prefix}s_{t}`), sum(`{prefix}n`))"
+    return f"1 - try_divide(sum({sse}), {sst})"
 
 
 class Spread(NamedTuple):
@@ -160,18 +147,18 @@ class Fit(NamedTuple):
     test_rows: int
 
     @property
-    def constants(self) -> dict[str, Column]:
-        return {v: F.lit(s) for v, s in self.slopes.items()}
-
-    @property
-    def level(self) -> Column:
-        return _level(self.moments, self.constants, "train_")
+    def level(self) -> str:
+        return _level(self.moments, _literals(self.slopes), "train_")
 
     @property
-    def dummy_deviation(self) -> Column:
+    def dummy_deviation(self) -> str:
         """Population deviation of a category's dummy in the training rows."""
-        share = F.col("train_n") / F.lit(float(self.train_rows))
-        return F.sqrt(share * (1 - share))
+        share = f"train_n / {float(self.train_rows)!r}D"
+        return f"sqrt({share} * (1 - {share}))"
+
+
+def _literals(slopes: dict[str, float]) -> dict[str, str]:
+    return {v: f"({s!r}D)" for v, s in slopes.items()}
 
 
 def _spreads(row, m: Moments, prefix: str) -> dict[str, Spread]:
@@ -186,14 +173,15 @@ def _spreads(row, m: Moments, prefix: str) -> dict[str, Spread]:
 
 def fit(m: Moments) -> Fit:
     """Fit on the training rows (one small job over the moments)."""
-    side = {"train_": ~F.col("is_test"), "test_": F.col("is_test")}
     cells = m.table.groupBy(m.category).agg(
-        *(F.coalesce(F.sum(F.when(rows, F.col(c))), F.lit(0)).alias(f"{p}{c}") for p, rows in side.items() for c in m.sums)
+        *(F.expr(f"coalesce(sum(`{c}`) FILTER (WHERE NOT is_test), 0) AS `train_{c}`") for c in m.sums),
+        *(F.expr(f"coalesce(sum(`{c}`) FILTER (WHERE is_test), 0) AS `test_{c}`") for c in m.sums),
     )
     row = cells.agg(
-        *_within(m, "train_"), *(F.sum(f"{p}{c}").alias(f"{p}{c}") for p in side for c in m.sums),
-        _first_category(m, "train_").alias("first"),
-    ).first()
+        *_within(m, "train_"),
+        *(F.expr(f"sum(`{c}`) AS `{c}`") for c in cells.columns if c != m.category),
+        _first_category(m, "train_"),
+    ).first()
     slopes = _solve(row, m)
     return Fit(
         m, cells, slopes, row["first"][m.category], _level_of(row["first"], m, slopes, "train_"),
@@ -213,12 +201,11 @@ def coefficients(f: Fit) -> DataFrame:
         coefficient = f.slopes[v] * f.train[v].population
         numeric.append((v, coefficient, f.train[v].sample, coefficient / f.train[v].sample if f.train[v].sample else None))
     head = f.cells.sparkSession.createDataFrame(numeric, "feature STRING, coefficient DOUBLE, feature_std DOUBLE, per_unit DOUBLE")
-    known = f.cells.filter((F.col("train_n") > 0) & (F.col(m.category) != f.baseline))
-    dummies = known.select(
-        F.concat(F.lit(f"{m.category}_"), m.category).alias("feature"),
-        ((f.level - F.lit(f.baseline_level)) * f.dummy_deviation).alias("coefficient"),
-        (f.dummy_deviation * F.lit((f.train_rows / (f.train_rows - 1)) ** 0.5)).alias("feature_std"),
-        F.lit(None).cast("double").alias("per_unit"),
+    dummies = f.cells.filter((F.col("train_n") > 0) & (F.col(m.category) != f.baseline)).selectExpr(
+        f"concat('{m.category}_', `{m.category}`) AS feature",
+        f"({f.level} - {f.baseline_level!r}D) * {f.dummy_deviation} AS coefficient",
+        f"{f.dummy_deviation} * {(f.train_rows / (f.train_rows - 1)) ** 0.5!r}D AS feature_std",
+        "CAST(NULL AS DOUBLE) AS per_unit",
     )
     return head.unionByName(dummies)
 
@@ -227,7 +214,8 @@ class Refitted(NamedTuple):
     """The same coefficients applied to test rows scaled by their own mean and deviation."""
 
     slopes: dict[str, float]
-    effect: Column  # what a category adds; NULL for the baseline
+    cells: DataFrame
+    effect: str  # what a category adds; NULL for the baseline
     constant: float
 
 
@@ -237,13 +225,14 @@ def _refitted(f: Fit) -> Refitted:
     for v in m.features:
         slopes[v] = f.slopes[v] * f.train[v].population / (f.test[v].population or 1.0)
         constant -= slopes[v] * f.test[v].mean
-    seen = F.col("test_n") / F.lit(float(f.test_rows))
-    deviation = F.sqrt(seen * (1 - seen))
-    coefficient = (f.level - F.lit(f.baseline_level)) * f.dummy_deviation
-    known = (F.col("train_n") > 0) & (F.col(m.category) != f.baseline)
-    effect = F.when(known, coefficient / F.when(deviation > 0, deviation).otherwise(1.0))
-    shift = f.cells.agg(F.coalesce(F.sum(effect * seen), F.lit(0.0))).first()[0]
-    return Refitted(slopes, effect, constant - shift)
+    seen = f"test_n / {float(f.test_rows)!r}D"
+    coefficient = f"({f.level} - {f.baseline_level!r}D) * {f.dummy_deviation}"
+    # A dummy that does not vary among the test rows keeps divisor 1.
+    divisor = f"CASE WHEN test_n > 0 AND test_n < {f.test_rows} THEN sqrt({seen} * (1 - {seen})) ELSE 1D END"
+    effect = f"CASE WHEN train_n > 0 AND `{m.category}` <> first THEN {coefficient} / {divisor} END"
+    cells = f.cells.withColumn("first", F.lit(f.baseline))
+    shift = cells.agg(F.expr(f"coalesce(sum({effect} * {seen}), 0D)")).first()[0]
+    return Refitted(slopes, cells, effect, constant - shift)
 
 
 def predict(f: Fit, rows: DataFrame, refit_on_test: bool = False) -> DataFrame:
@@ -253,15 +242,14 @@ def predict(f: Fit, rows: DataFrame, refit_on_test: bool = False) -> DataFrame:
     """
     m = f.moments
     if refit_on_test:
-        slopes, level, constant = _refitted(f)
+        slopes, cells, level, constant = _refitted(f)
         missing = 0.0
     else:
-        slopes, level, missing = f.slopes, f.level, f.baseline_level
+        slopes, cells, level, missing = f.slopes, f.cells, f.level, f.baseline_level
         constant = m.centre[m.target] - sum(slopes[v] * m.centre[v] for v in m.features)
-    levels = stage(f.cells.select(m.category, level.alias("_level")), "levels")
-    value = F.lit(constant) + F.coalesce("_level", F.lit(missing))
-    for v in m.features:
-        value = value + F.lit(slopes[v]) * F.col(v)
+    levels = stage(cells.selectExpr(f"`{m.category}`", f"{level} AS _level"), "levels")
+    line = " + ".join(f"{slope} * `{v}`" for v, slope in _literals(slopes).items())
+    value = F.expr(f"{constant!r}D + coalesce(_level, {missing!r}D) + {line}")
     return attach(rows, levels, [m.category]).withColumn("predicted", value).drop("_level")
 
 
@@ -272,12 +260,6 @@ def residuals(f: Fit, test: DataFrame, refit_on_test: bool = False) -> DataFrame
     return predicted.select(actual.alias("actual"), "predicted", (F.col("predicted") - actual).alias("residual"))
 
 
-def r2(actual: str, predicted: str = "predicted") -> Column:
-    """1 - SSE / SST about the rows' own mean, as an aggregate over predicted rows."""
-    y, p = F.col(actual), F.col(predicted)
-    return 1 - F.try_divide(F.sum((y - p) * (y - p)), F.var_pop(y) * F.count(y))
-
-
 def scores(f: Fit) -> DataFrame:
     """R2 of the training rows, the test rows, and the test rows scaled by themselves.
 
@@ -287,21 +269,21 @@ def scores(f: Fit) -> DataFrame:
     again = _refitted(f)
     # The refitted line in centred units.
     shift = again.constant - m.centre[m.target] + sum(again.slopes[v] * m.centre[v] for v in m.features)
-    own = f.cells.withColumns(
-        {"own": F.coalesce(f.level, F.lit(f.baseline_level)), "again": F.coalesce(again.effect, F.lit(0.0)) + F.lit(shift)}
+    slopes = _literals(f.slopes)
+    row = again.cells.selectExpr(
+        "*",
+        f"coalesce({f.level}, {f.baseline_level!r}D) AS level",
+        f"coalesce({again.effect}, 0D) + {shift!r}D AS level_again",
+    ).selectExpr(
+        "sum(train_n) AS train_n",
+        "sum(test_n) AS test_n",
+        f"{_r2(m, slopes, 'level', 'train_')} AS train",
+        f"{_r2(m, slopes, 'level', 'test_')} AS test",
+        f"{_r2(m, _literals(again.slopes), 'level_again', 'test_')} AS again",
+    )
+    return row.selectExpr(
+        "stack(3, 'train', train_n, train, 'test', test_n, test, 'test_refitted', test_n, again) AS (subset, n, r2)"
     )
-    constants = {v: F.lit(s) for v, s in again.slopes.items()}
-    row = own.agg(
-        F.sum("train_n").alias("train_n"), F.sum("test_n").alias("test_n"),
-        (1 - F.try_divide(F.sum(_sse(m, f.constants, F.col("own"), "train_")), _sst(m, "train_"))).alias("train"),
-        (1 - F.try_divide(F.sum(_sse(m, f.constants, F.col("own"), "test_")), _sst(m, "test_"))).alias("test"),
-        (1 - F.try_divide(F.sum(_sse(m, constants, F.col("again"), "test_")), _sst(m, "test_"))).alias("test_refitted"),
-    )
-    lines = [
-        F.struct(F.lit(subset).alias("subset"), F.col(n).alias("n"), F.col(subset).alias("r2"))
-        for subset, n in (("train", "train_n"), ("test", "test_n"), ("test_refitted", "test_n"))
-    ]
-    return row.select(F.inline(F.array(*lines)))
 
 
 def cross_validate(m: Moments) -> DataFrame:
@@ -313,28 +295,29 @@ def cross_validate(m: Moments) -> DataFrame:
     spark = m.table.sparkSession
     train = m.table.filter(~F.col("is_test"))
     folds = sorted(r[0] for r in train.select("fold").distinct().collect())
-    entry = F.struct("fold", F.struct(*m.sums).alias("own"))
+    own = ", ".join(f"`{c}`" for c in m.sums)
     per_category = train.groupBy(m.category).agg(
-        F.map_from_entries(F.collect_list(entry)).alias("by_fold"), *(F.sum(c).alias(f"all_{c}") for c in m.sums)
+        F.expr(f"map_from_entries(collect_list(struct(fold, struct({own})))) AS by_fold"),
+        *(F.expr(f"sum(`{c}`) AS `all_{c}`") for c in m.sums),
     )
-    opened = per_category.withColumn("fold", F.explode(F.array(*map(F.lit, folds)))).withColumn("own", F.col("by_fold")[F.col("fold")])
-    held = {c: F.coalesce(F.col(f"own.{c}"), F.lit(0)) for c in m.sums}
-    cells = opened.select(
-        "fold", m.category, *(held[c].alias(c) for c in m.sums), *((F.col(f"all_{c}") - held[c]).alias(f"rest_{c}") for c in m.sums)
-    )
-    # The last bits of a difference are not a count: without rows there is nothing.
-    rest = cells.filter("rest_n > 0").groupBy("fold").agg(*_within(m, "rest_"), _first_category(m, "rest_").alias("first"))
+    opened = per_category.selectExpr("*", f"explode(array({', '.join(map(str, folds))})) AS fold").selectExpr("*", "by_fold[fold] AS own")
+    cells = opened.selectExpr(
+        "fold", f"`{m.category}`",
+        *(f"coalesce(own.`{c}`, 0) AS `{c}`" for c in m.sums),
+        *(f"`all_{c}` - coalesce(own.`{c}`, 0) AS `rest_{c}`" for c in m.sums),
+    )
+    rest = cells.filter("rest_n > 0").groupBy("fold").agg(*_within(m, "rest_"), _first_category(m, "rest_"))
     lines = []
     for row in rest.collect():
         slopes = _solve(row, m)
         lines.append((row["fold"], *(slopes[v] for v in m.features), _level_of(row["first"], m, slopes, "rest_")))
     names = [f"k_{v}" for v in m.features]
     line = spark.createDataFrame(lines, f"fold INT, {', '.join(f'{k} DOUBLE' for k in names)}, base DOUBLE")
-    slopes = {v: F.col(f"k_{v}") for v in m.features}
-    # One row per fold on this side.
-    scored = cells.join(F.broadcast(line), "fold").withColumn("level", F.coalesce(_level(m, slopes, "rest_"), F.col("base")))
-    r2_of_fold = 1 - F.try_divide(F.sum(_sse(m, slopes, F.col("level"))), _sst(m))
-    return scored.groupBy("fold").agg(F.sum("n").alias("n"), r2_of_fold.alias("r2"))
+    slopes = {v: f"`k_{v}`" for v in m.features}
+    # One row per fold on this side.  Without training rows a category counts as the baseline.
+    level = f"CASE WHEN rest_n > 0 THEN {_level(m, slopes, 'rest_')} ELSE base END AS level"
+    scored = cells.join(F.broadcast(line), "fold").selectExpr("*", level)
+    return scored.groupBy("fold").agg(F.expr("sum(n) AS n"), F.expr(f"{_r2(m, slopes, 'level')} AS r2"))
 
 
 def simple_regression(df: DataFrame, x: str, y: str) -> DataFrame:
