@@ -22,7 +22,7 @@ BYTE_ORDER_MARK = "\ufeff"
 ROWS_PER_FILE = 1_000_000
 
 # One dialect for both directions: quotes doubled, line breaks kept inside
-# quotes, blanks kept, empty text distinct from a missing value.
+# quotes, blanks kept.  Empty text reads back as missing.
 CSV_DIALECT = {"header": True, "escape": '"', "ignoreLeadingWhiteSpace": False, "ignoreTrailingWhiteSpace": False}
 
 
