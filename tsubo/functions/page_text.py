@@ -1,14 +1,16 @@
-"""Elements and text of one HTML page, read with the standard library parser.
+"""Elements and text of one HTML page.
 
 A small helper for the page operators: it only opens the page; blocks, units
-and links become rows and columns in Spark.
+and links become rows and columns in Spark.  One regular expression walks over
+the tags, several times faster than the standard library's parser; attributes
+are read only where somebody asks for them.
 """
 
 from __future__ import annotations
 
+import re
 from collections.abc import Iterator
-from html.parser import HTMLParser
-from xml.etree.ElementTree import Element, SubElement
+from html import unescape
 
 # Elements without content, elements whose end tag may be left
 # out (closed by the next of their kind, inside the given parents), and
@@ -23,68 +25,112 @@ ENDS = {
     "tr": ({"tr", "td", "th"}, {"table", "thead", "tbody", "tfoot"}),
 }
 NOT_TEXT = {"script", "style", "template", "rt", "rp"}
+NO_TAGS_INSIDE = {
+    "script": re.compile(r"</script(?=[\s/>])", re.I),
+    "style": re.compile(r"</style(?=[\s/>])", re.I),
+}
+
+# A tag with its quoted attribute values, a comment, or a declaration.  The
+# possessive quantifiers keep a broken tag from being tried in many ways.
+TOKEN = re.compile(
+    r"""<(?:(/)?([a-zA-Z][^\s/>]*+)((?:[^>"']++|"[^"]*+"|'[^']*+')*+)>|!--.*?(?:-->|\Z)|[!?/][^>]*+>)""", re.S
+)
+ATTRIBUTE = re.compile(r"""([^\s"'>/=]+)(?:\s*=\s*("[^"]*"|'[^']*'|[^\s"'>]+))?""")
+
+
+class Element:
+    """One element; ``place`` to ``end`` are its descendants in the page's list."""
+
+    __slots__ = ("page", "tag", "raw", "parent", "place", "end", "text_from", "text_to", "_classes")
+
+    def __init__(self, page: Page, tag: str, raw: str, parent: Element | None) -> None:
+        self.page, self.tag, self.raw, self.parent = page, tag, raw, parent
+        self._classes: frozenset[str] | None = None
+        self.place, self.text_from = len(page.elements), len(page.pieces)
+        page.elements.append(self)
+
+    def close(self) -> None:
+        self.end, self.text_to = len(self.page.elements), len(self.page.pieces)
+
+    def get(self, name: str) -> str | None:
+        """An attribute's value; the first one counts, and one without a value is empty."""
+        for key, value in ATTRIBUTE.findall(self.raw):
+            if key.lower() == name:
+                value = value[1:-1] if value[:1] in ('"', "'") else value
+                return unescape(value) if "&" in value else value
+        return None
+
+    @property
+    def classes(self) -> frozenset[str]:
+        if self._classes is None:
+            self._classes = frozenset((self.get("class") or "").split()) if self.raw else frozenset()
+        return self._classes
+
 
+class Page:
+    __slots__ = ("elements", "pieces")
 
-class _Page(HTMLParser):
     def __init__(self) -> None:
-        super().__init__(convert_charrefs=True)
-        self.root = Element("page")
-        self.open = [self.root]
-        self.silent = False  # whether the page has had an element without page text
+        self.elements: list[Element] = []
+        self.pieces: list[str] = []
 
-    def handle_starttag(self, tag: str, attrs: list[tuple[str, str | None]]) -> None:
+
+def read_page(html: str | None) -> Element:
+    html = html or ""
+    page = Page()
+    open_ = [Element(page, "", "", None)]
+    silent = False  # whether the page has had an element without page text
+    at = 0
+
+    def add_text(text: str) -> None:
+        if text and not (silent and any(e.tag in NOT_TEXT for e in open_)):
+            page.pieces.append(unescape(text) if "&" in text else text)
+
+    def close_from(depth: int) -> None:
+        while len(open_) > depth:
+            open_.pop().close()
+
+    while token := TOKEN.search(html, at):
+        add_text(html[at : token.start()])
+        at = token.end()
+        ending, tag, raw = token.groups()
+        if tag is None:
+            continue
+        tag = tag.lower()
+        if ending:
+            for depth in range(len(open_) - 1, 0, -1):
+                if open_[depth].tag == tag:
+                    close_from(depth)
+                    break
+            continue
         if tag in ENDS:
             closes, parents = ENDS[tag]
-            for depth in range(len(self.open) - 1, 0, -1):
-                if self.open[depth].tag in parents:
+            for depth in range(len(open_) - 1, 0, -1):
+                if open_[depth].tag in parents:
                     break
-                if self.open[depth].tag in closes:
-                    del self.open[depth:]
-        first = {name: value or "" for name, value in reversed(attrs)}
-        element = SubElement(self.open[-1], tag, first)
-        self.silent = self.silent or tag in NOT_TEXT
-        if tag not in VOID:
-            self.open.append(element)
-
-    def handle_startendtag(self, tag: str, attrs: list[tuple[str, str | None]]) -> None:
-        self.handle_starttag(tag, attrs)
-
-    def updatepos(self, i: int, j: int) -> int:
-        return j  # line numbers are not needed
-
-    def handle_endtag(self, tag: str) -> None:
-        for depth in range(len(self.open) - 1, 0, -1):
-            if self.open[depth].tag == tag:
-                del self.open[depth:]
-                return
-
-    def handle_data(self, data: str) -> None:
-        if self.silent and any(element.tag in NOT_TEXT for element in self.open):
-            return
-        parent = self.open[-1]
-        if len(parent):
-            parent[-1].tail = (parent[-1].tail or "") + data
-        else:
-            parent.text = (parent.text or "") + data
-
-
-def read_page(html: str | None) -> Element:
-    page = _Page()
-    page.feed(html or "")
-    page.close()
-    return page.root
+                if open_[depth].tag in closes:
+                    close_from(depth)
+        element = Element(page, tag, raw, open_[-1])
+        if tag in VOID:
+            element.close()
+            continue
+        open_.append(element)
+        silent = silent or tag in NOT_TEXT
+        if tag in NO_TAGS_INSIDE:
+            finish = NO_TAGS_INSIDE[tag].search(html, at)
+            at = finish.start() if finish else len(html)
+    add_text(html[at:])
+    root = open_[0]
+    close_from(0)
+    return root
 
 
 def elements(within: Element, tag: str, *classes: str) -> Iterator[Element]:
     """Descendants with the tag and all classes, in document order."""
-    for element in within.iter(tag):
-        if element is within:
-            continue
-        if classes:
-            own = element.get("class", "").split()
-            if not all(c in own for c in classes):
-                continue
-        yield element
+    wanted = frozenset(classes)
+    for element in within.page.elements[within.place + 1 : within.end]:
+        if element.tag == tag and wanted <= element.classes:
+            yield element
 
 
 def first(within: Element, tag: str, *classes: str) -> Element | None:
@@ -92,13 +138,10 @@ def first(within: Element, tag: str, *classes: str) -> Element | None:
 
 
 def text(element: Element | None) -> str | None:
-    return None if element is None else "".join(element.itertext()).strip()
+    return None if element is None else "".join(element.page.pieces[element.text_from : element.text_to]).strip()
 
 
-def following(page: Element, element: Element, tag: str) -> list[Element]:
+def following(element: Element, tag: str) -> list[Element]:
     """Later siblings of ``element`` with the tag."""
-    for parent in page.iter():
-        children = list(parent)
-        if element in children:
-            return [e for e in children[children.index(element) + 1 :] if e.tag == tag]
-    return []
+    later = element.page.elements[element.end : element.parent.end]
+    return [e for e in later if e.parent is element.parent and e.tag == tag]

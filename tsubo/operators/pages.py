@@ -8,13 +8,14 @@ no step shuffles.
 from __future__ import annotations
 
 from collections.abc import Callable, Iterator
-from xml.etree.ElementTree import Element
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tsubo.functions import page_text, stations
+from tsubo.functions.page_text import Element
+from tsubo.sources.tables import spread
 
 # Element classes of the listing pages.
 BLOCK = "cassetteitem"
@@ -62,18 +63,6 @@ RAW_COLUMNS = [
 ]
 
 
-def _spread(pages: DataFrame) -> DataFrame:
-    """Pages that arrive in fewer partitions than there are cores are dealt out first.
-
-    Reading HTML costs far more than moving it, but a large table has more
-    partitions than cores anyway and is not moved.
-    """
-    if pages.isStreaming:
-        return pages
-    cores = pages.sparkSession.sparkContext.defaultParallelism
-    return pages.repartition(cores) if pages.rdd.getNumPartitions() < cores else pages
-
-
 def _read(pages: DataFrame, rows: Callable[[str, Element], Iterator[dict]], schema: pa.Schema, ddl: str) -> DataFrame:
     """Rows found on each page; a page with very many leaves in several batches."""
 
@@ -89,7 +78,7 @@ def _read(pages: DataFrame, rows: Callable[[str, Element], Iterator[dict]], sche
         if ready:
             yield pa.RecordBatch.from_pylist(ready, schema=schema)
 
-    return _spread(pages.select("url", "html")).mapInArrow(run, ddl)
+    return spread(pages.select("url", "html")).mapInArrow(run, ddl)
 
 
 def _unit(row: Element) -> dict:
@@ -182,7 +171,7 @@ def page_links(pages: DataFrame, base_url: str) -> DataFrame:
 
 def _next(url: str, page: Element) -> Iterator[dict]:
     current = page_text.first(page, "li", CURRENT_PAGE)
-    later = [] if current is None else page_text.following(page, current, "li")
+    later = [] if current is None else page_text.following(current, "li")
     link = page_text.first(later[1], "a") if len(later) > 1 else None
     yield {"url": url, "href": None if link is None else link.get("href")}
 

@@ -34,15 +34,15 @@ def quantiles(
     larger than ``rows_in_memory``.
     """
     values = df.select(*by, F.col(value).cast("double").alias("value")).na.drop(subset=["value"])
-    if df.count() <= rows_in_memory:
+    rows = df.count()
+    if rows <= rows_in_memory:
         exact = F.percentile("value", F.array(*(F.lit(float(p)) for p in probabilities)))
         return values.groupBy(*by).agg(exact.alias("quantiles"))
-    return _by_ranks(values, by, probabilities, buckets, broadcast_bytes)
+    return _by_ranks(values, by, probabilities, _splits(values, rows, buckets), broadcast_bytes)
 
 
-def _splits(values: DataFrame, buckets: int) -> list[float]:
+def _splits(values: DataFrame, rows: int, buckets: int) -> list[float]:
     """Bucket borders from a sample; they balance the work and never touch the result."""
-    rows = values.count()
     sample = values.sample(min(1.0, SPLIT_SAMPLE_ROWS / max(rows, 1)), seed=7)
     probabilities = F.array(*(F.lit(i / buckets) for i in range(1, buckets)))
     found = sample.agg(F.percentile_approx("value", probabilities, F.lit(10 * buckets)).alias("s")).first()["s"]
@@ -50,13 +50,13 @@ def _splits(values: DataFrame, buckets: int) -> list[float]:
     return [-math.inf, *finite, math.inf]
 
 
-def _by_ranks(values: DataFrame, by: list[str], probabilities: list[float], buckets: int, broadcast_bytes: int) -> DataFrame:
+def _by_ranks(values: DataFrame, by: list[str], probabilities: list[float], splits: list[float], broadcast_bytes: int) -> DataFrame:
     """Find each rank's bucket from bucket counts, then its value inside that bucket only.
 
     The borders are shared by all groups, so a group with a third of all rows
     also spreads over a third of the buckets.
     """
-    cut = Bucketizer(splits=_splits(values, buckets), inputCol="value", outputCol="bucket", handleInvalid="keep")
+    cut = Bucketizer(splits=splits, inputCol="value", outputCol="bucket", handleInvalid="keep")
     bucketed = cut.transform(values).withColumn("bucket", F.col("bucket").cast("int"))
 
     counts = bucketed.groupBy(*by, "bucket").agg(F.count(F.lit(1)).alias("n"))

@@ -9,6 +9,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tsubo.sources.tables import spread
+
 BASE_COLUMNS = [
     "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_discount", "l_tax",
     "CAST(l_quantity AS BIGINT) AS q",
@@ -58,7 +60,7 @@ BASE_URL = "https://example.org/"
 
 
 def once_listed(lineitem: DataFrame) -> DataFrame:
-    return lineitem.selectExpr(*BASE_COLUMNS).selectExpr(*(f"{sql} AS {name}" for name, sql in LISTING_COLUMNS.items()))
+    return spread(lineitem).selectExpr(*BASE_COLUMNS).selectExpr(*(f"{sql} AS {name}" for name, sql in LISTING_COLUMNS.items()))
 
 
 def raw_listings(lineitem: DataFrame) -> DataFrame:

@@ -30,6 +30,18 @@ def read_table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder.rstrip('/')}/{name}.parquet")
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """Deal out rows that arrive in fewer partitions than there are cores.
+
+    For work that costs far more than moving its input.  A large table has more
+    partitions than cores anyway and is not moved.
+    """
+    if df.isStreaming:
+        return df
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+
+
 def read_pages(spark: SparkSession, path: str) -> DataFrame:
     """Collected pages from Parquet."""
     return spark.read.schema(PAGES_SCHEMA).parquet(path)
