@@ -148,3 +148,10 @@ def test_scaling_keeps_constant_features(spark):
     assert own == [(-1.0, 0.0, False), (1.0, 0.0, False), (7.0, 1.0, True), (9.0, 1.0, True)]
     refit = sorted(tuple(r) for r in encode.standardize_features(df, ["a", "b"], refit_on_test=True).collect())
     assert refit == [(-1.0, 0.0, False), (-1.0, 0.0, True), (1.0, 0.0, False), (1.0, 0.0, True)]
+
+
+def test_one_hot_vector_equals_the_columns(spark):
+    train = spark.createDataFrame([("1K",), ("1R",), ("1DK",), ("1K",), (None,)], "p STRING")
+    rows = spark.createDataFrame([("1DK",), ("1K",), ("1R",), ("new",), (None,)], "p STRING")
+    got = {r["p"]: r["v"].toArray().tolist() for r in encode.one_hot_vector(train, rows, "p", "v").collect()}
+    assert got == {"1DK": [0, 0], "1K": [1, 0], "1R": [0, 1], "new": [0, 0], None: [0, 0]}

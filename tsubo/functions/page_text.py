@@ -78,50 +78,59 @@ class Page:
 def read_page(html: str | None) -> Element:
     html = html or ""
     page = Page()
-    open_ = [Element(page, "", "", None)]
-    silent = False  # whether the page has had an element without page text
+    pieces = page.pieces
+    root = Element(page, "", "", None)
+    open_ = [root]
+    silent = 0  # open elements whose text is not page text
     at = 0
-
-    def add_text(text: str) -> None:
-        if text and not (silent and any(e.tag in NOT_TEXT for e in open_)):
-            page.pieces.append(unescape(text) if "&" in text else text)
-
-    def close_from(depth: int) -> None:
-        while len(open_) > depth:
-            open_.pop().close()
-
-    while token := TOKEN.search(html, at):
-        add_text(html[at : token.start()])
-        at = token.end()
-        ending, tag, raw = token.groups()
-        if tag is None:
-            continue
-        tag = tag.lower()
-        if ending:
-            for depth in range(len(open_) - 1, 0, -1):
-                if open_[depth].tag == tag:
-                    close_from(depth)
-                    break
-            continue
-        if tag in ENDS:
-            closes, parents = ENDS[tag]
-            for depth in range(len(open_) - 1, 0, -1):
-                if open_[depth].tag in parents:
+    more = True
+    while more:
+        more = False
+        for token in TOKEN.finditer(html, at):
+            start = token.start()
+            if start > at and not silent:
+                piece = html[at:start]
+                pieces.append(unescape(piece) if "&" in piece else piece)
+            at = token.end()
+            ending, tag, raw = token.groups()
+            if tag is None:
+                continue
+            tag = tag.lower()
+            keep = len(open_)  # how many open elements stay open
+            if ending:
+                for depth in range(len(open_) - 1, 0, -1):
+                    if open_[depth].tag == tag:
+                        keep = depth
+                        break
+            elif tag in ENDS:
+                closes, parents = ENDS[tag]
+                for depth in range(len(open_) - 1, 0, -1):
+                    if open_[depth].tag in parents:
+                        break
+                    if open_[depth].tag in closes:
+                        keep = depth
+            while len(open_) > keep:
+                closed = open_.pop()
+                closed.close()
+                silent -= closed.tag in NOT_TEXT
+            if ending:
+                continue
+            element = Element(page, tag, raw, open_[-1])
+            if tag in VOID:
+                element.close()
+                continue
+            open_.append(element)
+            if tag in NOT_TEXT:
+                silent += 1
+                if tag in NO_TAGS_INSIDE:
+                    finish = NO_TAGS_INSIDE[tag].search(html, at)
+                    at = finish.start() if finish else len(html)
+                    more = True
                     break
-                if open_[depth].tag in closes:
-                    close_from(depth)
-        element = Element(page, tag, raw, open_[-1])
-        if tag in VOID:
-            element.close()
-            continue
-        open_.append(element)
-        silent = silent or tag in NOT_TEXT
-        if tag in NO_TAGS_INSIDE:
-            finish = NO_TAGS_INSIDE[tag].search(html, at)
-            at = finish.start() if finish else len(html)
-    add_text(html[at:])
-    root = open_[0]
-    close_from(0)
+    if at < len(html) and not silent:
+        pieces.append(unescape(html[at:]))
+    for element in open_:
+        element.close()
     return root
 
 

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.ml.feature import VectorAssembler
+from pyspark.ml.feature import OneHotEncoder, StringIndexer, VectorAssembler, VectorSlicer
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -14,7 +14,7 @@ def categories(train: DataFrame, column: str) -> list[str]:
     """Sorted distinct values of the training rows (few enough to become columns)."""
     rows = train.select(column).na.drop().distinct().limit(WIDEST_ENCODING + 1).collect()
     if len(rows) > WIDEST_ENCODING:
-        raise ValueError(f"{column} has more than {WIDEST_ENCODING} values: too many for one column each")
+        raise ValueError(f"{column} has more than {WIDEST_ENCODING} values: use one_hot_vector")
     return sorted(row[0] for row in rows)
 
 
@@ -32,6 +32,25 @@ def one_hot(df: DataFrame, column: str, values: list[str]) -> DataFrame:
     return df.withColumns(dummies)
 
 
+def one_hot_vector(train: DataFrame, df: DataFrame, column: str, output: str) -> DataFrame:
+    """The same encoding as one sparse vector, for any number of categories.
+
+    The indexer puts unknown values last and the encoder drops the last slot, so
+    they become all zeros; the slicer drops the baseline's slot.
+    """
+    text, index, slots = f"{column}_text", f"{column}_index", f"{column}_slots"
+    indexer = StringIndexer(inputCol=text, outputCol=index, handleInvalid="keep", stringOrderType="alphabetAsc")
+    known = train.select(F.col(column).cast("string").alias(text)).na.drop().distinct()
+    indexed = indexer.fit(known)
+    width = len(indexed.labelsArray[0])
+    found = indexed.transform(df.withColumn(text, F.col(column).cast("string")))
+    # Fitted on the index alone: its size comes from the indexer, not from the rows.
+    encoder = OneHotEncoder(inputCol=index, outputCol=slots, dropLast=True)
+    hot = encoder.fit(found.limit(1)).transform(found)
+    sliced = VectorSlicer(inputCol=slots, outputCol=output, indices=list(range(1, width)))
+    return sliced.transform(hot).drop(text, index, slots)
+
+
 def assemble(df: DataFrame, features: list[str], output: str = "features") -> DataFrame:
     """One vector column from the feature columns, in the given order."""
     return VectorAssembler(inputCols=features, outputCol=output, handleInvalid="error").transform(df)

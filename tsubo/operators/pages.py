@@ -70,11 +70,13 @@ def _read(pages: DataFrame, rows: Callable[[str, Element], Iterator[dict]], sche
         ready: list[dict] = []
         for batch in batches:
             for url, html in zip(batch.column(0), batch.column(1), strict=True):
-                for row in rows(url.as_py(), page_text.read_page(html.as_py())):
+                page = page_text.read_page(html.as_py())
+                for row in rows(url.as_py(), page):
                     ready.append(row)
                     if len(ready) >= ROWS_PER_BATCH:
                         yield pa.RecordBatch.from_pylist(ready, schema=schema)
                         ready = []
+                page.page.elements.clear()  # leaves no cycles for the collector
         if ready:
             yield pa.RecordBatch.from_pylist(ready, schema=schema)
 

@@ -29,27 +29,33 @@ def column_profile(df: DataFrame) -> DataFrame:
     return counts.select(F.inline(F.array(*rows)))
 
 
-def _long(df: DataFrame, columns: list[str], kind: str) -> DataFrame:
-    """One row per cell of the named columns."""
-    cells = [F.struct(F.lit(c).alias("column_name"), F.col(c).cast(kind).alias("value")) for c in columns]
-    return df.select(F.inline(F.array(*cells)))
-
-
 def describe_numeric(df: DataFrame, **limits) -> DataFrame:
-    """Count, mean, sample deviation, minimum, quartiles and maximum per numeric column."""
+    """Count, mean, sample deviation, minimum, quartiles and maximum per numeric column.
+
+    The moments of all columns come from one aggregate row; only the quartiles
+    need the cells one by one, keyed by column number.
+    """
     columns = numeric_columns(df)
-    cells = _long(df, columns, "double")
-    moments = cells.groupBy("column_name").agg(
-        F.count("value").alias("count"),
-        F.avg("value").alias("mean"),
-        F.stddev_samp("value").alias("std"),
-        F.min("value").alias("min"),
-        F.max("value").alias("max"),
+    moments = df.agg(
+        *(
+            F.expr(
+                f"named_struct('column_name', '{c}', 'count', count(`{c}`), 'mean', avg(`{c}`), "
+                f"'std', stddev_samp(`{c}`), 'min', double(min(`{c}`)), 'max', double(max(`{c}`))) AS `{c}`"
+            )
+            for c in columns
+        )
+    ).first()
+    cells = df.selectExpr("posexplode(array(" + ", ".join(f"double(`{c}`)" for c in columns) + ")) AS (place, value)")
+    rows = sum(moments[c]["count"] for c in columns)
+    quartiles = quantiles(cells, ["place"], "value", [0.25, 0.5, 0.75], rows=rows, **limits)
+    described = df.sparkSession.createDataFrame(
+        [(i, *moments[c]) for i, c in enumerate(columns)],
+        "place INT, column_name STRING, count BIGINT, mean DOUBLE, std DOUBLE, min DOUBLE, max DOUBLE",
     )
-    quartiles = quantiles(cells, ["column_name"], "value", [0.25, 0.5, 0.75], **limits).select(
-        "column_name", *(F.get("quantiles", F.lit(i)).alias(name) for i, name in enumerate(("q25", "q50", "q75")))
+    # One row per column of the table on either side.
+    return described.join(F.broadcast(quartiles), "place", "left").selectExpr(
+        "column_name", "count", "mean", "std", "min", "max", "quantiles[0] AS q25", "quantiles[1] AS q50", "quantiles[2] AS q75"
     )
-    return moments.join(quartiles, "column_name", "left")
 
 
 def describe_text(df: DataFrame) -> DataFrame:
@@ -57,7 +63,9 @@ def describe_text(df: DataFrame) -> DataFrame:
 
     Of equally frequent values the smallest is reported.
     """
-    cells = _long(df, text_columns(df), "string").na.drop(subset=["value"])
+    columns = text_columns(df)
+    pairs = ", ".join(f"struct('{c}' AS column_name, `{c}` AS value)" for c in columns)
+    cells = df.selectExpr(f"inline(array({pairs}))").na.drop(subset=["value"])
     frequency = cells.groupBy("column_name", "value").agg(F.count(F.lit(1)).alias("n"))
     # min_by on the negated count: ties go to the smaller text.
     return frequency.groupBy("column_name").agg(

@@ -23,6 +23,7 @@ def quantiles(
     by: list[str],
     value: str,
     probabilities: list[float],
+    rows: int | None = None,
     rows_in_memory: int = ROWS_IN_MEMORY,
     buckets: int = BUCKETS,
     broadcast_bytes: int = BROADCAST_BYTES,
@@ -30,11 +31,11 @@ def quantiles(
     """``by`` columns plus ``quantiles``, an array with one value per probability.
 
     NULL values are skipped and NULL keys form a group.  ``df`` should read a
-    written table: it is scanned once for its size, and three times when it is
-    larger than ``rows_in_memory``.
+    written table: it is scanned once, and three times when it has more than
+    ``rows_in_memory`` rows (counted here unless ``rows`` says how many).
     """
     values = df.select(*by, F.col(value).cast("double").alias("value")).na.drop(subset=["value"])
-    rows = df.count()
+    rows = df.count() if rows is None else rows
     if rows <= rows_in_memory:
         exact = F.percentile("value", F.array(*(F.lit(float(p)) for p in probabilities)))
         return values.groupBy(*by).agg(exact.alias("quantiles"))

@@ -40,7 +40,7 @@ def _lineitem(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def _pages(spark: SparkSession, folder: str) -> DataFrame:
-    return tables.read_table(spark, folder, "pages")
+    return tables.read_pages(spark, f"{folder.rstrip('/')}/pages.parquet")
 
 
 # Cleaning -------------------------------------------------------------------
