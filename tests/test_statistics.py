@@ -34,6 +34,13 @@ def test_grouped_quantiles_equal_numpy(skewed, limits):
         assert got[g] == pytest.approx(list(np.quantile(known, PROBABILITIES)), rel=1e-12), g
 
 
+@pytest.mark.parametrize("name", ["bucket", "n", "place", "rank", "value"])
+def test_group_columns_may_have_any_name(spark, name):
+    df = stage(spark.range(100).select((F.col("id") % 2).alias(name), F.col("id").cast("double").alias("x")), "named")
+    got = quantiles(df, [name], "x", [0.5], rows_in_memory=0, buckets=4)
+    assert {r[name]: list(r["quantiles"]) for r in got.collect()} == {0: [49.0], 1: [50.0]}
+
+
 def test_whole_table_quantiles(skewed):
     df, data = skewed
     known = [x for _, x in data if x is not None]

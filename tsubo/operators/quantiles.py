@@ -14,8 +14,10 @@ from tsubo.sources.staging import stage
 # Up to this many rows the built-in aggregate, which keeps a count per distinct
 # value of a group in memory, is exact and safe.
 ROWS_IN_MEMORY = 4_000_000
-BUCKETS = 1024
-SPLIT_SAMPLE_ROWS = 100_000
+# Beyond it, as many buckets as keep one bucket's rows near this number.
+ROWS_PER_BUCKET = 1_000_000
+FEWEST_BUCKETS, MOST_BUCKETS = 1024, 65536
+SAMPLE_ROWS_PER_BUCKET = 100
 
 
 def quantiles(
@@ -25,7 +27,7 @@ def quantiles(
     probabilities: list[float],
     rows: int | None = None,
     rows_in_memory: int = ROWS_IN_MEMORY,
-    buckets: int = BUCKETS,
+    buckets: int | None = None,
     broadcast_bytes: int = BROADCAST_BYTES,
 ) -> DataFrame:
     """``by`` columns plus ``quantiles``, an array with one value per probability.
@@ -34,17 +36,23 @@ def quantiles(
     written table: it is scanned once, and three times when it has more than
     ``rows_in_memory`` rows (counted here unless ``rows`` says how many).
     """
-    values = df.select(*by, F.col(value).cast("double").alias("value")).na.drop(subset=["value"])
+    # The keys get names of their own, so that they cannot meet a working column.
+    keys = [f"_by{i}" for i in range(len(by))]
+    values = df.select(*(F.col(c).alias(k) for c, k in zip(by, keys, strict=True)), F.col(value).cast("double").alias("value"))
+    values = values.na.drop(subset=["value"])
     rows = df.count() if rows is None else rows
     if rows <= rows_in_memory:
         exact = F.percentile("value", F.array(*(F.lit(float(p)) for p in probabilities)))
-        return values.groupBy(*by).agg(exact.alias("quantiles"))
-    return _by_ranks(values, by, probabilities, _splits(values, rows, buckets), broadcast_bytes)
+        found = values.groupBy(*keys).agg(exact.alias("quantiles"))
+    else:
+        buckets = buckets or min(max(rows // ROWS_PER_BUCKET, FEWEST_BUCKETS), MOST_BUCKETS)
+        found = _by_ranks(values, keys, probabilities, _splits(values, rows, buckets), broadcast_bytes)
+    return found.withColumnsRenamed(dict(zip(keys, by, strict=True)))
 
 
 def _splits(values: DataFrame, rows: int, buckets: int) -> list[float]:
     """Bucket borders from a sample; they balance the work and never touch the result."""
-    sample = values.sample(min(1.0, SPLIT_SAMPLE_ROWS / max(rows, 1)), seed=7)
+    sample = values.sample(min(1.0, SAMPLE_ROWS_PER_BUCKET * buckets / max(rows, 1)), seed=7)
     probabilities = F.array(*(F.lit(i / buckets) for i in range(1, buckets)))
     found = sample.agg(F.percentile_approx("value", probabilities, F.lit(10 * buckets)).alias("s")).first()["s"]
     finite = sorted({s for s in found or [0.0] if math.isfinite(s)} or {0.0})
@@ -98,14 +106,14 @@ def _by_ranks(values: DataFrame, by: list[str], probabilities: list[float], spli
         .withColumn("upto", F.sum("n").over(inside))
         .withColumn("from", F.col("upto") - F.col("n"))
     )
-    renamed = targets.select([F.col(c).alias(f"_{c}") for c in targets.columns])
+    renamed = targets.select([F.col(c).alias(f"to_{c}") for c in targets.columns])
     same = F.lit(True)
     for k in key:
-        same = same & F.col(k).eqNullSafe(F.col(f"_{k}"))
-    offset = F.col("_rank") - F.col("_before")
+        same = same & F.col(k).eqNullSafe(F.col(f"to_{k}"))
+    offset = F.col("to_rank") - F.col("to_before")
     found = distinct.join(renamed, same & (F.col("from") <= offset) & (offset < F.col("upto")))
     # A weight of zero must not turn an infinite neighbour into NaN.
-    part = F.when(F.col("_weight") > 0, F.col("_weight") * F.col("value")).otherwise(0.0)
-    points = found.groupBy(*by, "_place").agg(F.sum(part).alias("point"))
-    packed = points.groupBy(*by).agg(F.sort_array(F.collect_list(F.struct("_place", "point"))).alias("points"))
+    part = F.when(F.col("to_weight") > 0, F.col("to_weight") * F.col("value")).otherwise(0.0)
+    points = found.groupBy(*by, "to_place").agg(F.sum(part).alias("point"))
+    packed = points.groupBy(*by).agg(F.sort_array(F.collect_list(F.struct("to_place", "point"))).alias("points"))
     return packed.select(*by, F.transform("points", lambda p: p["point"]).alias("quantiles"))
