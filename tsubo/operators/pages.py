@@ -130,19 +130,22 @@ def absolute_url(href: Column, base_url: str) -> Column:
 
 def listings_from_blocks(blocks: DataFrame, base_url: str, strict_stations: bool = False, with_image: bool = False) -> DataFrame:
     """One raw listing per unit; a building without units gives no row."""
+    image = ["img"] if with_image else []
     station = stations.summarize(F.col("station_texts"), strict=strict_stations)
+    # The building's own columns are made before its units are opened, once per building.
     building = blocks.select(
-        *(["img"] if with_image else []),
+        *image,
         "title",
         "address",
         F.get("cells", F.lit(0)).alias("building_age"),
         F.get("cells", F.lit(1)).alias("building_size"),
         *(column.alias(name) for name, column in station._asdict().items()),
-        F.explode_outer("units").alias("unit"),
-    ).filter("unit IS NOT NULL")
+        "units",
+    )
+    opened = building.select("*", F.explode_outer("units").alias("unit")).filter("unit IS NOT NULL").drop("units")
     unit = {"url": absolute_url(F.col("unit.href"), base_url), "floor": F.get("unit.cells", F.lit(2))}
     values = [unit.get(c, F.col(f"unit.{c}")).alias(c) for c in UNIT_COLUMNS]
-    return building.select("*", *values).drop("unit").select(*(["img"] if with_image else []), *RAW_COLUMNS)
+    return opened.select("*", *values).select(*image, *RAW_COLUMNS)
 
 
 def extract_listings(pages: DataFrame, base_url: str, **options) -> DataFrame:
