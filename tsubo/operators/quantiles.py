@@ -12,8 +12,9 @@ from tsubo.operators.lookup import BROADCAST_BYTES, attach
 from tsubo.sources.staging import stage
 
 # Up to this many rows the built-in aggregate, which keeps a count per distinct
-# value of a group in memory, is exact and safe.
-ROWS_IN_MEMORY = 4_000_000
+# value of a group in memory, is exact and safe: about half a gigabyte if every
+# value is distinct and one task gets all of them.
+ROWS_IN_MEMORY = 12_000_000
 # Beyond it, as many buckets as keep one bucket's rows near this number.
 ROWS_PER_BUCKET = 1_000_000
 FEWEST_BUCKETS, MOST_BUCKETS = 1024, 65536
