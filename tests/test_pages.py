@@ -1,5 +1,10 @@
+import subprocess
+import sys
+
 import pytest
+from pyspark import cloudpickle
 
+from tsubo.functions import page_text
 from tsubo.operators import pages
 from tsubo.sources import tables
 from tsubo.streaming import intake
@@ -94,3 +99,13 @@ def test_stream_appends_new_pages_only(spark, tmp_path):
         stream = intake.read_page_stream(spark, source)
         intake.append_listings(stream, BASE, output, progress).awaitTermination()
         assert spark.read.schema(tables.LISTINGS_RAW_SCHEMA).parquet(output).count() == expected
+
+
+def test_page_functions_need_no_installed_package():
+    load = (
+        "import sys\nfrom pyspark import cloudpickle\nblocks, read = cloudpickle.loads(sys.stdin.buffer.read())\n"
+        "assert 'tsubo' not in sys.modules\nprint(len(list(blocks('u', read('<div class=cassetteitem>x</div>')))))"
+    )
+    job = cloudpickle.dumps((pages._blocks, page_text.read_page))
+    done = subprocess.run([sys.executable, "-c", load], input=job, capture_output=True, cwd="/", check=True)
+    assert done.stdout.strip() == b"1"
