@@ -2,7 +2,7 @@
 
 A small helper for the page operators: it only opens the page; blocks, units
 and links become rows and columns in Spark.  One regular expression walks over
-the tags, several times faster than the standard library's parser; attributes
+the tags, two to three times as fast as the standard library's parser; attributes
 are read only where somebody asks for them.
 """
 
