@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tsubo.llm import decontaminate, mixing, quality
+from tsubo.llm import decontaminate, jaccard_join, mixing, quality
 from tsubo.sources.tables import read_table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -62,6 +62,11 @@ def op5_soft_mixing(spark: SparkSession, folder: str) -> DataFrame:
     return mixing.mix(read_table(spark, folder, "documents"), read_table(spark, folder, "labels"))
 
 
+@query
+def op7_grouped_prefix_join(spark: SparkSession, folder: str) -> DataFrame:
+    return jaccard_join.similarity_classes(read_table(spark, folder, "documents"))
+
+
 @query
 def op10_contained_items(spark: SparkSession, folder: str) -> DataFrame:
     return decontaminate.contained(read_table(spark, folder, "documents"), read_table(spark, folder, "benchmark"))
