@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tsubo.llm import decontaminate, jaccard_join, mixing, quality
+from tsubo.llm import decontaminate, jaccard_join, mixing, quality, repeats
 from tsubo.sources.tables import read_table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -57,6 +57,12 @@ SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, fail
 """
 
 
+@query
+def op4_repeated_bytes(spark: SparkSession, folder: str) -> DataFrame:
+    found = repeats.repeated_ranges(read_table(spark, folder, "documents"))
+    return found.select("doc_id", "n_bytes", "n_removed", F.size("spans").cast("bigint").alias("n_spans"), "kept_sha256")
+
+
 @query
 def op5_soft_mixing(spark: SparkSession, folder: str) -> DataFrame:
     return mixing.mix(read_table(spark, folder, "documents"), read_table(spark, folder, "labels"))
