@@ -1,12 +1,12 @@
 """Written stages: cut lineage with a Parquet table in the shared folder.
 
 A stage outlives the executors that produced it, is read back column by column,
-and has an exact, measurable size.
+and has an exact, measurable size.  Stages go when the session's JVM ends, or
+earlier by ``discard``.
 """
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 from typing import NamedTuple
 
@@ -14,36 +14,53 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-_local_folders: dict[str, tempfile.TemporaryDirectory] = {}
-
 
 def shared_folder(spark: SparkSession) -> str:
-    """The folder the session names in ``spark.checkpoint.dir``.
-
-    Only a local session may go without: it gets a temporary folder of its own.
-    """
+    """The folder the session names in ``spark.checkpoint.dir``; all executors must reach it."""
     folder = spark.conf.get("spark.checkpoint.dir", None)
-    if folder:
-        return folder.rstrip("/")
-    context = spark.sparkContext
-    if not context.master.startswith("local"):
+    if not folder:
         raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
-    if context.applicationId not in _local_folders:
-        _local_folders[context.applicationId] = tempfile.TemporaryDirectory(prefix="tsubo-")
-    return _local_folders[context.applicationId].name
+    return folder.rstrip("/")
+
+
+def _file_system(spark: SparkSession, path: str):
+    jvm = spark.sparkContext._jvm
+    folder = jvm.org.apache.hadoop.fs.Path(path)
+    return folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), folder
 
 
 def new_path(spark: SparkSession, name: str) -> str:
-    return f"{shared_folder(spark)}/tsubo/{name}-{uuid.uuid4().hex}"
+    """A new folder name in the shared folder, removed at the end of the session."""
+    path = f"{shared_folder(spark)}/tsubo/{name}-{uuid.uuid4().hex}"
+    files, folder = _file_system(spark, path)
+    files.mkdirs(folder)  # only a folder that exists is noted for removal
+    files.deleteOnExit(folder)
+    return path
 
 
 def stage(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` once and return the written table."""
     path = new_path(df.sparkSession, name)
-    df.write.parquet(path)
+    df.write.mode("append").parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def discard(*stages: DataFrame) -> None:
+    """Delete written stages that nothing reads any more, and let go of finished shuffles.
+
+    Spark removes the files of a shuffle when the driver collects the last
+    reference to it; a chain of stages as large as its input cannot wait for that.
+    """
+    for df in stages:
+        spark = df.sparkSession
+        path = df.inputFiles()[0].rsplit("/", 1)[0]
+        if "/tsubo/" not in path:
+            raise ValueError(f"{path} is no stage")
+        files, folder = _file_system(spark, path)
+        files.delete(folder, True)
+        spark.sparkContext._jvm.System.gc()
+
+
 class Size(NamedTuple):
     rows: int
     bytes: int
