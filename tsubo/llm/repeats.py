@@ -29,7 +29,7 @@ from pyspark.sql import functions as F
 
 from tsubo.llm.byte_hash import Hasher, buffers, chunks
 from tsubo.operators.lookup import attach
-from tsubo.sources.staging import stage
+from tsubo.sources.staging import discard, stage
 
 LENGTH = 200
 GRAM = 32
@@ -252,8 +252,6 @@ def _blocks(segments: DataFrame, length: int) -> DataFrame:
                 if held >= BLOCK_BYTES and gram != grams[-1]:
                     yield flush()
                     grams, segs, texts, held = [], [], [], 0
-                if texts and gram == grams[-1] and seg == segs[-1]:
-                    continue  # the same segment, from a repeated row
                 grams.append(gram)
                 segs.append(seg)
                 texts.append(text)
@@ -272,21 +270,20 @@ def _by_window(segments: DataFrame, length: int) -> DataFrame:
     return windows.join(twice, ["gram", "digest"]).select("gram", "seg", "from", (F.col("from") + length).alias("to"))
 
 
-def _finish(rows: DataFrame, length: int, kind: str) -> DataFrame:
+def _finish(rows: DataFrame, kind: str) -> DataFrame:
     """Remove the ranges of each row and describe what is left."""
 
     def work(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in parts:
             sizes, removed, spans, digests = [], [], [], []
-            for text, whole, ranges in zip(batch.column("bytes"), batch.column("whole").to_pylist(), batch.column("ranges")):
+            for text, ranges in zip(batch.column("bytes"), batch.column("ranges")):
                 text = text.as_py()
-                runs: list[list[int]] = [[0, len(text)]] if whole and len(text) >= length else []
-                if not runs and ranges.is_valid:
-                    for a, b in sorted((r["from"], r["to"]) for r in ranges.as_py()):
-                        if runs and a <= runs[-1][1]:
-                            runs[-1][1] = max(runs[-1][1], b)
-                        else:
-                            runs.append([a, b])
+                runs: list[list[int]] = []
+                for a, b in sorted((r["from"], r["to"]) for r in ranges.as_py() or []):
+                    if runs and a <= runs[-1][1]:
+                        runs[-1][1] = max(runs[-1][1], b)
+                    else:
+                        runs.append([a, b])
                 digest, at = hashlib.sha256(), 0
                 for a, b in runs:
                     digest.update(text[at:a])
@@ -317,38 +314,37 @@ def repeated_ranges(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
     """
     texts = docs.select(F.col(doc_id).alias("doc_id"), F.encode(F.coalesce(F.col(text), F.lit("")), "UTF-8").alias("bytes"))
     keyed = texts.withColumns({"k1": F.xxhash64("bytes"), "k2": F.hash("bytes")})
-    kinds = keyed.groupBy("k1", "k2").agg(F.count(F.lit(1)).alias("copies"), F.min("doc_id").alias("first_id"))
-    copied = stage(kinds.filter("copies > 1"), "copied")
-    keyed = attach(keyed, copied, ["k1", "k2"])
-    once = keyed.filter("copies IS NULL OR doc_id <=> first_id").select("k1", "k2", "bytes")
 
-    anchors = stage(_anchors(once, length, gram), "anchors")
+    anchors = stage(_anchors(keyed.select("k1", "k2", "bytes"), length, gram), "anchors")
     grams = anchors.groupBy("gram").agg(F.count(F.lit(1)).alias("n"), F.min("seg").alias("one"), F.max("seg").alias("two")).filter("n > 1")
     repeated = anchors.join(grams.select("gram", (F.col("one") == F.col("two")).alias("alike")), "gram")
     repeated = stage(repeated, "repeated_anchors")
+    discard(anchors)
+
     segs = repeated.filter("NOT alike").groupBy("gram", "seg").agg(F.count(F.lit(1)).alias("n"), F.min(F.struct("k1", "k2", "start", "length")).alias("at"))
     segs = stage(segs.select("gram", "seg", "n", "at.*"), "segments")
     many = segs.groupBy("gram").count().filter(F.col("count") > crowded).select("gram", F.lit(True).alias("many"))
-    marked = attach(segs, stage(many, "crowded"), ["gram"])
+    many = stage(many, "crowded")
+    marked = attach(segs, many, ["gram"])
     cuts = marked.groupBy("k1", "k2").agg(F.collect_list(F.struct("start", "length", "gram", "seg", "many")).alias("cuts"))
-    opened = attach(once, stage(cuts.withColumn("cuts", F.to_binary(F.to_json("cuts"), F.lit("utf-8"))), "cuts"), ["k1", "k2"], "inner")
-    cut_type = "ARRAY<STRUCT<start: BIGINT, length: BIGINT, gram: BIGINT, seg: BIGINT, many: BOOLEAN>>"
-    opened = opened.select("bytes", F.explode_outer(F.from_json(F.decode("cuts", "UTF-8"), cut_type)).alias("c"))
+    # one text of each kind; copies meet before the shuffle
+    kinds = keyed.groupBy("k1", "k2").agg(F.first("bytes").alias("bytes"))
+    opened = kinds.join(cuts, ["k1", "k2"]).select("bytes", F.explode("cuts").alias("c"))
     opened = opened.select("c.gram", "c.seg", "c.many", F.substring("bytes", F.col("c.start").cast("int") + 1, F.col("c.length").cast("int")).alias("bytes"))
-    opened = stage(opened, "segment_bytes")
 
     partitions = max(int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")), 1)
     blocks = opened.filter("many IS NULL").repartition(partitions, "gram").sortWithinPartitions("gram", "seg").select("gram", "seg", "bytes")
-    ranges = _blocks(blocks, length).unionByName(_by_window(opened.filter("many").dropDuplicates(["gram", "seg"]), length))
+    ranges = _blocks(blocks, length)
+    if not many.isEmpty():
+        ranges = ranges.unionByName(_by_window(opened.filter("many"), length))
     whole = segs.filter("n > 1").select("gram", "seg", F.lit(0).cast("bigint").alias("from"), F.col("length").alias("to"))
     ranges = stage(ranges.unionByName(whole).groupBy("gram", "seg").agg(F.collect_set(F.struct("from", "to")).alias("ranges")), "ranges")
+    discard(segs)
 
     spread = repeated.filter("NOT alike").join(ranges, ["gram", "seg"]).select("k1", "k2", "start", F.explode("ranges").alias("r"))
     spread = spread.select("k1", "k2", (F.col("start") + F.col("r.from")).alias("from"), (F.col("start") + F.col("r.to")).alias("to"))
     alike = repeated.filter("alike").select("k1", "k2", F.col("start").alias("from"), (F.col("start") + F.col("length")).alias("to"))
-    per_text = spread.unionByName(alike).groupBy("k1", "k2").agg(F.sort_array(F.collect_set(F.struct("from", "to"))).alias("ranges"))
-    per_text = per_text.withColumn("ranges", F.to_binary(F.to_json("ranges"), F.lit("utf-8")))
-    rows = attach(keyed, stage(per_text, "text_ranges"), ["k1", "k2"])
-    parsed = F.from_json(F.decode("ranges", "UTF-8"), "ARRAY<STRUCT<`from`: BIGINT, `to`: BIGINT>>")
-    rows = rows.select("doc_id", "bytes", F.coalesce(F.col("copies") > 1, F.lit(False)).alias("whole"), parsed.alias("ranges"))
-    return _finish(rows, length, docs.schema[doc_id].dataType.simpleString())
+    per_text = stage(spread.unionByName(alike).groupBy("k1", "k2").agg(F.collect_set(F.struct("from", "to")).alias("ranges")), "text_ranges")
+    discard(repeated, ranges)
+    rows = keyed.join(per_text, ["k1", "k2"], "left").select("doc_id", "bytes", "ranges")
+    return _finish(rows, docs.schema[doc_id].dataType.simpleString())
