@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tsubo.llm import decontaminate, jaccard_join, mixing, quality, repeats
+from tsubo.llm import decontaminate, jaccard_join, mixing, private_terms, quality, repeats, secrets_scan
 from tsubo.sources.tables import read_table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -68,6 +68,16 @@ def op5_soft_mixing(spark: SparkSession, folder: str) -> DataFrame:
     return mixing.mix(read_table(spark, folder, "documents"), read_table(spark, folder, "labels"))
 
 
+@query
+def op6_guess_cost_secrets(spark: SparkSession, folder: str) -> DataFrame:
+    return secrets_scan.report(read_table(spark, folder, "documents"))
+
+
+@query
+def op8_revealing_terms(spark: SparkSession, folder: str) -> DataFrame:
+    return private_terms.report(read_table(spark, folder, "documents"))
+
+
 @query
 def op7_grouped_prefix_join(spark: SparkSession, folder: str) -> DataFrame:
     return jaccard_join.similarity_classes(read_table(spark, folder, "documents"))

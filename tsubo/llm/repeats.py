@@ -317,9 +317,10 @@ def repeated_ranges(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
 
     anchors = stage(_anchors(keyed.select("k1", "k2", "bytes"), length, gram), "anchors")
     grams = anchors.groupBy("gram").agg(F.count(F.lit(1)).alias("n"), F.min("seg").alias("one"), F.max("seg").alias("two")).filter("n > 1")
-    repeated = anchors.join(grams.select("gram", (F.col("one") == F.col("two")).alias("alike")), "gram")
-    repeated = stage(repeated, "repeated_anchors")
-    discard(anchors)
+    # written first, so that the join deals both sides itself and can split a hot anchor
+    grams = stage(grams.select("gram", (F.col("one") == F.col("two")).alias("alike")), "repeated_grams")
+    repeated = stage(anchors.join(grams, "gram"), "repeated_anchors")
+    discard(anchors, grams)
 
     segs = repeated.filter("NOT alike").groupBy("gram", "seg").agg(F.count(F.lit(1)).alias("n"), F.min(F.struct("k1", "k2", "start", "length")).alias("at"))
     segs = stage(segs.select("gram", "seg", "n", "at.*"), "segments")
