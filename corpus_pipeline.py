@@ -3,8 +3,9 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from tsubo.llm import decontaminate, mixing, quality
+from tsubo.llm import decontaminate, jaccard_join, mixing, quality, secrets_scan
 from tsubo.sources.staging import stage
 from tsubo.sources.tables import read_table
 
@@ -14,11 +15,21 @@ def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
     return quality.keep(docs)
 
 
+def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group of similar ones."""
+    return jaccard_join.one_per_class(docs)
+
+
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that contain no benchmark item."""
     return decontaminate.clean_documents(docs, read_table(spark, sf_dir, "benchmark"))
 
 
+def secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """All documents, their secrets replaced; ``n_chars`` follows the text."""
+    return secrets_scan.redact(docs).withColumn("n_chars", F.coalesce(F.length("text").cast("bigint"), F.col("n_chars")))
+
+
 def mixing_rates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Every document with its tokens, domain posteriors and rate."""
     return mixing.mix(docs, read_table(spark, sf_dir, "labels"))
@@ -26,7 +37,9 @@ def mixing_rates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
 STAGES = [
     ("quality_rules", quality_rules),
+    ("near_duplicates", near_duplicates),
     ("decontamination", decontamination),
+    ("secrets", secrets),
     ("mixing_rates", mixing_rates),
 ]
 

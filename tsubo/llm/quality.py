@@ -74,8 +74,7 @@ def measure(docs: DataFrame, text: str = "text") -> DataFrame:
         lambda i: F.xxhash64(F.get("tokens", i), F.get("tokens", i + 1), F.get("tokens", i + 2)).bitwiseAND(F.bitwise_not(F.col("mask"))).bitwiseOR(i.cast("bigint")),
     )
     parts = parts.withColumn("windows", windows).withColumn("order", F.sort_array("windows")).drop("windows")
-    return parts.select(
-        "row",
+    numbers = F.struct(
         F.size("tokens").cast("bigint").alias("n_words"),
         F.length(F.array_join("tokens", "")).cast("bigint").alias("word_chars"),
         "n_symbols",
@@ -83,6 +82,9 @@ def measure(docs: DataFrame, text: str = "text") -> DataFrame:
         _covered(F.col("tokens"), F.col("order"), F.col("mask")).alias("n_repeat_words"),
         F.size("lines").cast("bigint").alias("n_lines"),
     )
+    # opening an array of one keeps a later filter from being moved below, where the
+    # word array would be computed again for every element
+    return parts.select("row", F.explode_outer(F.array(numbers)).alias("m")).select("row", "m.*")
 
 
 def ledger(docs: DataFrame, text: str = "text", rules: Mapping[int, tuple[str, str]] = RULES) -> DataFrame:

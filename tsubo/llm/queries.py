@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tsubo.llm import decontaminate, jaccard_join, mixing, private_terms, quality, repeats, secrets_scan
+from tsubo.llm import decontaminate, jaccard_join, language, mixing, private_terms, quality, quotes, repeats, secrets_scan, url_filter
 from tsubo.sources.tables import read_table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -20,6 +20,52 @@ def query(f: Query) -> Query:
     return f
 
 
+# Both queries state the linking of given messages m(conv_id, turn, role, text).
+_QUOTES = r""", l AS (
+  SELECT conv_id, turn, i, line, len(regexp_extract_all(regexp_extract(line, '^[ \t]*(?:>[ \t]?)+'), '>')) AS level,
+         substr(line, length(regexp_extract(line, '^[ \t]*(?:>[ \t]?)+')) + 1) AS content
+  FROM (SELECT conv_id, turn, unnest(string_split(text, chr(10))) AS line, generate_subscripts(string_split(text, chr(10)), 1) AS i FROM m WHERE text <> '')
+), k AS (
+  SELECT *, lower(trim(regexp_replace(content, '\s+', ' ', 'g'))) AS c, lead(level, 1, 0) OVER (PARTITION BY conv_id, turn ORDER BY i) AS next FROM l
+), o AS (SELECT DISTINCT conv_id, turn, c FROM k WHERE level = 0 AND c <> ''),
+q AS (SELECT k.conv_id, k.turn, k.level, k.i, max(o.turn) AS source FROM k LEFT JOIN o ON k.conv_id = o.conv_id AND k.c = o.c AND o.turn < k.turn
+      WHERE k.level > 0 AND k.c <> '' GROUP BY k.conv_id, k.turn, k.level, k.i),
+v AS (SELECT conv_id, turn, source, count(*) AS n FROM q WHERE level = 1 AND source IS NOT NULL GROUP BY ALL),
+p AS (SELECT conv_id, turn, max(struct_pack(n := n, source := source)).source AS parent FROM v GROUP BY ALL),
+r(conv_id, turn, up) AS (SELECT conv_id, turn, parent FROM p UNION ALL SELECT r.conv_id, r.turn, p.parent FROM r JOIN p ON r.conv_id = p.conv_id AND r.up = p.turn),
+t AS (SELECT conv_id, turn, min(up) AS thread FROM r GROUP BY ALL),
+n AS (SELECT conv_id, turn, count(*) AS n_quoted, count(source) AS n_linked FROM q GROUP BY ALL),
+x AS (SELECT conv_id, turn, string_agg(content, chr(10) ORDER BY i) AS text FROM k
+      WHERE level = 0 AND NOT (next > 0 AND regexp_matches(content, 'wrote:\s*$')) GROUP BY ALL)
+SELECT m.conv_id, m.turn, m.role, regexp_replace(coalesce(x.text, ''), '^\s+|\s+$', '', 'g') AS text, parent, coalesce(thread, m.turn) AS thread,
+       coalesce(n_quoted, 0) AS n_quoted, coalesce(n_linked, 0) AS n_linked
+FROM m LEFT JOIN x USING (conv_id, turn) LEFT JOIN p USING (conv_id, turn) LEFT JOIN t USING (conv_id, turn) LEFT JOIN n USING (conv_id, turn)
+"""
+
+
+@query
+def op1_quotation_links(spark: SparkSession, folder: str) -> DataFrame:
+    return quotes.link(read_table(spark, folder, "conversations"))
+
+
+ORACLES["op1_quotation_links"] = "WITH RECURSIVE m AS (SELECT conv_id, turn, role, text FROM conversations)" + _QUOTES
+
+
+@query
+def quoted_replies(spark: SparkSession, folder: str) -> DataFrame:
+    """The same over messages that quote, derived from all given ones."""
+    return quotes.link(quotes.quoting(read_table(spark, folder, "conversations")))
+
+
+ORACLES["quoted_replies"] = (
+    r"""WITH RECURSIVE f AS (SELECT conv_id, turn, string_split(text, chr(10))[1:2] AS lines FROM conversations),
+m AS (SELECT c.conv_id, c.turn, c.role, array_to_string(
+        list_transform(coalesce(b.lines, []), lambda x: '>> ' || x) || list_transform(coalesce(a.lines, []), lambda x: '> ' || x) || [c.text], chr(10)) AS text
+      FROM conversations c LEFT JOIN f a ON a.conv_id = c.conv_id AND a.turn + 2 = c.turn LEFT JOIN f b ON b.conv_id = c.conv_id AND b.turn + 4 = c.turn)"""
+    + _QUOTES
+)
+
+
 @query
 def op2_rule_ledger(spark: SparkSession, folder: str) -> DataFrame:
     entries = quality.ledger(read_table(spark, folder, "documents"))
@@ -57,6 +103,11 @@ SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, fail
 """
 
 
+@query
+def op3_string_kernel(spark: SparkSession, folder: str) -> DataFrame:
+    return language.identify(read_table(spark, folder, "documents"))
+
+
 @query
 def op4_repeated_bytes(spark: SparkSession, folder: str) -> DataFrame:
     found = repeats.repeated_ranges(read_table(spark, folder, "documents"))
@@ -83,6 +134,33 @@ def op7_grouped_prefix_join(spark: SparkSession, folder: str) -> DataFrame:
     return jaccard_join.similarity_classes(read_table(spark, folder, "documents"))
 
 
+@query
+def op9_listed_urls(spark: SparkSession, folder: str) -> DataFrame:
+    pages = read_table(spark, folder, "pages")
+    return url_filter.judge(pages, url_filter.rules_table(spark), url_filter.mirrored(pages))
+
+
+ORACLES["op9_listed_urls"] = r"""
+WITH u AS (
+  SELECT page_id, url, CASE WHEN strpos(url, '://') > 0 THEN substr(url, strpos(url, '://') + 3) ELSE '' END AS rest FROM pages
+), p AS (
+  SELECT page_id, url, translate(regexp_extract(rest, '^[^/?#]*'), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS host,
+         regexp_extract(rest, '^[^/?#]*([^?#]*)', 1) AS path FROM u
+), c AS (
+  SELECT *, regexp_replace(host, '^(www|m)\.', '') || regexp_replace(path, '(\.html?|/+)$', '') AS name FROM p
+), listed AS (
+  SELECT name FROM c WHERE name <> '' GROUP BY name HAVING min(url) <> max(url)
+), rules(verdict, h, p) AS (
+  VALUES ('allow', 'org', '/'), ('block', 'example.org', '/es/'), ('block', 'example.org', '/en/1'), ('allow', 'com', '/fr/'), ('block', 'com', '/de/')
+), fit AS (
+  SELECT page_id, arg_max(r.h || r.p, len(r.h || r.p)) AS rule, arg_max(r.verdict, len(r.h || r.p)) AS rv
+  FROM c JOIN rules r ON (c.host = r.h OR ends_with(c.host, '.' || r.h)) AND starts_with(c.path, r.p) GROUP BY page_id
+)
+SELECT page_id, host, path, rule, coalesce(rv, CASE WHEN name IN (SELECT name FROM listed) THEN 'block' ELSE 'allow' END) AS verdict
+FROM c LEFT JOIN fit USING (page_id)
+"""
+
+
 @query
 def op10_contained_items(spark: SparkSession, folder: str) -> DataFrame:
     return decontaminate.contained(read_table(spark, folder, "documents"), read_table(spark, folder, "benchmark"))
