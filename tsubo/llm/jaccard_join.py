@@ -3,14 +3,14 @@
 Documents with equal shingle sets are one class.  Classes with equal size and
 equal prefix (the first tokens in one global order, so many that similar sets
 must share one) are one group.  Tokens are joined on groups; group pairs that
-pass the size and position filters are expanded to members and verified.
+pass the size filter and share enough prefix tokens are expanded to members and verified.
 
 The order puts tokens of common buckets last, by a fixed-size frequency sketch;
 any order gives the same result, this one keeps passages that very many
 documents share out of the prefixes.
 
 Only components are asked for, so links inside a component need not be listed.
-Round one verifies, per token, each group against its neighbour in size order.
+Round one verifies groups that are neighbours in size order under enough tokens.
 Round two joins tokens again, but only groups that are not yet in one
 component.  A group of m near copies thus costs some m pairs, and no link
 between different components is left out.
@@ -28,7 +28,7 @@ from pyspark.sql import functions as F
 from tsubo.llm.components import components
 from tsubo.llm.shingles import batches, binary, row_sets, shingle_hashes
 from tsubo.operators.lookup import attach
-from tsubo.sources.staging import stage
+from tsubo.sources.staging import discard, stage
 
 SHINGLE_WORDS = 4
 SIMILAR_PERCENT = 85
@@ -85,7 +85,7 @@ def _sets(docs: DataFrame, ranks, width: int, percent: int) -> DataFrame:
 
 
 def _open_prefixes(rows: DataFrame) -> DataFrame:
-    """``token, g, n, pos``: one row per prefix token of ``rows`` (``g, n, prefix``)."""
+    """``token, g, n``: one row per prefix token of ``rows`` (``g, n, prefix``)."""
 
     def work(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in parts:
@@ -94,16 +94,20 @@ def _open_prefixes(rows: DataFrame) -> DataFrame:
                 continue
             lengths = np.array([len(p) for p in prefixes])
             g, n = (np.repeat(batch.column(c).to_numpy(), lengths) for c in ("g", "n"))
-            pos = np.concatenate([np.arange(k) for k in lengths])
-            yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(prefixes), pa.int64()), pa.array(g), pa.array(n), pa.array(pos, pa.int64())], ["token", "g", "n", "pos"])
+            yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(prefixes), pa.int64()), pa.array(g), pa.array(n)], ["token", "g", "n"])
 
-    return rows.mapInArrow(work, "token BIGINT, g BIGINT, n BIGINT, pos BIGINT")
+    return rows.mapInArrow(work, "token BIGINT, g BIGINT, n BIGINT")
 
 
-def _may_link(n1: Column, n2: Column, pos1: Column, pos2: Column, percent: int) -> Column:
-    """Size filter, and the overlap still possible from a first common token on."""
+def _may_link(n1: Column, n2: Column, common: Column, percent: int) -> Column:
+    """Size filter, and the tokens that two prefixes must share.
+
+    All shared tokens up to the end of the prefix that ends first lie in both
+    prefixes; beyond that end its set has only ceil(n * percent / 100) - 1 tokens.
+    """
     sizes = 100 * F.least(n1, n2) >= percent * F.greatest(n1, n2)
-    return sizes & ((100 + percent) * F.least(n1 - pos1, n2 - pos2) >= percent * (n1 + n2))
+    overlap = F.ceil(percent * (n1 + n2) / F.lit(100 + percent))
+    return sizes & (common >= overlap - _required(F.greatest(n1, n2), percent) + 1)
 
 
 def _verify(pairs: DataFrame, docs: DataFrame, classes: DataFrame, width: int, percent: int) -> DataFrame:
@@ -128,7 +132,9 @@ def _verify(pairs: DataFrame, docs: DataFrame, classes: DataFrame, width: int, p
     found = attach(docs, where, ["doc_id", "k"], "inner").mapInArrow(sets, "c BIGINT, tokens BINARY")
     opened = stage(found.dropDuplicates(["c"]), "sets")
     both = pairs.join(opened.select(F.col("c").alias("a"), F.col("tokens").alias("x")), "a").join(opened.select(F.col("c").alias("b"), F.col("tokens").alias("y")), "b")
-    return both.select("a", "b", "x", "y").mapInArrow(similar, "a BIGINT, b BIGINT")
+    links = stage(both.select("a", "b", "x", "y").mapInArrow(similar, "a BIGINT, b BIGINT"), "links")
+    discard(pairs, where, opened)
+    return links
 
 
 def similarity_classes(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", percent: int = SIMILAR_PERCENT, width: int = SHINGLE_WORDS) -> DataFrame:
@@ -150,16 +156,17 @@ def similarity_classes(docs: DataFrame, doc_id: str = "doc_id", text: str = "tex
     heads = groups.join(classes.select("c", "doc_id", "k"), F.col("head") == F.col("c")).select("g", "doc_id", "k")
     postings = _open_prefixes(attach(rows.select("g", "n", "doc_id", "k", "prefix"), stage(heads, "heads"), ["g", "doc_id", "k"], "inner").select("g", "n", "prefix"))
     by_size = Window.partitionBy("token").orderBy("n", "g")
-    near = postings.withColumns({"before": F.lag(F.struct("g", "n", "pos")).over(by_size), "after": F.lead("g").over(by_size)})
+    near = postings.withColumns({"before": F.lag(F.struct("g", "n")).over(by_size), "after": F.lead("g").over(by_size)})
     near = stage(near.filter("before IS NOT NULL OR after IS NOT NULL").drop("after"), "shared_tokens")
 
-    step = near.filter(F.col("before").isNotNull() & _may_link(F.col("n"), F.col("before.n"), F.col("pos"), F.col("before.pos"), percent))
-    step = step.select(F.col("before.g").alias("g1"), F.col("g").alias("g2")).filter("g1 != g2").distinct()
+    step = near.filter("before IS NOT NULL AND before.g != g").groupBy(F.col("before.g").alias("g1"), F.col("g").alias("g2"), F.col("before.n").alias("n1"), F.col("n").alias("n2"))
+    step = step.agg(F.count(F.lit(1)).alias("common"))
+    step = step.filter(_may_link(F.col("n1"), F.col("n2"), F.col("common"), percent)).select("g1", "g2")
     one, two = groups.select(F.col("g").alias("g1"), F.col("head").alias("a")), groups.select(F.col("g").alias("g2"), F.col("head").alias("b"))
     across = step.join(one, "g1").join(two, "g2").select("a", "b")
     crowded = classes.join(groups.filter("members > 1").select("g"), "g")
     within = crowded.select(F.lag("c").over(Window.partitionBy("g").orderBy("c")).alias("a"), F.col("c").alias("b")).filter("a IS NOT NULL")
-    links = stage(_verify(across.unionByName(within), docs, classes, width, percent), "links")
+    links = _verify(across.unionByName(within), docs, classes, width, percent)
 
     labels = stage(classes.join(components(links).withColumnRenamed("node", "c"), "c", "left").select("c", "g", F.coalesce("root", "c").alias("root")), "labels")
     state = labels.groupBy("g").agg(F.min("root").alias("low"), F.max("root").alias("high"))
@@ -168,13 +175,15 @@ def similarity_classes(docs: DataFrame, doc_id: str = "doc_id", text: str = "tex
     open_tokens = tokens.groupBy("token").agg(F.min("root").alias("low"), F.max("root").alias("high"), F.max(F.col("root").isNull()).alias("mixed"))
     open_tokens = open_tokens.filter("mixed OR low != high").select("token")
     open_rows = stage(tokens.join(open_tokens, "token"), "open_tokens")
-    x, y = (open_rows.select("token", *(F.col(c).alias(f"{c}{i}") for c in ("g", "n", "pos", "root"))) for i in (1, 2))
-    apart = x.join(y, "token").filter("n1 < n2 OR (n1 = n2 AND g1 < g2)").filter("root1 IS NULL OR root2 IS NULL OR root1 != root2")
-    apart = apart.filter(_may_link(F.col("n1"), F.col("n2"), F.col("pos1"), F.col("pos2"), percent)).select("g1", "g2").distinct()
+    x, y = (open_rows.select("token", *(F.col(c).alias(f"{c}{i}") for c in ("g", "n", "root"))) for i in (1, 2))
+    apart = x.join(y, "token").filter(f"(n1 < n2 OR (n1 = n2 AND g1 < g2)) AND 100 * n1 >= {percent} * n2").filter("root1 IS NULL OR root2 IS NULL OR root1 != root2")
+    apart = apart.groupBy("g1", "g2", "n1", "n2").agg(F.count(F.lit(1)).alias("common"))
+    apart = apart.filter(_may_link(F.col("n1"), F.col("n2"), F.col("common"), percent)).select("g1", "g2")
     mixed = state.filter("root IS NULL").select(F.col("g").alias("g1"), F.col("g").alias("g2"))
     member = [labels.select(F.col("g").alias(f"g{i}"), F.col("c").alias(name), F.col("root").alias(f"r{i}")) for i, name in ((1, "a"), (2, "b"))]
     expanded = apart.unionByName(mixed).join(member[0], "g1").join(member[1], "g2").filter("r1 != r2").select("a", "b")
-    more = stage(_verify(expanded, docs, classes, width, percent), "links")
+    more = _verify(expanded, docs, classes, width, percent)
+    discard(near, open_rows)
 
     roots = components(links.unionByName(more)).withColumnRenamed("node", "c")
     placed = stage(classes.select("c", "doc_id").join(roots, "c", "left").select("c", "doc_id", F.coalesce("root", "c").alias("root")), "placed")
