@@ -10,7 +10,8 @@ any order gives the same result, this one keeps passages that very many
 documents share out of the prefixes.
 
 Only components are asked for, so links inside a component need not be listed.
-Round one verifies groups that are neighbours in size order under enough tokens.
+Round one verifies each group against the neighbour below in size order that
+shares most tokens.
 Round two joins tokens again, but only groups that are not yet in one
 component.  A group of m near copies thus costs some m pairs, and no link
 between different components is left out.
@@ -34,6 +35,8 @@ SHINGLE_WORDS = 4
 SIMILAR_PERCENT = 85
 # Buckets of the frequency sketch: one byte each reaches every task, whatever the input.
 SKETCH = 1 << 22
+# A token that this many groups hold in their prefix is moved to the end of the order.
+OFTEN = 12
 
 
 def _common_buckets(docs: DataFrame, width: int) -> np.ndarray:
@@ -45,7 +48,7 @@ def _common_buckets(docs: DataFrame, width: int) -> np.ndarray:
             for _, data, offsets in batches(batch, "text"):
                 hashes, _ = shingle_hashes(data, offsets, width)
                 counts += np.bincount((hashes & np.uint64(SKETCH - 1)).astype(np.int64), minlength=SKETCH)
-        found = np.flatnonzero(counts >= 2 * counts.mean() + 8)
+        found = np.flatnonzero(counts >= counts.mean() + 3 * np.sqrt(counts.mean()) + 4)
         yield pa.RecordBatch.from_arrays([pa.array(found, pa.int64()), pa.array(counts[found], pa.int64())], ["bucket", "n"])
 
     sums = docs.mapInArrow(count, "bucket BIGINT, n BIGINT").groupBy("bucket").agg(F.sum("n").alias("n"))
@@ -147,8 +150,17 @@ def similarity_classes(docs: DataFrame, doc_id: str = "doc_id", text: str = "tex
     Tokens are 64-bit hashes of the words.
     """
     docs = docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text")).withColumn("k", F.xxhash64("text"))
-    ranks = docs.sparkSession.sparkContext.broadcast(_common_buckets(docs.select("text"), width))
-    rows = stage(_sets(docs, ranks, width, percent), "shingle_sets")
+    ranks = _common_buckets(docs.select("text"), width)
+    context = docs.sparkSession.sparkContext
+    rows = stage(_sets(docs, context.broadcast(ranks), width, percent), "shingle_sets")
+    # tokens that many prefixes still hold go to the end as well
+    often = _open_prefixes(rows.groupBy("g", "n").agg(F.first("prefix").alias("prefix"))).groupBy("token").agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") >= OFTEN)
+    often = often.groupBy(F.col("token").bitwiseAND(F.lit(SKETCH - 1).cast("bigint")).alias("bucket")).agg(F.ceil(F.log2(F.max("n"))).cast("int").alias("rank"))
+    late = stage(often, "often")
+    found = late.toArrow()
+    ranks[found["bucket"].to_numpy()] = np.maximum(ranks[found["bucket"].to_numpy()], found["rank"].to_numpy())
+    discard(rows, late)
+    rows = stage(_sets(docs, context.broadcast(ranks), width, percent), "shingle_sets")
     classes = rows.filter("n > 0").groupBy("c", "g", "n").agg(F.min(F.struct(F.col("doc_id").isNull().alias("no"), "doc_id", "k")).alias("one"))
     classes = stage(classes.select("c", "g", "n", "one.doc_id", "one.k"), "classes")
     groups = stage(classes.groupBy("g").agg(F.min("c").alias("head"), F.count(F.lit(1)).alias("members")), "groups")
@@ -161,7 +173,9 @@ def similarity_classes(docs: DataFrame, doc_id: str = "doc_id", text: str = "tex
 
     step = near.filter("before IS NOT NULL AND before.g != g").groupBy(F.col("before.g").alias("g1"), F.col("g").alias("g2"), F.col("before.n").alias("n1"), F.col("n").alias("n2"))
     step = step.agg(F.count(F.lit(1)).alias("common"))
-    step = step.filter(_may_link(F.col("n1"), F.col("n2"), F.col("common"), percent)).select("g1", "g2")
+    step = step.filter(_may_link(F.col("n1"), F.col("n2"), F.col("common"), percent))
+    # the nearest of the neighbours below: one pair for each group at most
+    step = step.groupBy("g2").agg(F.max(F.struct("common", "g1")).alias("best")).select(F.col("best.g1").alias("g1"), "g2")
     one, two = groups.select(F.col("g").alias("g1"), F.col("head").alias("a")), groups.select(F.col("g").alias("g2"), F.col("head").alias("b"))
     across = step.join(one, "g1").join(two, "g2").select("a", "b")
     crowded = classes.join(groups.filter("members > 1").select("g"), "g")
