@@ -11,7 +11,7 @@ documents share out of the prefixes.
 
 Only components are asked for, so links inside a component need not be listed.
 Round one verifies each group against the neighbour below in size order that
-shares most tokens.
+shares most tokens, then bridges between the components so found.
 Round two joins tokens again, but only groups that are not yet in one
 component.  A group of m near copies thus costs some m pairs, and no link
 between different components is left out.
@@ -37,6 +37,9 @@ SIMILAR_PERCENT = 85
 SKETCH = 1 << 22
 # A token that this many groups hold in their prefix is moved to the end of the order.
 OFTEN = 12
+REORDERINGS = 3
+# Rounds that join neighbouring components before all pairs between components are looked at.
+MERGES = 3
 
 
 def _common_buckets(docs: DataFrame, width: int) -> np.ndarray:
@@ -153,14 +156,17 @@ def similarity_classes(docs: DataFrame, doc_id: str = "doc_id", text: str = "tex
     ranks = _common_buckets(docs.select("text"), width)
     context = docs.sparkSession.sparkContext
     rows = stage(_sets(docs, context.broadcast(ranks), width, percent), "shingle_sets")
-    # tokens that many prefixes still hold go to the end as well
-    often = _open_prefixes(rows.groupBy("g", "n").agg(F.first("prefix").alias("prefix"))).groupBy("token").agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") >= OFTEN)
-    often = often.groupBy(F.col("token").bitwiseAND(F.lit(SKETCH - 1).cast("bigint")).alias("bucket")).agg(F.ceil(F.log2(F.max("n"))).cast("int").alias("rank"))
-    late = stage(often, "often")
-    found = late.toArrow()
-    ranks[found["bucket"].to_numpy()] = np.maximum(ranks[found["bucket"].to_numpy()], found["rank"].to_numpy())
-    discard(rows, late)
-    rows = stage(_sets(docs, context.broadcast(ranks), width, percent), "shingle_sets")
+    for _ in range(REORDERINGS):
+        # tokens that many prefixes still hold go to the end as well
+        often = _open_prefixes(rows.groupBy("g", "n").agg(F.first("prefix").alias("prefix"))).groupBy("token").agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") >= OFTEN)
+        often = often.groupBy(F.col("token").bitwiseAND(F.lit(SKETCH - 1).cast("bigint")).alias("bucket")).agg(F.ceil(F.log2(F.max("n"))).cast("int").alias("rank"))
+        late = stage(often, "often")
+        found = late.toArrow()
+        at = found["bucket"].to_numpy()
+        ranks = ranks.copy()
+        ranks[at] = np.maximum(ranks[at], found["rank"].to_numpy())
+        discard(rows, late)
+        rows = stage(_sets(docs, context.broadcast(ranks), width, percent), "shingle_sets")
     classes = rows.filter("n > 0").groupBy("c", "g", "n").agg(F.min(F.struct(F.col("doc_id").isNull().alias("no"), "doc_id", "k")).alias("one"))
     classes = stage(classes.select("c", "g", "n", "one.doc_id", "one.k"), "classes")
     groups = stage(classes.groupBy("g").agg(F.min("c").alias("head"), F.count(F.lit(1)).alias("members")), "groups")
@@ -173,18 +179,34 @@ def similarity_classes(docs: DataFrame, doc_id: str = "doc_id", text: str = "tex
 
     step = near.filter("before IS NOT NULL AND before.g != g").groupBy(F.col("before.g").alias("g1"), F.col("g").alias("g2"), F.col("before.n").alias("n1"), F.col("n").alias("n2"))
     step = step.agg(F.count(F.lit(1)).alias("common"))
-    step = step.filter(_may_link(F.col("n1"), F.col("n2"), F.col("common"), percent))
+    step = stage(step.filter(_may_link(F.col("n1"), F.col("n2"), F.col("common"), percent)), "neighbours")
     # the nearest of the neighbours below: one pair for each group at most
-    step = step.groupBy("g2").agg(F.max(F.struct("common", "g1")).alias("best")).select(F.col("best.g1").alias("g1"), "g2")
+    best = step.groupBy("g2").agg(F.max(F.struct("common", "g1")).alias("best")).select(F.col("best.g1").alias("g1"), "g2")
     one, two = groups.select(F.col("g").alias("g1"), F.col("head").alias("a")), groups.select(F.col("g").alias("g2"), F.col("head").alias("b"))
-    across = step.join(one, "g1").join(two, "g2").select("a", "b")
+    across = best.join(one, "g1").join(two, "g2").select("a", "b")
     crowded = classes.join(groups.filter("members > 1").select("g"), "g")
     within = crowded.select(F.lag("c").over(Window.partitionBy("g").orderBy("c")).alias("a"), F.col("c").alias("b")).filter("a IS NOT NULL")
     links = _verify(across.unionByName(within), docs, classes, width, percent)
 
-    labels = stage(classes.join(components(links).withColumnRenamed("node", "c"), "c", "left").select("c", "g", F.coalesce("root", "c").alias("root")), "labels")
-    state = labels.groupBy("g").agg(F.min("root").alias("low"), F.max("root").alias("high"))
-    state = state.select("g", F.when(F.col("low") == F.col("high"), F.col("low")).alias("root"))
+    def labelled(links: DataFrame) -> tuple[DataFrame, DataFrame]:
+        """Root of each class, and of each group whose classes have one root."""
+        labels = stage(classes.join(components(links).withColumnRenamed("node", "c"), "c", "left").select("c", "g", F.coalesce("root", "c").alias("root")), "labels")
+        state = labels.groupBy("g").agg(F.min("root").alias("low"), F.max("root").alias("high"))
+        return labels, state.select("g", F.when(F.col("low") == F.col("high"), F.col("low")).alias("root"))
+
+    labels, state = labelled(links)
+    for _ in range(MERGES):
+        # of all neighbours in two components, the pair that shares most tokens
+        roots = [state.select(F.col("g").alias(f"g{i}"), F.col("root").alias(f"r{i}")) for i in (1, 2)]
+        bridge = step.join(roots[0], "g1").join(roots[1], "g2").filter("r1 != r2").groupBy(F.least("r1", "r2").alias("r1"), F.greatest("r1", "r2").alias("r2"))
+        bridge = bridge.agg(F.max(F.struct("common", "g1", "g2")).alias("best")).select("best.g1", "best.g2")
+        more = _verify(bridge.join(one, "g1").join(two, "g2").select("a", "b"), docs, classes, width, percent)
+        if more.isEmpty():
+            break
+        links = stage(links.unionByName(more), "links")
+        labels, state = labelled(links)
+
+    # all that share enough tokens and are still apart
     tokens = near.drop("before").join(state, "g")
     open_tokens = tokens.groupBy("token").agg(F.min("root").alias("low"), F.max("root").alias("high"), F.max(F.col("root").isNull()).alias("mixed"))
     open_tokens = open_tokens.filter("mixed OR low != high").select("token")
@@ -197,7 +219,7 @@ def similarity_classes(docs: DataFrame, doc_id: str = "doc_id", text: str = "tex
     member = [labels.select(F.col("g").alias(f"g{i}"), F.col("c").alias(name), F.col("root").alias(f"r{i}")) for i, name in ((1, "a"), (2, "b"))]
     expanded = apart.unionByName(mixed).join(member[0], "g1").join(member[1], "g2").filter("r1 != r2").select("a", "b")
     more = _verify(expanded, docs, classes, width, percent)
-    discard(near, open_rows)
+    discard(near, step, open_rows)
 
     roots = components(links.unionByName(more)).withColumnRenamed("node", "c")
     placed = stage(classes.select("c", "doc_id").join(roots, "c", "left").select("c", "doc_id", F.coalesce("root", "c").alias("root")), "placed")
