@@ -63,3 +63,16 @@ def test_stations(spark, strict):
     for row, (blocks, loose, paired) in zip(got, STATIONS, strict=True):
         assert tuple(row)[2:] == pytest.approx(paired if strict else loose), blocks
         assert row["stations"] == (",".join(blocks) if blocks else None)
+
+
+def test_labels_beyond_bigint_do_not_fail(spark):
+    from pyspark.sql import functions as F
+
+    from tsubo.functions import labels
+    from tsubo.operators import cleaning
+
+    big = "9223372036854775807"
+    sizes = spark.createDataFrame([(f"{big}と1",), ("地下1地上3",), ("9" * 30,)], "t STRING")
+    assert [r[0] for r in sizes.select(labels.building_size_total(F.col("t"))).collect()] == [None, 4, None]
+    floors = spark.createDataFrame([(big,), ("2",), (f"{big}-{big}",)], "floor STRING")
+    assert sorted(r[0] for r in cleaning.explode_floors(floors).collect()) == [2, int(big), int(big)]

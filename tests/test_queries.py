@@ -4,6 +4,7 @@ import pytest
 from compare import DATA, difference, oracle_connection
 
 import __spark_entry__ as entry
+from tsubo.plans import registry
 
 FOLDER = f"{DATA}/sf0.001"
 
@@ -14,10 +15,10 @@ def oracle():
 
 
 def test_every_query_has_an_oracle():
-    assert set(entry.queries()) == set(entry.oracle_sql())
+    assert set(registry.QUERIES) <= set(entry.oracle_sql()) <= set(entry.queries())
 
 
-@pytest.mark.parametrize("name", sorted(entry.queries()))
+@pytest.mark.parametrize("name", sorted(entry.oracle_sql()))
 def test_query(spark, oracle, name):
     rows = entry.queries()[name](spark, FOLDER).toPandas()
     assert difference(rows, oracle.execute(entry.oracle_sql()[name]).df()) == ""

@@ -49,9 +49,9 @@ def building_size_label(text: Column) -> Column:
 
 
 def building_size_total(text: Column) -> Column:
-    """Sum of every digit run: ``'地下1地上3'`` to 4; 0 without digits."""
+    """Sum of every digit run: ``'地下1地上3'`` to 4; 0 without digits, NULL where a run or the sum passes BIGINT."""
     runs = F.regexp_extract_all(ascii_digits(text), F.lit(r"(\d+)"), F.lit(1))
-    return F.aggregate(runs, F.lit(0).cast("bigint"), lambda total, run: total + run.try_cast("bigint"))
+    return F.aggregate(runs, F.lit(0).cast("bigint"), lambda total, run: F.try_add(total, run.try_cast("bigint")))
 
 
 class FloorRange(NamedTuple):

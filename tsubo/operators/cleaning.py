@@ -67,7 +67,8 @@ def explode_floors(listings: DataFrame, step: int = FLOORS_PER_STEP) -> DataFram
     """
     starts = labels.floors_from(F.col("_low"), F.col("_high"), step)
     stepped = _with_range(listings).withColumn("_from", F.explode_outer(starts))
-    floors = F.sequence("_from", F.least(F.col("_from") + (step - 1), F.col("_high")))
+    last = F.coalesce(F.try_add(F.col("_from"), F.lit(step - 1).cast("bigint")), F.col("_high"))
+    floors = F.sequence("_from", F.least(last, F.col("_high")))
     others = [c for c in listings.columns if c != "floor"]
     opened = stepped.select(*others, F.explode_outer(floors).alias("floor"))
     return opened.na.drop(subset=["floor"]).select(listings.columns)
