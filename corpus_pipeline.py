@@ -43,7 +43,7 @@ STAGES = [
     ("mixing_rates", mixing_rates),
 ]
 
-# The last stage fits rates by iteration, which SQL does not express; tests hold run() against a plain Python version.
+# The last stage fits rates by iteration, which SQL does not express; tests hold the operators of the stages against plain Python versions.
 ORACLE_SQL = None
 
 
