@@ -30,18 +30,18 @@ def _file_system(spark: SparkSession, path: str):
 
 
 def new_path(spark: SparkSession, name: str) -> str:
-    """A new folder name in the shared folder, removed at the end of the session."""
-    path = f"{shared_folder(spark)}/tsubo/{name}-{uuid.uuid4().hex}"
-    files, folder = _file_system(spark, path)
+    """A path in the shared folder that does not exist yet, removed at the end of the session."""
+    around = f"{shared_folder(spark)}/tsubo/{name}-{uuid.uuid4().hex}"
+    files, folder = _file_system(spark, around)
     files.mkdirs(folder)  # only a folder that exists is noted for removal
     files.deleteOnExit(folder)
-    return path
+    return f"{around}/data"
 
 
 def stage(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` once and return the written table."""
     path = new_path(df.sparkSession, name)
-    df.write.mode("append").parquet(path)
+    df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
