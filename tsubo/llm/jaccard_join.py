@@ -26,8 +26,9 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from tsubo.llm.byte_hash import buffers
 from tsubo.llm.components import components
-from tsubo.llm.shingles import batches, binary, row_sets, shingle_hashes
+from tsubo.llm.shingles import batches, binary, row_sets, shingle_hashes, slices
 from tsubo.operators.lookup import attach
 from tsubo.sources.staging import discard, stage
 
@@ -50,7 +51,7 @@ def _common_buckets(docs: DataFrame, width: int) -> np.ndarray:
         for batch in parts:
             for _, data, offsets in batches(batch, "text"):
                 hashes, _ = shingle_hashes(data, offsets, width)
-                counts += np.bincount((hashes & np.uint64(SKETCH - 1)).astype(np.int64), minlength=SKETCH)
+                np.add.at(counts, (hashes & np.uint64(SKETCH - 1)).astype(np.int64), 1)
         found = np.flatnonzero(counts >= counts.mean() + 3 * np.sqrt(counts.mean()) + 4)
         yield pa.RecordBatch.from_arrays([pa.array(found, pa.int64()), pa.array(counts[found], pa.int64())], ["bucket", "n"])
 
@@ -71,7 +72,7 @@ def _sets(docs: DataFrame, ranks, width: int, percent: int) -> DataFrame:
 
     def work(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         order = ranks.value
-        for batch in parts:
+        for batch in slices(parts):
             n, d1, d2, prefixes = [], [], [], []
             for tokens in row_sets(batch, "text", width):
                 size = len(tokens)
@@ -123,14 +124,15 @@ def _verify(pairs: DataFrame, docs: DataFrame, classes: DataFrame, width: int, p
     where = stage(classes.join(needed, "c").select("c", "doc_id", "k"), "needed")
 
     def sets(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in parts:
+        for batch in slices(parts):
             yield pa.RecordBatch.from_arrays([batch.column("c"), binary([s.tobytes() for s in row_sets(batch, "text", width)])], ["c", "tokens"])
 
     def similar(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in parts:
             keep = []
-            for x, y in zip(batch.column("x").to_pylist(), batch.column("y").to_pylist()):
-                x, y = np.frombuffer(x, np.uint64), np.frombuffer(y, np.uint64)
+            (left, lo), (right, ro) = buffers(batch.column("x")), buffers(batch.column("y"))
+            for row in range(batch.num_rows):
+                x, y = left[lo[row] : lo[row + 1]].view(np.uint64), right[ro[row] : ro[row + 1]].view(np.uint64)
                 shared = len(np.intersect1d(x, y, assume_unique=True))
                 keep.append(100 * shared >= percent * (len(x) + len(y) - shared))
             yield pa.RecordBatch.from_arrays([batch.column("a").filter(pa.array(keep, pa.bool_())), batch.column("b").filter(pa.array(keep, pa.bool_()))], ["a", "b"])

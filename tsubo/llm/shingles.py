@@ -9,7 +9,10 @@ import pyarrow as pa
 
 from tsubo.llm.byte_hash import Hasher, buffers, chunks, mix
 
-CHUNK_BYTES = 2 << 20
+# Hashing takes some 40 times the bytes of a chunk at its peak.
+CHUNK_BYTES = 1 << 19
+# Rows of an Arrow batch that are worked on, and sent on, at once.
+ROWS_AT_ONCE = 1000
 _SPACE = np.zeros(256, bool)
 _SPACE[[32, 9, 10, 11, 12, 13]] = True
 _LOWER = np.arange(256, dtype=np.uint8)
@@ -60,6 +63,13 @@ def batches(batch: pa.RecordBatch, column: str) -> Iterator[tuple[int, np.ndarra
         yield row, data[offsets[row] : offsets[end]], offsets[row : end + 1] - offsets[row]
 
 
+def slices(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The batches in pieces of a bounded number of rows, so that results of a whole batch are never held."""
+    for batch in parts:
+        for row in range(0, batch.num_rows, ROWS_AT_ONCE):
+            yield batch.slice(row, ROWS_AT_ONCE)
+
+
 def row_sets(batch: pa.RecordBatch, column: str, width: int) -> Iterator[np.ndarray]:
     """Per row of a batch, its distinct shingle hashes in ascending order."""
     for _, data, offsets in batches(batch, column):
