@@ -114,6 +114,18 @@ def test_correlation_uses_complete_pairs(spark):
     assert found[("a", "c")] is None and found[("a", "d")] is None
 
 
+def test_correlation_of_pairs_far_from_the_mean(spark):
+    """The complete pairs of a and b lie far from where most of a lies."""
+    random = np.random.default_rng(2)
+    x = random.normal(0, 1, 200)
+    y = x + random.normal(0, 0.5, 200)
+    data = [(float(1e9 + a), float(b), 0.1) for a, b in zip(x, y)] + [(float(v), None, 0.1) for v in random.normal(0, 1, 2000)]
+    df = spark.createDataFrame(data, "a DOUBLE, b DOUBLE, c DOUBLE").repartition(6)
+    found = {(r["x"], r["y"]): r["r"] for r in summary.correlation_matrix(df).collect()}
+    assert found[("a", "b")] == pytest.approx(np.corrcoef(1e9 + x, y)[0, 1], rel=1e-6)
+    assert found[("a", "c")] is None and found[("b", "c")] is None
+
+
 def test_correlation_equals_numpy(spark):
     x = np.random.default_rng(1).normal(1e6, 1, (500, 3)) @ np.array([[1, 0.5, 0], [0, 1, 0.2], [0, 0, 1]])
     df = spark.createDataFrame([tuple(map(float, r)) for r in x], "a DOUBLE, b DOUBLE, c DOUBLE").repartition(5)
@@ -127,11 +139,17 @@ def test_pearson_p_value(spark):
     t = 2.306004135204166
     r = t / math.sqrt(8 + t * t)
     assert summary._two_sided_p(r, 10) == pytest.approx(0.05, rel=1e-9)
-    assert summary._two_sided_p(0.0, 10) == 1.0 and summary._two_sided_p(1.0, 10) == 0.0
-    # The normal limit joins the exact form.
-    z = 1.959963984540054
-    big = 9_999_999
-    assert summary._two_sided_p(z / math.sqrt(big - 2 + z * z), big) == pytest.approx(0.05, rel=1e-5)
+    assert summary._two_sided_p(0.0, 10) == pytest.approx(1.0, abs=1e-12) and summary._two_sided_p(1.0, 10) == 0.0
+    # Closed forms with one and two degrees of freedom.
+    for t in (1e-6, 0.3, 4.0, 50.0):
+        assert summary._two_sided_p(t / math.sqrt(1 + t * t), 3) == pytest.approx(1 - 2 / math.pi * math.atan(t), rel=1e-9)
+        assert summary._two_sided_p(t / math.sqrt(2 + t * t), 4) == pytest.approx(1 - t / math.sqrt(2 + t * t), rel=1e-9)
+    # One more row hardly moves it, also far out, and the normal limit is approached.
+    for z in (0.5, 1.959963984540054, 10.0, 30.0):
+        p = [summary._two_sided_p(z / math.sqrt(n - 2 + z * z), n) for n in (10_000_000, 10_000_001)]
+        assert p[0] == pytest.approx(p[1], rel=1e-5)
+        n = 10**13
+        assert summary._two_sided_p(z / math.sqrt(n - 2 + z * z), n) == pytest.approx(math.erfc(z / math.sqrt(2)), rel=1e-7)
     row = summary.pearson_test(spark.createDataFrame([(1.0, 2.0), (2.0, 4.0), (3.0, 6.0), (4.0, None)], "x DOUBLE, y DOUBLE"), "x", "y").first()
     assert (row["n"], row["r"], row["p"]) == (3, pytest.approx(1.0), pytest.approx(0.0, abs=1e-6))
 
