@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -31,6 +32,11 @@ def query(f: Query) -> Query:
     return f
 
 
+def _unused(name: str) -> str:
+    """A name that no table or view of the user's has."""
+    return f"{name}_{uuid.uuid4().hex}"
+
+
 def _rounded(df: DataFrame, **digits: int) -> DataFrame:
     return df.withColumns({c: F.round(c, d) for c, d in digits.items()})
 
@@ -142,8 +148,9 @@ def featured_view(spark: SparkSession, folder: str) -> DataFrame:
 @query
 def view_scan(spark: SparkSession, folder: str) -> DataFrame:
     """The view as a named temporary view, read back with SQL."""
-    tables.create_view(features.featured(prepared.standard(spark, folder)), "listings_featured")
-    return spark.sql("SELECT * FROM listings_featured")
+    name = _unused("listings_featured")
+    tables.create_view(features.featured(prepared.standard(spark, folder)), name)
+    return spark.sql(f"SELECT * FROM {name}")
 
 
 @query
@@ -420,9 +427,13 @@ def page_links(spark: SparkSession, folder: str) -> DataFrame:
 def csv_roundtrip(spark: SparkSession, folder: str) -> DataFrame:
     path = new_path(spark, "listings-csv")
     tables.write_csv(prepared.clean(spark, folder), path, byte_order_mark=True)
-    return tables.read_csv(spark, path, tables.LISTINGS_CLEAN_SCHEMA)
+    return tables.read_csv(spark, path, tables.LISTINGS_CLEAN_SCHEMA, multi_line=True)
 
 
 @query
 def table_roundtrip(spark: SparkSession, folder: str) -> DataFrame:
-    return tables.write_table(prepared.raw(spark, folder), "listings_raw", new_path(spark, "listings-raw"))
+    """An external table of its own name, dropped again; its files stay until the session ends."""
+    name, path = _unused("listings_raw"), new_path(spark, "listings-raw")
+    schema = tables.write_table(prepared.raw(spark, folder), name, path).schema
+    spark.sql(f"DROP TABLE {name}")
+    return spark.read.schema(schema).parquet(path)

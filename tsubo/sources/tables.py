@@ -31,15 +31,18 @@ def read_table(spark: SparkSession, folder: str, name: str) -> DataFrame:
 
 
 def spread(df: DataFrame) -> DataFrame:
-    """Deal out rows that arrive in fewer partitions than there are cores.
+    """Deal out the rows of a small input to all cores.
 
-    For work that costs far more than moving its input.  A large table has more
-    partitions than cores anyway and is not moved.
+    For work that costs far more than moving its input.  The size is the
+    plan's own estimate: no job runs, and a large table is not moved.
     """
     if df.isStreaming:
         return df
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+    session = df.sparkSession
+    split = int(session._jsparkSession.sessionState().conf().filesMaxPartitionBytes())
+    cores = session.sparkContext.defaultParallelism
+    size = int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())
+    return df.repartition(cores) if size < cores * split else df
 
 
 def read_pages(spark: SparkSession, path: str) -> DataFrame:
@@ -60,9 +63,16 @@ def append_pages(*batches: DataFrame) -> DataFrame:
     return every
 
 
-def read_csv(spark: SparkSession, path: str, schema: str) -> DataFrame:
-    """Headed CSV with a stated schema; a byte-order mark is skipped, empty fields are NULL."""
-    return spark.read.options(**CSV_DIALECT).option("multiLine", True).schema(schema).csv(path)
+def read_csv(spark: SparkSession, path: str, schema: str | None = None, multi_line: bool = False) -> DataFrame:
+    """Headed CSV; a byte-order mark is skipped, empty fields are NULL, and so are NaN numbers.
+
+    Without a schema the types are inferred, which reads the files once more.
+    ``multi_line`` is for text with line breaks inside quotes: each file is then
+    one task; otherwise a large file is split.
+    """
+    reader = spark.read.options(**CSV_DIALECT).option("multiLine", multi_line)
+    rows = (reader.schema(schema) if schema else reader.option("inferSchema", True)).csv(path)
+    return rows.withColumns({c: F.nanvl(c, F.lit(None).cast(t)) for c, t in rows.dtypes if t in ("double", "float")})
 
 
 def write_csv(df: DataFrame, path: str, byte_order_mark: bool = False) -> None:
