@@ -28,7 +28,7 @@ from pyspark.sql import functions as F
 
 from tsubo.llm.byte_hash import buffers
 from tsubo.llm.components import components
-from tsubo.llm.shingles import batches, binary, row_sets, shingle_hashes, slices
+from tsubo.llm.shingles import batches, binary, bounded_batches, row_sets, shingle_hashes, slices
 from tsubo.operators.lookup import attach
 from tsubo.sources.staging import discard, stage
 
@@ -154,7 +154,13 @@ def similarity_classes(docs: DataFrame, doc_id: str = "doc_id", text: str = "tex
     rows of their own; equal sets always link.  Other columns are not read.
     Tokens are 64-bit hashes of the words.
     """
-    docs = docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text")).withColumn("k", F.xxhash64("text"))
+    plain = docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text")).withColumn("k", F.xxhash64("text"))
+    with bounded_batches(docs.sparkSession):
+        return _classes(plain, percent, width)
+
+
+def _classes(docs: DataFrame, percent: int, width: int) -> DataFrame:
+    """``similarity_classes`` of ``doc_id, text, k``; all Python work is done, and written, on return."""
     ranks = _common_buckets(docs.select("text"), width)
     context = docs.sparkSession.sparkContext
     rows = stage(_sets(docs, context.broadcast(ranks), width, percent), "shingle_sets")

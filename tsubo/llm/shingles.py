@@ -3,9 +3,11 @@
 from __future__ import annotations
 
 from collections.abc import Iterator
+from contextlib import contextmanager
 
 import numpy as np
 import pyarrow as pa
+from pyspark.sql import SparkSession
 
 from tsubo.llm.byte_hash import Hasher, buffers, chunks, mix
 
@@ -13,6 +15,9 @@ from tsubo.llm.byte_hash import Hasher, buffers, chunks, mix
 CHUNK_BYTES = 1 << 19
 # Rows of an Arrow batch that are worked on, and sent on, at once.
 ROWS_AT_ONCE = 1000
+# Bytes of an Arrow batch: a batch of 10,000 texts or token sets has tens of MB, several times over in JVM and worker.
+BATCH_BYTES = 4 << 20
+_BATCH_SETTING = "spark.sql.execution.arrow.maxBytesPerBatch"
 _SPACE = np.zeros(256, bool)
 _SPACE[[32, 9, 10, 11, 12, 13]] = True
 _LOWER = np.arange(256, dtype=np.uint8)
@@ -63,6 +68,20 @@ def batches(batch: pa.RecordBatch, column: str) -> Iterator[tuple[int, np.ndarra
         yield row, data[offsets[row] : offsets[end]], offsets[row : end + 1] - offsets[row]
 
 
+@contextmanager
+def bounded_batches(spark: SparkSession, most: int = BATCH_BYTES) -> Iterator[None]:
+    """Inside, jobs hand Python Arrow batches of about ``most`` bytes, or of one row; the session's own setting returns after."""
+    before = spark.conf.get(_BATCH_SETTING, None)
+    spark.conf.set(_BATCH_SETTING, str(most))
+    try:
+        yield
+    finally:
+        if before is None:
+            spark.conf.unset(_BATCH_SETTING)
+        else:
+            spark.conf.set(_BATCH_SETTING, before)
+
+
 def slices(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """The batches in pieces of a bounded number of rows, so that results of a whole batch are never held."""
     for batch in parts:
