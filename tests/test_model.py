@@ -59,6 +59,19 @@ def test_split_sizes_of_small_tables(spark, rows):
     assert sorted(sum(r["fold"] == i for r in got) for i in range(5)) == sorted((rows - tests) // 5 + (i < (rows - tests) % 5) for i in range(5))
 
 
+@pytest.mark.parametrize("copies", [False, True])
+def test_split_sizes_with_tied_keys(spark, copies):
+    """Half of the rows have no key; they differ in another column, or are exact copies."""
+    rows = spark.range(1000).select(
+        F.when(F.col("id") % 2 == 0, F.col("id").cast("string")).alias("url"),
+        F.when((F.col("id") % 2 == 0) | F.lit(not copies), F.col("id")).alias("other"),
+    )
+    got = split.train_test_split(stage(rows, "tied_rows"), "url")
+    assert sorted(got.select("url", "other").collect(), key=str) == sorted(rows.collect(), key=str)
+    found = {(r["is_test"], r["fold"]): r["n"] for r in got.groupBy("is_test", "fold").agg(F.count(F.lit(1)).alias("n")).collect()}
+    assert found == {(True, None): 200, **{(False, i): 160 for i in range(5)}}
+
+
 def test_split_does_not_depend_on_partitioning(modelled):
     columns = [c for c in modelled.columns if c not in ("is_test", "fold")]
     again = split.train_test_split(modelled.select(columns).repartition(7), "url", "floor")
