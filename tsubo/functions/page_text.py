@@ -9,6 +9,7 @@ are read only where somebody asks for them.
 from __future__ import annotations
 
 import re
+from collections import Counter
 from collections.abc import Iterator
 from html import unescape
 
@@ -81,6 +82,7 @@ def read_page(html: str | None) -> Element:
     pieces = page.pieces
     root = Element(page, "", "", None)
     open_ = [root]
+    count = Counter()  # open elements by tag: a scan starts only where it can end
     silent = 0  # open elements whose text is not page text
     at = 0
     more = True
@@ -97,12 +99,12 @@ def read_page(html: str | None) -> Element:
                 continue
             tag = tag.lower()
             keep = len(open_)  # how many open elements stay open
-            if ending:
+            if ending and count[tag]:
                 for depth in range(len(open_) - 1, 0, -1):
                     if open_[depth].tag == tag:
                         keep = depth
                         break
-            elif tag in ENDS:
+            elif not ending and tag in ENDS and any(count[t] for t in ENDS[tag][0]):
                 closes, parents = ENDS[tag]
                 for depth in range(len(open_) - 1, 0, -1):
                     if open_[depth].tag in parents:
@@ -112,6 +114,7 @@ def read_page(html: str | None) -> Element:
             while len(open_) > keep:
                 closed = open_.pop()
                 closed.close()
+                count[closed.tag] -= 1
                 silent -= closed.tag in NOT_TEXT
             if ending:
                 continue
@@ -120,6 +123,7 @@ def read_page(html: str | None) -> Element:
                 element.close()
                 continue
             open_.append(element)
+            count[tag] += 1
             if tag in NOT_TEXT:
                 silent += 1
                 if tag in NO_TAGS_INSIDE:
