@@ -109,3 +109,19 @@ def test_page_functions_need_no_installed_package():
     job = cloudpickle.dumps((pages._blocks, page_text.read_page))
     done = subprocess.run([sys.executable, "-c", load], input=job, capture_output=True, cwd="/", check=True)
     assert done.stdout.strip() == b"1"
+
+
+def test_unmatched_end_tags_change_nothing_and_cost_linear_time():
+    import time
+
+    from tsubo.functions import page_text
+
+    def taken(n):
+        began = time.process_time()
+        root = page_text.read_page("<div>" * n + "</b>" * n + "x</div>y")
+        assert len(root.page.elements) == n + 1 and page_text.text(root) == "xy"
+        return time.process_time() - began
+
+    taken(2000)
+    # 16 times the size: a quadratic scan would take 256 times as long
+    assert taken(32000) < 80 * max(taken(2000), 0.005)
