@@ -222,6 +222,33 @@ def test_private_spans_and_terms(spark):
     assert "zebra" not in clean[0] and "[EMAIL]" in clean[0] and clean[5] == texts[5]
 
 
+def test_terms_of_entities_seen_once_or_twice(spark):
+    """Every datum is protected: terms against plain counts, for entities of one, two and four texts, copies and a list of data."""
+    rng = random.Random(17)
+    common = [prose(rng, 1) for _ in range(30)]
+    texts = [" ".join(rng.choices(common, k=25)) for _ in range(60)]
+    texts += [f"{texts[0]} one@x.org walrus 4711", f"{texts[1]} two@x.org heron", f"{texts[2]} two@x.org heron alone", None, ""]
+    texts += [f"{texts[3]} copy@x.org ibis"] * 3 + [texts[4] + " lynx " + " ".join(f"p{k}@y.org" for k in range(30))] + [f"{texts[5 + k]} jo@x.org zebra {k}w" for k in range(4)]
+    n = len(texts)
+    data = [{f"{kind}:{value}" for kind, _, _, value in private_terms.find_spans(t)} for t in texts]
+    terms = [set(WORD.findall((t or "").lower())) for t in texts]
+    expected = [set() for _ in texts]
+    for e in set().union(*data):
+        holds = [i for i in range(n) if e in data[i]]
+        least = min(private_terms.SUPPORT, len({texts[i] for i in holds}))
+        for term in set().union(*(terms[i] for i in holds)):
+            both = [i for i in holds if term in terms[i]]
+            pmi, content = np.log2(len(both) * n / (len(holds) * sum(term in t for t in terms))), np.log2(n / len(holds))
+            if len({texts[i] for i in both}) >= least and pmi >= private_terms.DISCLOSURE * content:
+                for i in both:
+                    expected[i].add(term)
+    found = private_terms.find_private(documents(spark, texts)).collect()
+    got = {r["doc_id"]: {s["value"] for s in r["spans"] if s["kind"] == "term"} for r in found}
+    # words that overlap a datum are spans of that datum only
+    assert [got[i] for i in range(n)] == [{t for t in e if "@" not in t} for e in expected]
+    assert got[60] == {"walrus", "4711"} and got[61] >= {"heron"} and "alone" not in got[62] and "heron" in got[62] and "ibis" in got[65] and "lynx" in got[68] and "zebra" in got[69]
+
+
 # URL lists ------------------------------------------------------------------
 
 

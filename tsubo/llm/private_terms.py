@@ -1,11 +1,14 @@
 """Personal data: fixed patterns, and terms that give a protected entity away.
 
-A protected entity is a personal datum that several texts share.  How much a
-term t tells about an entity e is their pointwise mutual information over the
-corpus, PMI = log2(n_et * N / (n_e * n_t)); the entity itself holds
-IC = log2(N / n_e).  A term with PMI >= DISCLOSURE * IC that occurs with e in
-enough different texts reveals e, and is generalised or removed in the texts
-that hold e.
+Every personal datum is a protected entity.  How much a term t tells about an
+entity e is their pointwise mutual information over the documents,
+PMI = log2(n_et * N / (n_e * n_t)); the entity itself holds IC = log2(N / n_e).
+A term with PMI >= DISCLOSURE * IC that occurs with e in enough different texts
+reveals e, and is generalised or removed in the texts that hold e.
+
+An entity of fewer than SUPPORT texts asks for all of them, and PMI then bounds
+the rarity of the term: in the one document of e (n_e = n_et = 1) the terms that
+at most N ** (1 - DISCLOSURE) documents hold reveal e.
 """
 
 from __future__ import annotations
@@ -18,8 +21,8 @@ from pyspark.sql import functions as F
 
 from tsubo.llm.spans import count_kind, digest, joined, of_kinds
 from tsubo.llm.words import WORD, words
-from tsubo.operators.lookup import attach
-from tsubo.sources.staging import stage
+from tsubo.operators.lookup import BROADCAST_BYTES, attach
+from tsubo.sources.staging import measure, stage
 
 BASE_KINDS = ("email", "ip", "card", "phone")
 TERM = "term"
@@ -35,7 +38,7 @@ DIGIT = re.compile(r"[0-9]")
 
 # A term reveals an entity from this share of the entity's information on.
 DISCLOSURE = 0.9
-# Both must stand together in this many different texts.
+# Both must stand together in this many different texts, or in all texts of an entity that has fewer.
 SUPPORT = 3
 
 
@@ -102,29 +105,37 @@ def _terms(text: Column) -> Column:
 
 
 def revealing_terms(texts: DataFrame, holds: DataFrame, disclosure: float = DISCLOSURE, support: int = SUPPORT) -> DataFrame:
-    """``k, terms``: per text that holds a protected entity, its terms that reveal one.
+    """``k, terms``: per text that holds a personal datum, its terms that reveal one.
 
     ``texts`` has ``k, text`` (one row per document, equal texts have equal k);
     ``holds`` has ``e, k, rows`` (entity, text, documents with that text).
-    Counts are of documents, support is of different texts.  Terms of the whole
-    corpus are counted only where they stand with an entity often enough.
+    Counts are of documents, support is of different texts.  Entities of the
+    same texts have the same counts with every term and are taken as one, so a
+    text that lists many data opens its terms once.  Terms of the whole corpus
+    are counted only where they stand with an entity often enough.
     """
-    shared = holds.groupBy("e").agg(F.count(F.lit(1)).alias("m"), F.sum("rows").alias("n_e")).filter(F.col("m") >= support).select("e", "n_e")
-    held = stage(holds.join(shared, "e"), "held")
+    sets = holds.groupBy("e").agg(F.count(F.lit(1)).alias("m"), F.sum("rows").alias("n_e"), F.bit_xor(F.xxhash64("k")).alias("x"), F.sum(F.xxhash64("k", F.lit(1)).cast("decimal(38,0)")).alias("s"))
+    sets = stage(sets.select("e", F.xxhash64("m", "x", "s").alias("c"), F.least("m", F.lit(support)).alias("least"), "n_e"), "entity_sets")
+    held = stage(holds.join(sets, "e").groupBy("c", "k").agg(F.first("rows").alias("rows"), F.first("least").alias("least"), F.first("n_e").alias("n_e")), "held")
     keys = stage(held.select("k").distinct(), "holding_texts")
     of_text = attach(texts, keys, ["k"], "inner").dropDuplicates(["k"]).select("k", _terms(F.col("text")).alias("all")).select("k", F.explode_outer("all").alias("term"))
     of_text = stage(of_text.filter(F.col("term").isNotNull()), "terms_of_texts")
-    together = of_text.join(held, "k").groupBy("e", "term", "n_e").agg(F.count(F.lit(1)).alias("m"), F.sum("rows").alias("n_et"))
-    together = stage(together.filter(F.col("m") >= support), "together")
+    together = of_text.join(held, "k").groupBy("c", "term", "n_e", "least").agg(F.count(F.lit(1)).alias("m"), F.sum("rows").alias("n_et"))
+    together = stage(together.filter(F.col("m") >= F.col("least")).select("c", "term", "n_e", "n_et"), "together")
     wanted = stage(together.select("term").distinct(), "wanted_terms")
     every = texts.select(_terms(F.col("text")).alias("all")).select(F.explode_outer("all").alias("term"))
-    counts = stage(attach(every, wanted, ["term"], "inner").groupBy("term").agg(F.count(F.lit(1)).alias("n_t")), "term_counts")
+    if measure(wanted).bytes <= BROADCAST_BYTES:
+        counted = every.join(F.broadcast(wanted), "term").groupBy("term").agg(F.count(F.lit(1)).alias("n_t"))
+    else:
+        # tasks add up their own terms first, so that the words of the corpus are not shuffled one by one
+        counted = every.groupBy("term").agg(F.count(F.lit(1)).alias("n_t")).join(wanted, "term")
+    counts = stage(counted, "term_counts")
     n = texts.count()
     content = F.log2(F.lit(float(n)) / F.col("n_e"))
     pmi = F.log2(F.col("n_et") * F.lit(float(n)) / (F.col("n_e") * F.col("n_t")))
     # an entity in every document has no information to lose
-    telling = together.join(counts, "term").filter((content > 0) & (pmi >= disclosure * content)).select("e", "term")
-    return of_text.join(held.select("k", "e"), "k").join(telling, ["e", "term"]).groupBy("k").agg(F.collect_set("term").alias("terms"))
+    telling = stage(together.join(counts, "term").filter((content > 0) & (pmi >= disclosure * content)).select("c", "term"), "telling")
+    return of_text.join(held.select("k", "c"), "k").join(telling, ["c", "term"]).groupBy("k").agg(F.collect_set("term").alias("terms"))
 
 
 def find_private(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", disclosure: float = DISCLOSURE, support: int = SUPPORT) -> DataFrame:
@@ -132,7 +143,7 @@ def find_private(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", di
 
     ``k`` is a hash of the text.  NULL and empty texts have no spans.  Repeated
     rows get the same spans; rows that share an id are rows of their own.  Texts
-    without a shared entity get no ``term`` spans.  Other columns are not read.
+    without a personal datum get no ``term`` spans.  Other columns are not read.
     """
     texts = docs.select(F.col(doc_id).alias("doc_id"), F.coalesce(F.col(text), F.lit("")).alias("text")).withColumn("k", F.xxhash64("text"))
     base = stage(texts.select("doc_id", "k", base_spans(F.col("text")).alias("spans")), "base_spans")
