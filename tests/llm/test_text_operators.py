@@ -199,6 +199,23 @@ def test_similarity_classes(spark):
     assert [got[i] for i in range(len(texts))] == brute_classes(texts)
 
 
+def test_one_per_class_of_null_and_repeated_ids(spark):
+    """One row per class, whatever ids rows share: against brute force over rows."""
+    rng = random.Random(16)
+    base = [prose(rng, 60) for _ in range(9)]
+    near = [" ".join(["new", *b.split()[1:]]) for b in base]
+    rows = [(None, base[0]), (None, base[1]), (None, near[1]), (None, base[2]), (3, base[3]), (3, base[4]), (5, base[5]), (6, near[5]), (6, base[6]), (7, near[7]), (7, base[7])]
+    rows += [(None, base[8]), (8, near[8]), (9, base[3]), (10, None), (10, ""), (None, None), (11, near[0]), (11, near[0]), (3, base[3])]
+    ids, texts = zip(*rows)
+    classes = {}
+    for row, (n, component) in enumerate(brute_classes(texts)):
+        classes.setdefault(component if n else ("wordless", row), []).append(rows[row])
+    expected = Counter(min(c, key=lambda r: (r[0] is None, r[0] or 0, r[1] or "")) for c in classes.values())
+    kept = jaccard_join.one_per_class(documents(spark, texts, ids))
+    assert kept.columns == documents(spark, []).columns
+    assert Counter((r["doc_id"], r["text"]) for r in kept.collect()) == expected
+
+
 def test_components(spark):
     links = [(i, i + 1) for i in range(40)] + [(100, 101), (101, 102), (7, 7), (100, 102)]
     got = {r["node"]: r["root"] for r in components.components(spark.createDataFrame(links, "a BIGINT, b BIGINT")).collect()}
@@ -288,6 +305,15 @@ def test_contained_items(spark):
     assert kept.columns == docs.columns and {r["doc_id"] for r in kept.collect()} == set(range(len(texts))) - {d for d, _ in expected}
 
 
+def test_clean_documents_of_null_and_repeated_ids(spark):
+    rng = random.Random(18)
+    item = prose(rng, 12)
+    rows = [(None, "a " + item), (None, "clean text one"), (None, None), (1, item + " b"), (1, "clean text two"), (1, item + " b"), (2, "clean text one"), (2, None)]
+    items = spark.createDataFrame([(0, item)], "item_id BIGINT, text STRING")
+    kept = decontaminate.clean_documents(documents(spark, [t for _, t in rows], [i for i, _ in rows]), items).collect()
+    assert Counter((r["doc_id"], r["text"]) for r in kept) == Counter(r for r in rows if item not in (r[1] or ""))
+
+
 # Quotations -----------------------------------------------------------------
 
 

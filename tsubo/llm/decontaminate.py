@@ -78,6 +78,11 @@ def contained(
     broadcast when measured small enough and joined by shuffle otherwise; only
     the texts of hits are read for verification.
     """
+    return _pairs(docs, items, doc_id, text, percent, width, broadcast_bytes).drop("row_key")
+
+
+def _pairs(docs: DataFrame, items: DataFrame, doc_id: str, text: str, percent: int = CONTAINMENT_PERCENT, width: int = SHINGLE_WORDS, broadcast_bytes: int = BROADCAST_BYTES) -> DataFrame:
+    """The pairs of ``contained`` with the ``row_key`` of their document."""
     wanted = stage(item_shingles(items, percent=percent, width=width), "item_shingles")
     sketch = wanted.filter(F.col("rank") <= F.col("n") - F.col("need"))
     # one row per hash: the smallest size that any item with this hash asks for
@@ -96,12 +101,14 @@ def contained(
     targets = wanted.select("item_id", "n", "need", "shingle")
     small = measure(targets).bytes <= broadcast_bytes
     shared = shingles.join(F.broadcast(targets) if small else targets, "shingle").groupBy("row_key", "doc_id", "item_id", "n", "need").count()
-    return shared.filter(F.col("count") >= F.col("need")).select("doc_id", "item_id", F.col("n").alias("n_item"), F.col("count").alias("n_shared"))
+    return shared.filter(F.col("count") >= F.col("need")).select("row_key", "doc_id", "item_id", F.col("n").alias("n_item"), F.col("count").alias("n_shared"))
 
 
 def clean_documents(docs: DataFrame, items: DataFrame, doc_id: str = "doc_id", text: str = "text", **options) -> DataFrame:
-    """The rows of ``docs`` that contain no item, columns unchanged; a NULL text contains none."""
-    pairs = contained(docs, items, doc_id, text, **options)
-    leaks = stage(pairs.select("doc_id").distinct(), "leaks").withColumn("_leak", F.lit(True))
-    rows = docs.select(F.struct("*").alias("row"), F.col(doc_id).alias("doc_id"))
-    return attach(rows, leaks, ["doc_id"]).filter(F.col("_leak").isNull()).select("row.*")
+    """The rows of ``docs`` that contain no item, columns unchanged; a NULL text contains none.
+
+    Of rows that share an id, or have none, only those whose own text contains an item go.
+    """
+    leaks = stage(_pairs(docs, items, doc_id, text, **options).select("doc_id", "row_key").distinct(), "leaks").withColumn("_leak", F.lit(True))
+    rows = docs.select(F.struct("*").alias("row"), F.col(doc_id).alias("doc_id"), row_key(docs, doc_id, text).alias("row_key"))
+    return attach(rows, leaks, ["doc_id", "row_key"]).filter(F.col("_leak").isNull()).select("row.*")

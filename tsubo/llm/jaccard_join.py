@@ -156,11 +156,18 @@ def similarity_classes(docs: DataFrame, doc_id: str = "doc_id", text: str = "tex
     """
     plain = docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text")).withColumn("k", F.xxhash64("text"))
     with bounded_batches(docs.sparkSession):
-        return _classes(plain, percent, width)
+        rows, placed = _classes(plain, percent, width)
+    smallest = placed.groupBy("root").agg(F.min("doc_id").alias("component_id"))
+    found = stage(placed.join(smallest, "root").select("c", "component_id"), "component_ids")
+    out = attach(rows.select("doc_id", "n", "c"), found, ["c"])
+    return out.select("doc_id", F.col("n").alias("n_shingles"), F.when(F.col("n") > 0, F.col("component_id")).otherwise(F.col("doc_id")).alias("component_id"))
+
 
+def _classes(docs: DataFrame, percent: int, width: int) -> tuple[DataFrame, DataFrame]:
+    """Of ``doc_id, text, k``: ``doc_id, k, n, c`` per row, and ``c, doc_id, root`` per class ``c`` of equal sets.
 
-def _classes(docs: DataFrame, percent: int, width: int) -> DataFrame:
-    """``similarity_classes`` of ``doc_id, text, k``; all Python work is done, and written, on return."""
+    ``root`` names the component, ``doc_id`` is the smallest of the class.  Both are written on return.
+    """
     ranks = _common_buckets(docs.select("text"), width)
     context = docs.sparkSession.sparkContext
     rows = stage(_sets(docs, context.broadcast(ranks), width, percent), "shingle_sets")
@@ -230,26 +237,31 @@ def _classes(docs: DataFrame, percent: int, width: int) -> DataFrame:
     discard(near, step, open_rows)
 
     roots = components(links.unionByName(more)).withColumnRenamed("node", "c")
-    placed = stage(classes.select("c", "doc_id").join(roots, "c", "left").select("c", "doc_id", F.coalesce("root", "c").alias("root")), "placed")
-    smallest = placed.groupBy("root").agg(F.min("doc_id").alias("component_id"))
-    found = stage(placed.join(smallest, "root").select("c", "component_id"), "component_ids")
-    out = attach(rows.select("doc_id", "n", "c"), found, ["c"])
-    return out.select("doc_id", F.col("n").alias("n_shingles"), F.when(F.col("n") > 0, F.col("component_id")).otherwise(F.col("doc_id")).alias("component_id"))
+    return rows, stage(classes.select("c", "doc_id").join(roots, "c", "left").select("c", "doc_id", F.coalesce("root", "c").alias("root")), "placed")
 
 
-def one_per_class(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", **options) -> DataFrame:
+def one_per_class(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", percent: int = SIMILAR_PERCENT, width: int = SHINGLE_WORDS) -> DataFrame:
     """One row of ``docs`` per similarity class, columns unchanged.
 
-    The row whose id names the component stays; of several such rows (one id,
-    or repeated rows) the one with the smallest text.  Texts without words all stay.
+    The row with the smallest id stays (NULL ids come last); of several such
+    rows of the class (one id, or repeated rows) the one with the smallest text.
+    Rows that share an id, or have none, but are not similar are classes of
+    their own.  Texts without words all stay.
     """
-    found = similarity_classes(docs, doc_id, text, **options)
-    ids = found.filter(F.col("n_shingles") > 0).filter(F.col("doc_id").eqNullSafe(F.col("component_id")))
-    kept = stage(ids.groupBy("doc_id").agg(F.count(F.lit(1)).alias("rows")), "kept")
-    rows = docs.select(F.struct("*").alias("row"), F.col(doc_id).alias("doc_id"), F.col(text).alias("text"))
+    plain = docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text")).withColumn("k", F.xxhash64("text"))
+    with bounded_batches(docs.sparkSession):
+        sets, placed = _classes(plain, percent, width)
+    smallest = placed.groupBy("root").agg(F.min(F.struct(F.col("doc_id").isNull().alias("no"), "doc_id")).alias("one"))
+    named = stage(placed.select("c", "root").join(smallest, "root").select("c", "root", F.col("one.doc_id").alias("first")), "named_classes")
+    chosen = attach(sets.filter("n > 0").select("doc_id", "k", "c"), named, ["c"], "inner").filter(F.col("doc_id").eqNullSafe(F.col("first")))
+    # a row is found again by its id and the hash of its text
+    chosen = stage(chosen.groupBy("doc_id", "k", "root").agg(F.count(F.lit(1)).alias("rows")), "chosen")
+    ties = stage(chosen.groupBy("root").agg(F.sum("rows").alias("all")).filter(F.col("all") > 1).select("root", F.col("root").alias("tie")), "ties")
+    kept = stage(attach(chosen.select("doc_id", "k", "root"), ties, ["root"]).select("doc_id", "k", "tie", F.lit(True).alias("stays")), "kept")
+    rows = docs.select(F.struct("*").alias("row"), F.col(doc_id).alias("doc_id"), F.col(text).alias("text"), F.xxhash64(F.col(text)).alias("k"))
     wordless = ~F.coalesce(F.col("text"), F.lit("")).rlike(r"[^\x20\x09-\x0D]")
-    marked = attach(rows, kept, ["doc_id"])
-    single = marked.filter(wordless | (F.col("rows") == 1)).select("row.*")
-    tied = marked.filter(~wordless & (F.col("rows") > 1))
-    first = tied.groupBy("doc_id").agg(F.min_by("row", F.struct("text", F.xxhash64("row"))).alias("row")).select("row.*")
+    marked = attach(rows, kept, ["doc_id", "k"])
+    single = marked.filter(wordless | (F.col("stays") & F.col("tie").isNull())).select("row.*")
+    tied = marked.filter(~wordless & F.col("tie").isNotNull())
+    first = tied.groupBy("tie").agg(F.min_by("row", F.struct("text", F.xxhash64("row"))).alias("row")).select("row.*")
     return single.unionByName(first)
