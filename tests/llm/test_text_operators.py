@@ -128,6 +128,44 @@ def test_rates_meet_targets(spark):
         assert sum(r["rate"] * r["tokens"] * r[f"p_{d}"] for r in got) == pytest.approx(share * total, rel=1e-3)
 
 
+def least_misfit(a, b):
+    """The exact least |a x - b| over x >= 0 (Lawson and Hanson)."""
+    x, on = np.zeros(a.shape[1]), np.zeros(a.shape[1], bool)
+    for _ in range(500):
+        slope = a.T @ (b - a @ x)
+        slope[on] = -1
+        if slope.max() <= 1e-12:
+            break
+        on[slope.argmax()] = True
+        while on.any():
+            z = np.zeros_like(x)
+            z[on] = np.linalg.lstsq(a[:, on], b, rcond=None)[0]
+            if z[on].min() > 1e-13:
+                x = z
+                break
+            bad = on & (z <= 1e-13)
+            x = x + (x[bad] / np.maximum(x - z, 1e-300)[bad]).min() * (z - x)
+            on &= x > 1e-13
+            x[~on] = 0
+    return float(np.linalg.norm(a @ x - b))
+
+
+@pytest.mark.parametrize("seed", [5, 20, 25, 53])
+def test_rates_of_soft_posteriors_have_the_least_misfit(spark, seed):
+    """Targets that can be met (5, 20) and that cannot: the rates before were 5 to 137 % of all tokens off the least misfit."""
+    rng = np.random.default_rng(seed)
+    shares = rng.dirichlet(rng.uniform(0.5, 6, 3), 300).round(3)
+    tokens = rng.integers(1, 400, 300)
+    targets = dict(zip("abc", rng.dirichlet(np.ones(3))))
+    members = spark.createDataFrame([(i, int(n), *map(float, p)) for i, (n, p) in enumerate(zip(tokens, shares))], "doc_id BIGINT, tokens BIGINT, p_a DOUBLE, p_b DOUBLE, p_c DOUBLE")
+    rates = np.zeros(300)
+    for r in mixing.fit_rates(members, targets).collect():
+        rates[r["doc_id"]] = r["rate"]
+    aim = np.array(list(targets.values()))
+    misfit = np.linalg.norm((tokens * rates) @ shares / tokens.sum() - aim)
+    assert rates.min() >= 0 and misfit == pytest.approx(least_misfit(shares.T, aim), abs=2e-5)
+
+
 def test_mix_learns_labels_and_takes_odd_rows(spark):
     rng = random.Random(5)
     texts = [" ".join(rng.choices(["good", "fine", "nice"] if i % 2 else ["junk", "spam", "buy"], k=60)) for i in range(60)] + ODD + ["good fine"] * 2
