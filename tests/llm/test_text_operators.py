@@ -329,6 +329,14 @@ def test_judge(spark):
     }
 
 
+def test_judge_many_path_lengths_and_no_host(spark):
+    rules = url_filter.rules_table(spark, [("block", "x.org", "/" + "a" * n) for n in range(1040)])
+    urls = {n: "http://x.org/" + "a" * n for n in range(0, 1040, 4)} | {-1: "file:///a/b", -2: "file:///a/b.html", -3: "file:///c"}
+    pages = spark.createDataFrame(list(urls.items()), "page_id BIGINT, url STRING")
+    got = {r["page_id"]: (r["rule"], r["verdict"]) for r in url_filter.judge(pages, rules, url_filter.mirrored(pages)).collect()}
+    assert got == {n: ("x.org/" + "a" * n, "block") for n in range(0, 1040, 4)} | {-1: (None, "block"), -2: (None, "block"), -3: (None, "allow")}
+
+
 # Contained items ------------------------------------------------------------
 
 

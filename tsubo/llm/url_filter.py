@@ -80,16 +80,16 @@ def listed(probes: DataFrame, entries: DataFrame) -> DataFrame:
     return passed.join(entries, "key")
 
 
-def rule_keys(pages: DataFrame, lengths: list[int]) -> DataFrame:
+def rule_keys(pages: DataFrame, lengths: DataFrame) -> DataFrame:
     """``url_key, key``: each host suffix with each listed length of path prefix.
 
-    ``lengths`` are the different path lengths of the rules.  Suffixes begin at
-    the host or after a dot.
+    ``lengths`` is one row, ``lengths``: all different path lengths of the
+    rules.  Suffixes begin at the host or after a dot.
     """
     dots = F.split("host", r"\.", -1)
     suffixes = F.transform(F.sequence(F.lit(1), F.size(dots)), lambda i: F.array_join(F.slice(dots, i, F.size(dots)), "."))
-    prefixes = F.array_distinct(F.array(*(F.substring("path", 1, n) for n in lengths))) if lengths else F.array().cast("array<string>")
-    keyed = pages.withColumns({"suffixes": suffixes, "prefixes": prefixes})
+    prefixes = F.transform(F.filter("lengths", lambda n: n <= F.length("path")), lambda n: F.substring(F.col("path"), F.lit(1), n))
+    keyed = pages.crossJoin(F.broadcast(lengths)).withColumns({"suffixes": suffixes, "prefixes": prefixes})
     opened = keyed.select("url_key", F.explode_outer("suffixes").alias("suffix"), "prefixes").select("url_key", "suffix", F.explode_outer("prefixes").alias("prefix"))
     return opened.select("url_key", F.concat("suffix", "prefix").alias("key"))
 
@@ -114,9 +114,10 @@ def judge(pages: DataFrame, rules: DataFrame, blocklist: DataFrame, page_id: str
     """
     rows = pages.select(F.col(page_id).alias("page_id"), host(F.col(url)).alias("host"), path(F.col(url)).alias("path"))
     rows = rows.withColumns({c: F.coalesce(c, F.lit("")) for c in ("host", "path")}).withColumn("url_key", F.xxhash64("host", "path"))
-    urls = stage(rows.select("url_key", "host", "path").distinct().filter(F.col("host") != ""), "urls")
-    lengths = sorted(r[0] for r in rules.select("path_length").distinct().limit(1000).collect())
-    fits = listed(rule_keys(urls, lengths), rules.select("key", "verdict", "length", "path_length").dropDuplicates(["key"]))
+    urls = stage(rows.select("url_key", "host", "path").distinct().filter("host != '' OR path != ''"), "urls")
+    lengths = rules.agg(F.collect_set("path_length").alias("lengths"))
+    # a URL without a host has no rule, but may be listed
+    fits = listed(rule_keys(urls.filter("host != ''"), lengths), rules.select("key", "verdict", "length", "path_length").dropDuplicates(["key"]))
     by_rule = fits.groupBy("url_key").agg(F.min(F.struct((-F.col("length")).alias("order"), "key", "verdict")).alias("best"))
     by_rule = stage(by_rule.select("url_key", F.col("best.key").alias("rule"), F.col("best.verdict").alias("rule_verdict")), "by_rule")
     names = urls.select("url_key", canonical(F.col("host"), F.col("path")).alias("key"))
