@@ -2,7 +2,8 @@ from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from tsubo.operators import cleaning, features
-from tsubo.operators.lookup import attach
+from tsubo.operators.lookup import attach, hot_hashes
+from tsubo.operators.ranking import numbered
 from tsubo.plans import fixtures, listings
 from tsubo.sources.staging import measure, stage
 from tsubo.sources.tables import read_table
@@ -79,6 +80,33 @@ def test_attach_hot_and_null_keys(spark):
     assert "Broadcast" in whole._jdf.queryExecution().executedPlan().toString()
 
 
+def test_attach_splits_hot_keys_alone(spark):
+    data = [("hot" if i % 3 else f"k{i}", i) for i in range(6000)]
+    big = stage(spark.createDataFrame(data, "k STRING, v INT"), "big")
+    small = stage(big.groupBy("k").agg(F.count(F.lit(1)).alias("n")), "small")
+    assert len(hot_hashes(F.struct("k"), big)) < 500
+    joined = attach(big, small, ["k"], "inner", broadcast_bytes=0, slices=16)
+    assert joined.count() == 6000 and joined.agg(F.sum("n")).first()[0] == 4000 * 4000 + 2000
+    plan = attach(big, small, ["k"], "inner", broadcast_bytes=0).select("k", "n")._jdf.queryExecution().optimizedPlan().toString()
+    assert "Join Inner" in plan and "_slice" in plan
+
+
+def test_numbered(spark):
+    data = [(g, i % 700) for i in range(3000) for g in ["a" if i % 4 else (None if i % 8 else f"g{i}")]]
+    rows_in = stage(spark.createDataFrame(data, "g STRING, v INT").repartition(5), "numbered")
+    by_group = {}
+    for r in numbered(rows_in, ["g"], [F.col("v")], partitions=7).collect():
+        by_group.setdefault(r["g"], []).append((r["position"], r["v"]))
+    for found in by_group.values():
+        found.sort()
+        assert [p for p, _ in found] == list(range(len(found))) and [v for _, v in found] == sorted(v for _, v in found)
+    every = numbered(rows_in, [], [F.col("g").asc_nulls_first(), F.col("v")], partitions=4).orderBy("position").collect()
+    assert [r["position"] for r in every] == list(range(3000))
+    assert [((r["g"] or ""), r["v"]) for r in every] == sorted(((g or ""), v) for g, v in data)
+    nothing = numbered(stage(rows_in.limit(0), "none"), ["g"], [F.col("v")])
+    assert nothing.columns == ["g", "v", "position"] and nothing.count() == 0
+
+
 def test_measure_counts_text_bytes(spark):
     size = measure(spark.createDataFrame([("万円", 1), (None, 2)], "t STRING, n INT"))
     assert size.rows == 2 and size.bytes == 6 + 4 * 16
