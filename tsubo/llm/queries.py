@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tsubo.llm import decontaminate, jaccard_join, language, mixing, private_terms, quality, quotes, repeats, secrets_scan, url_filter
+from tsubo.llm import decontaminate, jaccard_join, language, manifest, mixing, private_terms, quality, quotes, repeats, secrets_scan, url_filter
 from tsubo.sources.tables import read_table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -177,6 +177,71 @@ GROUP BY doc_id, item_id, n_item HAVING 100 * count(*) >= 80 * n_item
 """
 
 
+# Unsigned CRC-32 of a decimal id as DuckDB SQL: bytes in turn, eight shifts each.
+_CRC32 = """xor(4294967295, list_reduce(list_prepend(4294967295::BIGINT, list_transform(string_split(CAST({id} AS VARCHAR), ''), lambda c: CAST(ascii(c) AS BIGINT))),
+  lambda crc, c: list_reduce([xor(crc, c), 0, 0, 0, 0, 0, 0, 0, 0], lambda x, zero: xor(x >> 1, 3988292384 * (x & 1)))))"""
+
+
+@query
+def op12_merkle_manifest(spark: SparkSession, folder: str) -> DataFrame:
+    return manifest.document_proofs(read_table(spark, folder, "documents"))
+
+
+ORACLES["op12_merkle_manifest"] = (
+    r"""
+WITH RECURSIVE d AS (
+  SELECT doc_id, lang, text, """
+    + "".join(f"coalesce(CAST(strlen(CAST({c} AS VARCHAR)) AS VARCHAR) || ':' || CAST({c} AS VARCHAR), '-') || " for c in ("doc_id", "source", "lang", "n_chars"))
+    + r"""'' AS head FROM documents
+), t AS (
+  SELECT *, sha256(head || coalesce(CAST(strlen(text) AS VARCHAR) || ':' || text, '-')) AS leaf,
+         CASE WHEN coalesce("""
+    + _CRC32.format(id="doc_id")
+    + r""" % 3 = 0, false) THEN translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') ELSE text END AS now FROM d
+), l AS (
+  SELECT *, row_number() OVER (PARTITION BY lang ORDER BY doc_id NULLS FIRST, leaf) - 1 AS spot,
+         sha256(head || coalesce(CAST(strlen(now) AS VARCHAR) || ':' || now, '-')) AS changed FROM t
+), nodes(level, lang, spot, h) AS (
+  SELECT 0, lang, spot, leaf FROM l
+  UNION ALL
+  SELECT level + 1, lang, spot // 8, sha256(string_agg(h, '' ORDER BY spot)) FROM (SELECT *, count(*) OVER (PARTITION BY lang) AS n FROM nodes)
+  WHERE n > 1 GROUP BY level, lang, spot // 8
+), subroots AS (
+  SELECT lang, level AS height, h FROM (SELECT *, count(*) OVER (PARTITION BY level, lang) AS n FROM nodes) WHERE n = 1
+), tops(level, spot, h) AS (
+  SELECT 0, row_number() OVER (ORDER BY lang NULLS FIRST) - 1, h FROM subroots
+  UNION ALL
+  SELECT level + 1, spot // 8, sha256(string_agg(h, '' ORDER BY spot)) FROM (SELECT *, count(*) OVER () AS n FROM tops) WHERE n > 1 GROUP BY level, spot // 8
+), places AS (SELECT lang, row_number() OVER (ORDER BY lang NULLS FIRST) - 1 AS place FROM subroots),
+every AS (
+  SELECT 0 AS part, level, lang, spot, h FROM nodes UNION ALL SELECT 1, level, '' AS lang, spot, h FROM tops
+), siblings AS (
+  SELECT part, level, lang, spot, count(*) OVER (PARTITION BY part, level, lang) AS n,
+         coalesce(string_agg(h, '') OVER (PARTITION BY part, level, lang, spot // 8 ORDER BY spot ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), '') AS before,
+         coalesce(string_agg(h, '') OVER (PARTITION BY part, level, lang, spot // 8 ORDER BY spot ROWS BETWEEN 1 FOLLOWING AND UNBOUNDED FOLLOWING), '') AS after
+  FROM every
+), steps AS (
+  SELECT l.lang, l.spot, s.part, s.level, s.before, s.after
+  FROM l JOIN siblings s ON s.part = 0 AND s.lang IS NOT DISTINCT FROM l.lang AND s.spot = l.spot // CAST(power(8, s.level) AS BIGINT) AND s.n > 1
+  UNION ALL
+  SELECT l.lang, l.spot, s.part, s.level, s.before, s.after
+  FROM l JOIN places p ON p.lang IS NOT DISTINCT FROM l.lang JOIN siblings s ON s.part = 1 AND s.spot = p.place // CAST(power(8, s.level) AS BIGINT) AND s.n > 1
+), ways AS (
+  SELECT lang, spot, string_agg(before || after, '' ORDER BY part, level) AS proof, list(struct_pack(before := before, after := after) ORDER BY part, level) AS way
+  FROM steps GROUP BY lang, spot
+), folds(lang, spot, i, h, way) AS (
+  SELECT l.lang, l.spot, 0, l.changed, coalesce(w.way, []) FROM l LEFT JOIN ways w ON w.lang IS NOT DISTINCT FROM l.lang AND w.spot = l.spot
+  UNION ALL
+  SELECT lang, spot, i + 1, sha256(way[i + 1].before || h || way[i + 1].after), way FROM folds WHERE i < len(way)
+), ends AS (SELECT lang, spot, h FROM folds WHERE i = len(way)),
+top AS (SELECT h AS root FROM (SELECT *, count(*) OVER (PARTITION BY level) AS n FROM tops) WHERE n = 1)
+SELECT l.doc_id, l.leaf, r.h AS subroot, root, sha256(coalesce(w.proof, '')) AS proof_sha256, e.h AS folded_root, e.h = root AS verified
+FROM l CROSS JOIN top JOIN subroots r ON r.lang IS NOT DISTINCT FROM l.lang JOIN ends e ON e.lang IS NOT DISTINCT FROM l.lang AND e.spot = l.spot
+LEFT JOIN ways w ON w.lang IS NOT DISTINCT FROM l.lang AND w.spot = l.spot
+"""
+)
+
+
 def queries() -> dict[str, Query]:
     return dict(QUERIES)
 
