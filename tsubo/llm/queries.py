@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tsubo.llm import decontaminate, jaccard_join, language, manifest, mixing, private_terms, quality, quotes, repeats, secrets_scan, url_filter
+from tsubo.llm import decontaminate, jaccard_join, language, manifest, mixing, private_terms, quality, quotes, repeats, secrets_scan, toxicity, url_filter
 from tsubo.sources.tables import read_table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -242,6 +242,11 @@ LEFT JOIN ways w ON w.lang IS NOT DISTINCT FROM l.lang AND w.spot = l.spot
 )
 
 
+@query
+def op13_factorization_machine(spark: SparkSession, folder: str) -> DataFrame:
+    return toxicity.assess(read_table(spark, folder, "documents"), read_table(spark, folder, "labels"))
+
+
 def queries() -> dict[str, Query]:
     return dict(QUERIES)
 
