@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tsubo.llm import decontaminate, jaccard_join, language, manifest, mixing, private_terms, quality, quotes, repeats, secrets_scan, toxicity, url_filter
+from tsubo.llm import decontaminate, jaccard_join, language, manifest, mixing, prefix_trie, private_terms, quality, quotes, repeats, secrets_scan, toxicity, url_filter
 from tsubo.sources.tables import read_table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -182,6 +182,45 @@ _CRC32 = """xor(4294967295, list_reduce(list_prepend(4294967295::BIGINT, list_tr
   lambda crc, c: list_reduce([xor(crc, c), 0, 0, 0, 0, 0, 0, 0, 0], lambda x, zero: xor(x >> 1, 3988292384 * (x & 1)))))"""
 
 
+@query
+def op11_prefix_trie(spark: SparkSession, folder: str) -> DataFrame:
+    return prefix_trie.shared_prefixes(read_table(spark, folder, "conversations")).drop("left", "right")
+
+
+ORACLES["op11_prefix_trie"] = (
+    r"""
+WITH t AS (
+  SELECT conv_id, sha256(CAST(strlen(coalesce(role, '')) AS VARCHAR) || ':' || coalesce(role, '') || coalesce(text, ''))[:32] AS g,
+         len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')) AS w, turn
+  FROM conversations WHERE conv_id IS NOT NULL
+), s AS (
+  SELECT conv_id, list(struct_pack(g := g, w := w) ORDER BY turn NULLS FIRST, g) AS seq FROM t GROUP BY conv_id
+), c AS (
+  SELECT conv_id, conv_id - ((conv_id % 20) + 20) % 20 AS opening, seq, """
+    + _CRC32.format(id="conv_id")
+    + r""" % 4 AS h FROM s
+), b AS (
+  SELECT c.conv_id, list_concat(coalesce(o.seq, [])[1:c.h], c.seq[c.h + 1:]) AS seq FROM c LEFT JOIN s o ON o.conv_id = c.opening
+), p AS (
+  SELECT conv_id, len(seq) AS n, d, array_to_string(list_transform(seq[1:d], lambda x: x.g), '') AS path, CASE WHEN d > 0 THEN seq[d].w ELSE 0 END AS w
+  FROM (SELECT *, unnest(range(0, len(seq) + 1)) AS d FROM b)
+), nodes AS (
+  SELECT path, d, min(conv_id) AS conv_id, count(*) AS n_convs, max(w) AS w,
+         sha256(coalesce(string_agg(CAST(conv_id AS VARCHAR), ',' ORDER BY conv_id) FILTER (WHERE n = d), '')) AS ends_sha256
+  FROM p GROUP BY path, d
+), k AS (SELECT path[:32 * (d - 1)] AS path, count(*) AS n_children FROM nodes WHERE d > 0 GROUP BY ALL),
+counted AS (SELECT nodes.*, coalesce(n_children, 0) AS n_children FROM nodes LEFT JOIN k USING (path)),
+under AS (
+  SELECT path[:32 * up] AS path, sum(CASE WHEN n_children = 0 THEN 1 ELSE 0 END) AS n_leaves, sum((n_convs - 1) * w) AS saved_tokens
+  FROM (SELECT *, unnest(range(0, d + 1)) AS up FROM counted) GROUP BY ALL
+)
+SELECT x.conv_id, x.d AS depth, u.conv_id AS parent_conv_id, x.n_convs, x.n_children, CAST(n_leaves AS BIGINT) AS n_leaves,
+       CAST(saved_tokens AS BIGINT) AS saved_tokens, x.ends_sha256
+FROM counted x JOIN under USING (path) LEFT JOIN nodes u ON x.d > 0 AND u.path = x.path[:32 * (x.d - 1)]
+"""
+)
+
+
 @query
 def op12_merkle_manifest(spark: SparkSession, folder: str) -> DataFrame:
     return manifest.document_proofs(read_table(spark, folder, "documents"))
