@@ -166,5 +166,20 @@ def test_scaling_keeps_constant_features(spark):
 def test_one_hot_vector_equals_the_columns(spark):
     train = spark.createDataFrame([("1K",), ("1R",), ("1DK",), ("1K",), (None,)], "p STRING")
     rows = spark.createDataFrame([("1DK",), ("1K",), ("1R",), ("new",), (None,)], "p STRING")
-    got = {r["p"]: r["v"].toArray().tolist() for r in encode.one_hot_vector(train, rows, "p", "v").collect()}
+    got = {r["p"]: r["v"].toArray().tolist() for r in encode.one_hot_vector(rows, "p", encode.category_slots(train, "p"), "v").collect()}
     assert got == {"1DK": [0, 0], "1K": [1, 0], "1R": [0, 1], "new": [0, 0], None: [0, 0]}
+
+
+def test_one_hot_of_a_hundred_thousand_categories(spark):
+    train = stage(spark.range(100_000).select(F.format_string("c%06d", F.col("id")).alias("c"), F.col("id").alias("k")), "wide")
+    slots = encode.category_slots(train, "c")
+    rows = train.unionByName(spark.createDataFrame([("new", -1), (None, -2)], "c STRING, k BIGINT"))
+    entries = encode.one_hot_entries(rows, "c", slots)
+    assert entries.columns == ["c", "k", "slot", "value"] and entries.count() == 99_999
+    assert entries.filter((F.col("slot") != F.col("k")) | (F.col("value") != 1.0)).isEmpty()
+    vector = encode.one_hot_vector(rows.filter("k IN (-2, -1, 0, 1, 99999)"), "c", slots, "v")
+    got = {r["k"]: (r["v"].size, r["v"].indices.tolist()) for r in vector.collect()}
+    assert got == {-2: (99_999, []), -1: (99_999, []), 0: (99_999, []), 1: (99_999, [0]), 99999: (99_999, [99_998])}
+    one = encode.category_slots(train.filter("k = 0"), "c")
+    assert encode.one_hot_entries(rows, "c", one).isEmpty()
+    assert {tuple(r["v"].toArray()) for r in encode.one_hot_vector(rows.filter("k < 2"), "c", one, "v").collect()} == {(0.0,)}

@@ -2,11 +2,15 @@
 
 from __future__ import annotations
 
-from pyspark.ml.feature import OneHotEncoder, StringIndexer, VectorAssembler, VectorSlicer
+from pyspark.ml.feature import OneHotEncoder, VectorAssembler
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-# A table cannot usefully be wider; the regression itself has no such limit.
+from tsubo.operators.lookup import attach
+from tsubo.operators.ranking import numbered
+from tsubo.sources.staging import stage
+
+# A table of columns cannot usefully be wider; entries, vectors and the regression have no such limit.
 WIDEST_ENCODING = 2000
 
 
@@ -14,7 +18,7 @@ def categories(train: DataFrame, column: str) -> list[str]:
     """Sorted distinct values of the training rows (few enough to become columns)."""
     rows = train.select(column).na.drop().distinct().limit(WIDEST_ENCODING + 1).collect()
     if len(rows) > WIDEST_ENCODING:
-        raise ValueError(f"{column} has more than {WIDEST_ENCODING} values: use one_hot_vector")
+        raise ValueError(f"{column} has more than {WIDEST_ENCODING} values: use one_hot_entries or one_hot_vector")
     return sorted(row[0] for row in rows)
 
 
@@ -32,23 +36,39 @@ def one_hot(df: DataFrame, column: str, values: list[str]) -> DataFrame:
     return df.withColumns(dummies)
 
 
-def one_hot_vector(train: DataFrame, df: DataFrame, column: str, output: str) -> DataFrame:
-    """The same encoding as one sparse vector, for any number of categories.
+def category_slots(train: DataFrame, column: str) -> DataFrame:
+    """``column, slot`` of every distinct value of the training rows, in order; slot 0 is the baseline.
+
+    A dense rank for any number of categories: the distinct values are dealt to
+    ranges of their order and numbered by sums over the ranges.
+    """
+    values = stage(train.select(column).na.drop().distinct(), "categories")
+    return stage(numbered(values, [], [F.col(column)], "slot"), "category_slots")
+
+
+def one_hot_entries(df: DataFrame, column: str, slots: DataFrame) -> DataFrame:
+    """The entries that are 1: the rows' other columns with ``slot`` and ``value``, however many slots there are.
+
+    The baseline and values that ``slots`` lacks have no entry.
+    """
+    return attach(df, slots.filter(F.col("slot") > 0), [column], "inner").withColumn("value", F.lit(1.0))
+
+
+def one_hot_vector(df: DataFrame, column: str, slots: DataFrame, output: str) -> DataFrame:
+    """The same encoding as one sparse vector; the baseline and unknown values are all zeros.
 
-    The indexer puts unknown values last and the encoder drops the last slot, so
-    they become all zeros; the slicer drops the baseline's slot.
+    The index of a known value is its slot less one; the baseline and whatever is
+    unknown take the last index, which the encoder leaves out.  The driver
+    learns the number of slots and no more.
     """
-    text, index, slots = f"{column}_text", f"{column}_index", f"{column}_slots"
-    indexer = StringIndexer(inputCol=text, outputCol=index, handleInvalid="keep", stringOrderType="alphabetAsc")
-    known = train.select(F.col(column).cast("string").alias(text)).na.drop().distinct()
-    indexed = indexer.fit(known)
-    width = len(indexed.labelsArray[0])
-    found = indexed.transform(df.withColumn(text, F.col(column).cast("string")))
-    # Fitted on the index alone: its size comes from the indexer, not from the rows.
-    encoder = OneHotEncoder(inputCol=index, outputCol=slots, dropLast=True)
-    hot = encoder.fit(found.limit(1)).transform(found)
-    sliced = VectorSlicer(inputCol=slots, outputCol=output, indices=list(range(1, width)))
-    return sliced.transform(hot).drop(text, index, slots)
+    # An encoder needs two slots at least: without two categories the vector is one zero.
+    last = max(slots.agg(F.max("slot")).first()[0] or 0, 1)
+    index = f"{column}_index"
+    found = attach(df, slots, [column]).withColumn(index, F.when(F.col("slot") > 0, F.col("slot") - 1).otherwise(last).cast("double")).drop("slot")
+    # Fitted on the largest index alone.
+    sizes = df.sparkSession.range(1).select(F.lit(float(last)).alias(index))
+    encoder = OneHotEncoder(inputCol=index, outputCol=output, dropLast=True).fit(sizes)
+    return encoder.transform(found).drop(index)
 
 
 def assemble(df: DataFrame, features: list[str], output: str = "features") -> DataFrame:

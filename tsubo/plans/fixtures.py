@@ -90,7 +90,7 @@ def _unit(href: str) -> str:
     return UNIT_HTML.format(href=href, **{c: _text(c) for c in RAW_COLUMNS})
 
 
-def listing_pages(lineitem: DataFrame) -> DataFrame:
+def listing_pages(lineitem: DataFrame, listed: bool = False, extra: list[str] | None = None) -> DataFrame:
     """One listing page per line item, holding exactly the rows of ``raw_listings``.
 
     The page has the listing's building, with a second unit where the listing
@@ -109,7 +109,21 @@ def listing_pages(lineitem: DataFrame) -> DataFrame:
         "'</table></div>')"
     )
     empty = "'<div class=\"cassetteitem\"><div class=\"cassetteitem_content-title\">No units</div></div>'"
-    return once_listed(lineitem).selectExpr("url", f"concat('<html><body>', {building}, {empty}, '</body></html>') AS html")
+    rows = lineitem if listed else once_listed(lineitem)
+    return rows.selectExpr("url", *(extra or []), f"concat('<html><body>', {building}, {empty}, '</body></html>') AS html")
+
+
+# A building has its picture in the second of two boxes, which is the first with an image; A1, A11, A21, ... have none.
+IMAGE = "CASE WHEN address LIKE '%1' THEN NULL ELSE concat('/img/', address, '.jpg') END"
+
+
+def pictured_pages(lineitem: DataFrame) -> DataFrame:
+    """The listing pages with a picture of the building, where it has one."""
+    box = "<div class=\"cassetteitem_object\">"
+    image = f"concat('{box}</div>{box}<img src=\"x.gif\" rel=\"', image, '\"><img rel=\"second.jpg\"></div>')"
+    opened = "<div class=\"cassetteitem\">"
+    pages = listing_pages(once_listed(lineitem).withColumn("image", F.expr(IMAGE)), listed=True, extra=["image"])
+    return pages.selectExpr("url", f"concat(substr(html, 1, instr(html, '{opened}') + {len(opened) - 1}), coalesce({image}, ''), substr(html, instr(html, '{opened}') + {len(opened)})) AS html")
 
 
 PAGE_URL = f"{BASE_URL}/p/"

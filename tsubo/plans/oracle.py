@@ -193,9 +193,9 @@ SELECT point, round(spot, 4) AS x, round(sum(c * exp(-0.5 * ((spot - d.x) / h) *
 FROM g, d GROUP BY point, spot"""
 
 
-def _box(group: str) -> str:
+def _box(group: str, value: str = "rent") -> str:
     return f"""
-v AS (SELECT {group} AS g, rent AS x FROM clean WHERE {group} IS NOT NULL AND rent IS NOT NULL),
+v AS (SELECT {group} AS g, {value} AS x FROM clean WHERE {group} IS NOT NULL AND {value} IS NOT NULL),
 q AS (SELECT g, quantile_cont(x, 0.25) AS q1, median(x) AS median, quantile_cont(x, 0.75) AS q3 FROM v GROUP BY g),
 f AS (SELECT *, q1 - 1.5 * (q3 - q1) AS lo, q3 + 1.5 * (q3 - q1) AS hi FROM q)"""
 
@@ -209,8 +209,8 @@ SELECT g AS {group}, count(*) AS count, any_value(q1) AS q1, any_value(median) A
 FROM v JOIN f USING (g) GROUP BY g"""
 
 
-def _box_outliers(group: str) -> str:
-    return f"""WITH {CLEAN}, {_box(group)}
+def _box_outliers(group: str, value: str = "rent") -> str:
+    return f"""WITH {CLEAN}, {_box(group, value)}
 SELECT g AS {group}, x AS value, count(*) AS n FROM v JOIN f USING (g) WHERE x NOT BETWEEN lo AND hi GROUP BY g, x"""
 
 
@@ -252,8 +252,12 @@ SELECT {named}sample_size, round(m, 4) AS mean, round(e, 4) AS margin, round(m -
 
 
 def _pearson(x: str) -> str:
-    return f"""WITH {CLEAN}, c AS (SELECT corr({x}, rent) AS r, regr_count(rent, {x}) AS n FROM clean)
-SELECT '{x}' AS x, 'rent' AS y, n::BIGINT AS n, round(r, 8) AS r, round(r * sqrt((n - 2) / (1 - r * r)), 4) AS t, 0.0::DOUBLE AS p FROM c"""
+    """p by Simpson's rule over the tail of Student's density, 40 units in 4000 steps."""
+    return f"""WITH {CLEAN}, c AS (SELECT corr({x}, rent) AS r, regr_count(rent, {x}) AS n FROM clean),
+d AS (SELECT r, n, n - 2 AS v, r * sqrt((n - 2) / (1 - r * r)) AS t FROM c),
+tail AS (SELECT v, abs(t) + i / 100 AS z, CASE WHEN i IN (0, 4000) THEN 1 WHEN i % 2 = 1 THEN 4 ELSE 2 END AS w FROM d, range(4001) s(i)),
+p AS (SELECT 2 * sum(w * exp(lgamma((v + 1) / 2) - lgamma(v / 2) - 0.5 * ln(v * pi()) - (v + 1) / 2 * ln(1 + z * z / v))) / 300 AS p FROM tail)
+SELECT '{x}' AS x, 'rent' AS y, n::BIGINT AS n, round(r, 8) AS r, round(t, 4) AS t, round(p, 8) AS p FROM d, p"""
 
 
 CORRELATION = f"WITH {CLEAN} " + " UNION ALL ".join(
@@ -348,15 +352,22 @@ FROM standard GROUP BY 1""",
     "correlation_matrix": CORRELATION,
     "pearson_area_rent": _pearson("area"),
     "pearson_age_rent": _pearson("building_age"),
+    "pearson_distance_rent": _pearson("distance_to_nearest_station"),
     "rent_histogram": f"WITH {CLEAN}, {_histogram('clean', 'rent')}",
     "rent_kde": f"WITH {CLEAN}, {_curve('clean', 'rent', 3)}",
     **{name: _box_summary(group) for name, group in BOXES.items()},
     **{name.replace("box", "box_outliers"): _box_outliers(group) for name, group in BOXES.items()},
+    **{name.replace("box", "box_outliers_of_rate"): _box_outliers(group, "(rent / area)") for name, group in BOXES.items()},
     "scatter_area_rent": f"WITH {CLEAN} SELECT area AS x, rent AS y FROM clean",
     "scatter_age_rent": f"WITH {CLEAN} SELECT building_age AS x, rent AS y FROM clean",
     "train_test_split_counts": f"WITH {SPLIT} SELECT is_test, fold, count(*) AS n FROM split GROUP BY is_test, fold",
     "train_test_split_rows": f"WITH {SPLIT} SELECT url, floor, rent, is_test, fold FROM split",
     "one_hot_floor_plan": f"WITH {SPLIT} SELECT url, {', '.join(X)}, {DUMMY_SQL} FROM split",
+    "one_hot_entries": f"""WITH {SPLIT}, slots AS (
+  SELECT url, row_number() OVER (ORDER BY url) - 1 AS slot FROM (SELECT DISTINCT url FROM split WHERE NOT is_test))
+SELECT url, floor, is_test, slot, 1.0::DOUBLE AS value FROM split JOIN slots USING (url) WHERE slot > 0""",
+    "assembled_features": f"""WITH {SPLIT} SELECT url, floor AS at_floor, {len(X) + len(PLANS)} AS n_features,
+  {", ".join(f"{c}::DOUBLE AS x{i}" for i, c in enumerate([*X, *DUMMIES.values()]))} FROM split""",
     "standardize_features": _standardized(refit=False),
     "standardize_features_refit": _standardized(refit=True),
     "simple_regression": (
@@ -382,6 +393,7 @@ UNION ALL SELECT 'test', count(*), {R2} FROM own WHERE is_test UNION ALL SELECT
     "residual_kde": f"WITH {REFIT}, errors AS (SELECT predicted - rent AS residual FROM refitted), {_curve('errors', 'residual', 0)}",
     "html_roundtrip_listings": ROUNDTRIP,
     "html_strict_stations": f"WITH {RAW} SELECT url, nearest_station, distance_to_nearest_station, avg_distance_to_stations FROM raw",
+    "html_images": f"WITH {RAW} SELECT url, {fixtures.IMAGE} AS img FROM raw",
     "html_block_rejects": (
         f"WITH {RAW} SELECT 2 * (SELECT count(*) FROM once) AS buildings, (SELECT count(*) FROM once) AS without_units, "
         "count(*) AS listings FROM raw"
@@ -399,6 +411,7 @@ SELECT url, link, concat('{fixtures.BASE_URL[:-1]}', {_unescaped("href")}) AS ta
 ORACLE |= {
     "station_features_sliced": ORACLE["station_features"],
     "view_scan": ORACLE["featured_view"],
+    "stored_view": ORACLE["featured_view"],
     "describe_numeric_by_ranks": ORACLE["describe_numeric"],
     "box_by_station_ranked": ORACLE["box_by_station"],
 }

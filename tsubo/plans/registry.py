@@ -5,13 +5,14 @@ from __future__ import annotations
 import uuid
 from collections.abc import Callable
 
+from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tsubo.functions import labels, numbers
 from tsubo.operators import cleaning, distribution, encode, features, pages, profile, regression, summary
 from tsubo.plans import fixtures, listings, prepared
-from tsubo.sources import tables
+from tsubo.sources import tables, views
 from tsubo.sources.staging import new_path, stage
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -153,6 +154,18 @@ def view_scan(spark: SparkSession, folder: str) -> DataFrame:
     return spark.sql(f"SELECT * FROM {name}")
 
 
+@query
+def stored_view(spark: SparkSession, folder: str) -> DataFrame:
+    """The view stored over a table of half the listings; the other half is added before it is read."""
+    table, view, path = _unused("listings_raw"), _unused("listings_featured"), new_path(spark, "listings-raw")
+    raw = prepared.raw(spark, folder)
+    late = F.pmod(F.xxhash64("url"), F.lit(2)) == 1
+    tables.write_table(raw.filter(~late), table, path)
+    views.create_featured_view(spark, table, view)
+    views.append_rows(raw.filter(late), table)
+    return spark.table(view)
+
+
 @query
 def clean_listings(spark: SparkSession, folder: str) -> DataFrame:
     return listings.clean_listings(listings.featured_view(prepared.raw(spark, folder)))
@@ -229,6 +242,12 @@ def pearson_age_rent(spark: SparkSession, folder: str) -> DataFrame:
     return _rounded(summary.pearson_test(prepared.clean(spark, folder), "building_age", "rent"), r=8, t=4, p=8)
 
 
+@query
+def pearson_distance_rent(spark: SparkSession, folder: str) -> DataFrame:
+    """A weak correlation, whose p is far from 0."""
+    return _rounded(summary.pearson_test(prepared.clean(spark, folder), "distance_to_nearest_station", "rent"), r=8, t=4, p=8)
+
+
 # Chart data -----------------------------------------------------------------
 
 HISTOGRAM_DIGITS = {"bin_low": 4, "bin_high": 4, "density": 12}
@@ -260,6 +279,19 @@ for _name, _group in BOXES.items():
     _box(_name, _group)
 
 
+def _box_of_rate(name: str, group: str) -> None:
+    def outliers(spark: SparkSession, folder: str) -> DataFrame:
+        """Rent per square metre, which is skewed: every grouping has outliers."""
+        rows = prepared.clean(spark, folder).withColumn("rate", F.col("rent") / F.col("area"))
+        return distribution.box_outliers(rows, group, "rate")
+
+    QUERIES[name.replace("box", "box_outliers_of_rate")] = outliers
+
+
+for _name, _group in BOXES.items():
+    _box_of_rate(_name, _group)
+
+
 @query
 def box_by_station_ranked(spark: SparkSession, folder: str) -> DataFrame:
     """The station box plot with the large-group quantiles and the sliced join."""
@@ -298,6 +330,25 @@ def one_hot_floor_plan(spark: SparkSession, folder: str) -> DataFrame:
     return hot.select("url", *regression.NUMERIC, *encode.feature_names("floor_plan", values))
 
 
+@query
+def one_hot_entries(spark: SparkSession, folder: str) -> DataFrame:
+    """The dummies of a feature with nearly as many categories as rows, as one row per entry that is not zero."""
+    rows = prepared.split(spark, folder).select("url", "floor", "is_test")
+    slots = encode.category_slots(rows.filter(~F.col("is_test")), "url")
+    return encode.one_hot_entries(rows, "url", slots)
+
+
+@query
+def assembled_features(spark: SparkSession, folder: str) -> DataFrame:
+    """The feature vector of every row, opened again by place."""
+    rows = prepared.split(spark, folder)
+    values = encode.categories(rows.filter(~F.col("is_test")), "floor_plan")
+    names = [*regression.NUMERIC, *encode.feature_names("floor_plan", values)]
+    hot = encode.one_hot(rows.withColumn("at_floor", F.col("floor")), "floor_plan", values)
+    opened = encode.assemble(hot, names).select("url", "at_floor", vector_to_array("features").alias("v"))
+    return opened.select("url", "at_floor", F.size("v").alias("n_features"), *(F.col("v")[i].alias(f"x{i}") for i in range(len(names))))
+
+
 def _standardized(spark: SparkSession, folder: str, refit: bool) -> DataFrame:
     rows = prepared.split(spark, folder)
     values = encode.categories(rows.filter(~F.col("is_test")), "floor_plan")
@@ -393,6 +444,13 @@ def html_strict_stations(spark: SparkSession, folder: str) -> DataFrame:
     return found.select("url", "nearest_station", "distance_to_nearest_station", "avg_distance_to_stations")
 
 
+@query
+def html_images(spark: SparkSession, folder: str) -> DataFrame:
+    """The picture of every listing's building."""
+    found = pages.extract_listings(fixtures.pictured_pages(_lineitem(spark, folder)), BASE_URL, with_image=True)
+    return found.select("url", "img")
+
+
 @query
 def html_block_rejects(spark: SparkSession, folder: str) -> DataFrame:
     return pages.block_rejects(pages.building_blocks(fixtures.listing_pages(_lineitem(spark, folder))))
