@@ -1,4 +1,5 @@
 import math
+from fractions import Fraction
 
 import numpy as np
 import pytest
@@ -183,3 +184,60 @@ def test_one_hot_of_a_hundred_thousand_categories(spark):
     one = encode.category_slots(train.filter("k = 0"), "c")
     assert encode.one_hot_entries(rows, "c", one).isEmpty()
     assert {tuple(r["v"].toArray()) for r in encode.one_hot_vector(rows.filter("k < 2"), "c", one, "v").collect()} == {(0.0,)}
+
+
+def exact_slopes(rows, features):
+    """Slopes about category means in rational arithmetic."""
+    by = {}
+    for r in rows:
+        by.setdefault(r["floor_plan"], []).append([Fraction(r[v]) for v in (*features, "rent")])
+    centred = []
+    for part in by.values():
+        means = [sum(c) / len(part) for c in zip(*part)]
+        centred += [[v - m for v, m in zip(row, means)] for row in part]
+    k = len(features)
+    system = [[sum(r[i] * r[j] for r in centred) for j in range(k + 1)] for i in range(k)]
+    for i in range(k):
+        pivot = system[i][i]
+        system[i] = [v / pivot for v in system[i]]
+        for j in range(k):
+            if j != i:
+                system[j] = [a - system[j][i] * b for a, b in zip(system[j], system[i])]
+    return [float(system[i][k]) for i in range(k)]
+
+
+def test_nearly_collinear_features_agree_with_rational_arithmetic(spark):
+    random = np.random.default_rng(12)
+    data = []
+    for i in range(400):
+        area = random.uniform(10, 60)
+        age = area + 1e-8 * random.normal()  # differs from the area in the eighth decimal
+        size, floor = random.uniform(1, 12), random.uniform(0, 9)
+        data.append((f"u{i}", 3000 * area + 1e9 * (age - area) + 10 * size + random.normal(), area, age, size, floor, f"p{i % 7}"))
+    df = spark.createDataFrame(data, "url STRING, rent DOUBLE, area DOUBLE, building_age DOUBLE, building_size DOUBLE, floor DOUBLE, floor_plan STRING")
+    rows = stage(split.train_test_split(stage(df.repartition(5), "rows"), "url"), "split")
+    m = regression.moments(rows)
+    train = rows.filter(~F.col("is_test")).collect()
+    want = exact_slopes(train, FEATURES)
+    found = regression.fit(m).slopes
+    assert [found[v] for v in FEATURES] == pytest.approx(want, rel=1e-5, abs=1e-2)
+    x = np.array([[r[f] for f in FEATURES] for r in train])
+    by_plan = np.array([r["floor_plan"] for r in train])
+    centred = x - np.array([x[by_plan == p].mean(axis=0) for p in by_plan])
+    product = centred.T @ centred
+    assert np.linalg.cond(product) > 1e15  # what the cross products would have had to be solved from
+    for fold, factor in regression.within_factors(m, [0, 1, 2, 3, 4]).items():
+        kept = [r for r in train if r["fold"] != fold]
+        got = regression._solve(factor, m)
+        assert [got[v] for v in FEATURES] == pytest.approx(exact_slopes(kept, FEATURES), rel=1e-5, abs=1e-2), fold
+
+
+def test_exact_collinearity_and_many_categories(spark, monkeypatch):
+    monkeypatch.setattr(regression, "FACTORS_HELD", 10)
+    data = [(f"u{i}", 5.0 * (i % 50) + (i // 50), float(i % 50), i % 50, 3, i % 50 * 2, f"p{i // 50}") for i in range(3000)]
+    df = spark.createDataFrame(data, "url STRING, rent DOUBLE, area DOUBLE, building_age BIGINT, building_size BIGINT, floor BIGINT, floor_plan STRING")
+    rows = stage(split.train_test_split(stage(df.repartition(5), "rows"), "url"), "split")
+    f = regression.fit(regression.moments(rows))
+    assert f.slopes["building_size"] == 0.0
+    assert f.slopes["area"] + f.slopes["building_age"] + 2 * f.slopes["floor"] == pytest.approx(5.0)
+    assert [r["r2"] for r in regression.scores(f).collect()][:2] == pytest.approx([1.0, 1.0])

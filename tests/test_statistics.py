@@ -21,7 +21,7 @@ def skewed(spark):
     return stage(spark.createDataFrame(data, "g STRING, x DOUBLE"), "skewed"), data
 
 
-@pytest.mark.parametrize("limits", [{}, {"rows_in_memory": 0, "buckets": 16}, {"rows_in_memory": 0, "buckets": 16, "broadcast_bytes": 0}])
+@pytest.mark.parametrize("limits", [{}, {"most_values": 20}, {"most_values": 20, "broadcast_bytes": 0}])
 def test_grouped_quantiles_equal_numpy(skewed, limits):
     df, data = skewed
     got = {r["g"]: list(r["quantiles"]) for r in quantiles(df, ["g"], "x", PROBABILITIES, **limits).collect()}
@@ -37,26 +37,26 @@ def test_grouped_quantiles_equal_numpy(skewed, limits):
 @pytest.mark.parametrize("name", ["bucket", "n", "place", "rank", "value"])
 def test_group_columns_may_have_any_name(spark, name):
     df = stage(spark.range(100).select((F.col("id") % 2).alias(name), F.col("id").cast("double").alias("x")), "named")
-    got = quantiles(df, [name], "x", [0.5], rows_in_memory=0, buckets=4)
+    got = quantiles(df, [name], "x", [0.5], most_values=3)
     assert {r[name]: list(r["quantiles"]) for r in got.collect()} == {0: [49.0], 1: [50.0]}
 
 
 def test_whole_table_quantiles(skewed):
     df, data = skewed
     known = [x for _, x in data if x is not None]
-    got = quantiles(df, [], "x", [0.25, 0.75], rows_in_memory=0, buckets=8).first()["quantiles"]
+    got = quantiles(df, [], "x", [0.25, 0.75], most_values=50).first()["quantiles"]
     assert list(got) == pytest.approx(list(np.quantile(known, [0.25, 0.75])))
 
 
 def test_quartiles_golden(spark):
     df = stage(spark.createDataFrame([(1.0,), (2.0,), (3.0,), (10.0,)], "x DOUBLE"), "x")
-    assert list(quantiles(df, [], "x", [0.25, 0.5, 0.75], rows_in_memory=0).first()["quantiles"]) == [1.75, 2.5, 4.75]
+    assert list(quantiles(df, [], "x", [0.25, 0.5, 0.75], most_values=2).first()["quantiles"]) == [1.75, 2.5, 4.75]
 
 
 def test_histogram_equals_numpy(skewed):
     df, data = skewed
     known = np.array([x for g, x in data if x is not None and g != "hot"])
-    got = distribution.histogram(stage(df.filter("g IS NULL OR g <> 'hot'"), "part"), "x", rows_in_memory=0, buckets=32)
+    got = distribution.histogram(stage(df.filter("g IS NULL OR g <> 'hot'"), "part"), "x", most_values=10)
     rows = got.orderBy("bin").collect()
     counts, edges = np.histogram(known, bins="auto")
     density, _ = np.histogram(known, bins="auto", density=True)
@@ -85,7 +85,7 @@ def test_density_curve(spark):
     assert tuple(on_data) == pytest.approx((values.min(), values.max()))
 
 
-@pytest.mark.parametrize("limits", [{}, {"rows_in_memory": 0, "buckets": 16, "broadcast_bytes": 0}])
+@pytest.mark.parametrize("limits", [{}, {"most_values": 20, "broadcast_bytes": 0}])
 def test_box_summary_and_outliers(skewed, limits):
     df, data = skewed
     got = {r["g"]: r for r in distribution.box_summary(df, "g", "x", **limits).collect()}
@@ -170,3 +170,51 @@ def test_profile(spark):
     number = {r["column_name"]: r for r in profile.describe_numeric(df).collect()}["i"]
     assert (number["count"], number["mean"], number["min"], number["max"], number["q50"]) == (4, 4.0, 1.0, 9.0, 3.0)
     assert number["std"] == pytest.approx(np.std([1, 2, 4, 9], ddof=1))
+
+
+@pytest.mark.parametrize("seed", [1, 2])
+def test_fast_gauss_sums_equal_direct_ones(seed):
+    random = np.random.default_rng(seed)
+    values = np.concatenate([random.normal(0, 1, 3000), random.lognormal(1, 1, 500), [250.0, 250.0, -90.0]])
+    weight = random.integers(1, 1000, len(values))
+    at = np.linspace(-100, 260, 400)
+    direct = np.exp(-((at[:, None] - values) ** 2)) @ weight
+    u = values - values.min()
+    boxes, sums = distribution.box_moments(u, np.floor(u / distribution.BOX), weight)
+    fast = distribution.hermite_sums(at - values.min(), boxes, sums)
+    assert np.abs(fast - direct).max() <= 1e-12 * weight.sum()
+
+
+def test_density_of_far_values_equals_the_direct_sum(spark):
+    random = np.random.default_rng(4)
+    values = np.concatenate([random.normal(1e6, 5, 2000), [1e6 + 4000.0]])
+    df = stage(spark.createDataFrame([(float(v),) for v in values], "x DOUBLE").repartition(7), "far")
+    rows = distribution.density_curve(df, "x").orderBy("point").collect()
+    h = values.std(ddof=1) * len(values) ** -0.2
+    for r in rows:
+        direct = np.exp(-0.5 * ((r["x"] - values) / h) ** 2).sum() / (len(values) * h * math.sqrt(2 * math.pi))
+        assert r["density"] == pytest.approx(direct, abs=1e-9)
+
+
+def test_histogram_runs(spark, skewed):
+    df, _ = skewed
+    runs = distribution.histogram_runs(df, "x").orderBy("bin").collect()
+    every = distribution.histogram(df, "x").orderBy("bin").collect()
+    opened = [(b, r["count"], r["density"]) for r in runs for b in range(r["bin"], r["bin"] + r["bins"])]
+    assert opened == [(r["bin"], r["count"], r["density"]) for r in every]
+    assert all(a["bin_high"] == b["bin_low"] for a, b in zip(runs, runs[1:]))
+    far = stage(spark.createDataFrame([(float(i % 50),) for i in range(1000)] + [(1e15,)], "x DOUBLE"), "far")
+    found = distribution.histogram_runs(far, "x").collect()
+    assert len(found) < 120 and sum(r["count"] for r in found) == 1001 and max(r["bins"] for r in found) > 10**13
+    assert distribution.histogram_runs(far.limit(0), "x").isEmpty()
+    same = distribution.histogram_runs(far.filter("x = 7"), "x").collect()
+    assert [(r["bin"], r["bins"], r["count"]) for r in same] == [(0, 1, 20)]
+
+
+def test_quantiles_of_many_values_and_ties(spark):
+    random = np.random.default_rng(6)
+    values = np.concatenate([random.lognormal(0, 3, 5000), np.full(9000, 1.5), [math.inf, -math.inf, 0.0, -0.0]])
+    df = stage(spark.createDataFrame([("g", float(v)) for v in values] + [("h", 1.0)], "g STRING, x DOUBLE").repartition(5), "ties")
+    for most in (2, 70, 100_000):
+        got = {r["g"]: list(r["quantiles"]) for r in quantiles(df, ["g"], "x", [0.1, 0.33, 0.5, 0.99], most_values=most).collect()}
+        assert got == {"g": pytest.approx(list(np.quantile(values, [0.1, 0.33, 0.5, 0.99])), rel=1e-12), "h": [1.0] * 4}

@@ -1,19 +1,25 @@
 """Least squares on numeric features plus one categorical feature.
 
-One pass over the rows yields counts, sums and cross products per test flag,
-fold and category; every model, score and cross-validation comes from that
-small table.  A dummy per category and an intercept are the same model as one
-level per category, so the slopes follow from the spread within categories (a
-4 x 4 system for four numeric features) and the categories stay rows of a
-table, however many there are.
+A dummy per category and an intercept are the same model as one level per
+category, so the slopes follow from the spread within categories and the
+categories stay rows of a table, however many there are.
+
+The slopes come from a tall-skinny QR: every task turns the rows of a fold and
+category into a small triangular factor, factors are stacked and factored again
+until one is left, and the slopes are solved from it.  No product of two
+features is formed on the way, so nearly collinear features lose no more digits than
+they must.  Counts, sums and cross products per test flag, fold and category,
+from one more pass, give levels, deviations and scores.
 """
 
 from __future__ import annotations
 
+from collections.abc import Iterator
 from itertools import combinations_with_replacement
 from typing import NamedTuple
 
 import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -23,12 +29,17 @@ from tsubo.sources.staging import stage
 TARGET = "rent"
 NUMERIC = ["area", "building_age", "building_size", "floor"]
 CATEGORY = "floor_plan"
+# Singular values of the scaled factor below this share of the greatest are rounding errors of exact collinearity.
+RANK_CUT = 1e-13
+# Factors a task holds before it sends them on: some 300 bytes each.
+FACTORS_HELD = 100_000
 
 
 class Moments(NamedTuple):
     """Sums of centred values per (is_test, fold, category)."""
 
     table: DataFrame
+    rows: DataFrame  # the centred rows themselves
     features: list[str]
     target: str
     category: str
@@ -63,30 +74,95 @@ def moments(split: DataFrame, features: list[str] = NUMERIC, target: str = TARGE
         *(F.expr(f"sum(`{v}`) AS `s_{v}`") for v in variables),
         *(F.expr(f"sum(`{a}` * `{b}`) AS `q_{a}_{b}`") for a, b in combinations_with_replacement(variables, 2)),
     )
-    return Moments(stage(table, "moments"), features, target, category, centre)
+    return Moments(stage(table, "moments"), centred, features, target, category, centre)
 
 
 # The formulas below are SQL text over the sums; ``prefix`` picks the rows the
 # sums stand for and ``slopes`` holds a SQL operand per feature.
 
 
-def _within(m: Moments, prefix: str = "") -> list[Column]:
-    """Sums of squares and products about the category means."""
-    own = "`{p}s_{a}` * `{p}s_{b}`"
-    spread = "sum(`{p}q_{a}_{b}` - coalesce(try_divide(" + own + ", `{p}n`), 0D)) AS `w_{a}_{b}`"
-    return [F.expr(spread.format(p=prefix, a=a, b=b)) for a, b in m.pairs]
+def _merged(factors: list[np.ndarray]) -> np.ndarray:
+    """The triangular factor of all rows behind the given ones; its height is at most its width."""
+    return np.linalg.qr(np.vstack(factors), mode="r")
 
 
-def _solve(row, m: Moments) -> dict[str, float]:
-    w = np.zeros((len(m.variables), len(m.variables)))
-    for a, b in m.pairs:
-        i, j = m.variables.index(a), m.variables.index(b)
-        w[i, j] = w[j, i] = row[f"w_{a}_{b}"]
-    x, y = w[:-1, :-1], w[:-1, -1]
-    # Scaled to unit diagonal; a feature that does not vary gets slope zero.
-    d = np.sqrt(np.maximum(np.diag(x), 0.0))
+def _partial_factors(width: int):
+    """Factors of [1, features, target] per fold and category of a task's rows; a task with very many sends some early."""
+
+    def work(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: dict[tuple, np.ndarray] = {}
+
+        def sent() -> pa.RecordBatch:
+            keys = list(held)
+            columns = [pa.array([k[0] for k in keys], pa.int64()), pa.array([k[1] for k in keys], kind), pa.array([held[k].tobytes() for k in keys], pa.binary())]
+            held.clear()
+            return pa.RecordBatch.from_arrays(columns, ["fold", "category", "factor"])
+
+        kind = pa.string()
+        for batch in parts:
+            kind = batch.column("category").type
+            values = np.column_stack([np.ones(batch.num_rows), *(batch.column(i).to_numpy() for i in range(2, width + 1))])
+            code = batch.column("category").dictionary_encode()
+            names, fold = [*code.dictionary.to_pylist(), None], batch.column("fold").to_numpy()
+            both = fold * len(names) + code.indices.fill_null(len(names) - 1).to_numpy()
+            order = np.argsort(both, kind="stable")
+            begin = np.flatnonzero(np.append(True, np.diff(both[order]) != 0)) if len(order) else []
+            for rows in np.split(order, begin[1:]) if len(order) else []:
+                key = (int(fold[rows[0]]), names[int(both[rows[0]]) % len(names)])
+                held[key] = _merged([held[key], values[rows]] if key in held else [values[rows]])
+            if len(held) > FACTORS_HELD:
+                yield sent()
+        yield sent()
+
+    return work
+
+
+def within_factors(m: Moments, leave_out: list[int | None]) -> dict[int | None, np.ndarray]:
+    """Per fold left out (None: none of them) the factor of the other training rows, each variable about its category's mean.
+
+    In the factor of [1, x, y] all rows but the first are the factor of x and y about their means: that is what goes on
+    from every category.  A task keeps one factor per fold left out; the driver gets these.
+    """
+    width = len(m.variables) + 1
+    train = m.rows.filter(~F.col("is_test")).select(F.coalesce("fold", F.lit(-1)).cast("bigint").alias("fold"), F.col(m.category).alias("category"), *(F.col(v).cast("double") for v in m.variables))
+    kind = train.schema["category"].dataType.simpleString()
+    parts = train.mapInArrow(_partial_factors(width), f"fold BIGINT, category {kind}, factor BINARY")
+
+    def opened(table: pa.Table | pa.RecordBatch) -> list[np.ndarray]:
+        return [np.frombuffer(f).reshape(-1, width) for f in table.column("factor").to_pylist()]
+
+    def per_category(table: pa.Table) -> pa.Table:
+        fold, factors = table.column("fold").to_pylist(), opened(table)
+        found = []
+        for number, out in enumerate(leave_out):
+            kept = [f for f, own in zip(factors, fold) if own != out]
+            if kept:
+                found.append((number, _merged(kept)[1:].tobytes()))
+        return pa.table({"left_out": pa.array([n for n, _ in found], pa.int64()), "factor": pa.array([f for _, f in found], pa.binary())})
+
+    def per_task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: dict[int, np.ndarray] = {}
+        for batch in batches:
+            for number, factor in zip(batch.column("left_out").to_pylist(), opened(batch)):
+                held[number] = _merged([held[number], factor]) if number in held else factor
+        yield pa.RecordBatch.from_arrays([pa.array(list(held), pa.int64()), pa.array([f.tobytes() for f in held.values()], pa.binary())], ["left_out", "factor"])
+
+    schema = "left_out BIGINT, factor BINARY"
+    rows = parts.groupBy("category").applyInArrow(per_category, schema).mapInArrow(per_task, schema).collect()
+    total: dict[int | None, list[np.ndarray]] = {}
+    for row in rows:
+        total.setdefault(leave_out[row["left_out"]], []).append(np.frombuffer(row["factor"]).reshape(-1, width))
+    return {out: _merged(factors)[:, 1:] for out, factors in total.items()}
+
+
+def _solve(factor: np.ndarray | None, m: Moments) -> dict[str, float]:
+    """Slopes from the factor of [features, target]; a feature that does not vary gets slope zero."""
+    if factor is None or not len(factor):
+        return dict.fromkeys(m.features, 0.0)
+    x, y = factor[:, :-1], factor[:, -1]
+    d = np.sqrt((x * x).sum(axis=0))
     d[d == 0] = 1.0
-    slopes = np.linalg.lstsq(x / np.outer(d, d), y / d, rcond=1e-12)[0] / d
+    slopes = np.linalg.lstsq(x / d, y, rcond=RANK_CUT)[0] / d
     return dict(zip(m.features, slopes.tolist(), strict=True))
 
 
@@ -172,17 +248,16 @@ def _spreads(row, m: Moments, prefix: str) -> dict[str, Spread]:
 
 
 def fit(m: Moments) -> Fit:
-    """Fit on the training rows (one small job over the moments)."""
+    """Fit on the training rows: one pass for the factors, one small job over the moments."""
     cells = m.table.groupBy(m.category).agg(
         *(F.expr(f"coalesce(sum(`{c}`) FILTER (WHERE NOT is_test), 0) AS `train_{c}`") for c in m.sums),
         *(F.expr(f"coalesce(sum(`{c}`) FILTER (WHERE is_test), 0) AS `test_{c}`") for c in m.sums),
     )
     row = cells.agg(
-        *_within(m, "train_"),
         *(F.expr(f"sum(`{c}`) AS `{c}`") for c in cells.columns if c != m.category),
         _first_category(m, "train_"),
     ).first()
-    slopes = _solve(row, m)
+    slopes = _solve(within_factors(m, [None]).get(None), m)
     return Fit(
         m, cells, slopes, row["first"][m.category], _level_of(row["first"], m, slopes, "train_"),
         _spreads(row, m, "train_"), _spreads(row, m, "test_"), row["train_n"], row["test_n"],
@@ -306,10 +381,11 @@ def cross_validate(m: Moments) -> DataFrame:
         *(f"coalesce(own.`{c}`, 0) AS `{c}`" for c in m.sums),
         *(f"`all_{c}` - coalesce(own.`{c}`, 0) AS `rest_{c}`" for c in m.sums),
     )
-    rest = cells.filter("rest_n > 0").groupBy("fold").agg(*_within(m, "rest_"), _first_category(m, "rest_"))
+    rest = cells.filter("rest_n > 0").groupBy("fold").agg(_first_category(m, "rest_"))
+    factors = within_factors(m, folds)
     lines = []
     for row in rest.collect():
-        slopes = _solve(row, m)
+        slopes = _solve(factors.get(row["fold"]), m)
         lines.append((row["fold"], *(slopes[v] for v in m.features), _level_of(row["first"], m, slopes, "rest_")))
     names = [f"k_{v}" for v in m.features]
     line = spark.createDataFrame(lines, f"fold INT, {', '.join(f'{k} DOUBLE' for k in names)}, base DOUBLE")

@@ -168,7 +168,7 @@ refitted AS (
   FROM split LEFT JOIN dummies USING (floor_plan), slopes, train_scale, test_scale WHERE is_test)"""
 
 
-def _histogram(source: str, value: str) -> str:
+def _binned(source: str, value: str) -> str:
     return f"""
 v AS (SELECT {value}::DOUBLE AS x FROM {source} WHERE {value} IS NOT NULL),
 s AS (SELECT count(*) AS n, min(x) AS lo, max(x) AS hi, quantile_cont(x, 0.25) AS q1, quantile_cont(x, 0.75) AS q3 FROM v),
@@ -176,13 +176,25 @@ w AS (SELECT *, least(2 * (q3 - q1) * n ** (-1.0::DOUBLE / 3), (hi - lo) / (log2
 b AS (SELECT *, ceil((hi - lo) / width)::BIGINT AS bins, (hi - lo) / ceil((hi - lo) / width) AS step FROM w),
 g AS (SELECT x, lo, step, bins, least(floor((x - lo) / step)::BIGINT, bins - 1) AS i FROM v, b),
 c AS (SELECT CASE WHEN x < lo + i * step THEN i - 1 WHEN x >= lo + (i + 1) * step AND i < bins - 1 THEN i + 1 ELSE i END AS bin,
-  count(*) AS count FROM g GROUP BY 1),
+  count(*) AS count FROM g GROUP BY 1)"""
+
+
+def _histogram(source: str, value: str) -> str:
+    return f"""{_binned(source, value)},
 r AS (SELECT unnest(range(bins)) AS bin, lo, step, n FROM b)
 SELECT bin, round(lo + bin * step, 4) AS bin_low, round(lo + (bin + 1) * step, 4) AS bin_high,
   coalesce(count, 0) AS count, round(coalesce(count, 0) / (n * step), 12) AS density
 FROM r LEFT JOIN c USING (bin)"""
 
 
+def _histogram_runs(source: str, value: str) -> str:
+    return f"""{_binned(source, value)},
+k AS (SELECT bin, count, lead(bin) OVER (ORDER BY bin) AS next FROM c),
+r AS (SELECT bin, 1 AS bins, count FROM k UNION ALL SELECT bin + 1, next - bin - 1, 0 FROM k WHERE next > bin + 1)
+SELECT bin, r.bins, round(lo + bin * step, 4) AS bin_low, round(lo + (bin + r.bins) * step, 4) AS bin_high,
+  count, round(count / (n * step), 12) AS density FROM r, b"""
+
+
 def _curve(source: str, value: str, cut: int) -> str:
     return f"""
 v AS (SELECT {value}::DOUBLE AS x FROM {source} WHERE {value} IS NOT NULL),
@@ -354,6 +366,7 @@ FROM standard GROUP BY 1""",
     "pearson_age_rent": _pearson("building_age"),
     "pearson_distance_rent": _pearson("distance_to_nearest_station"),
     "rent_histogram": f"WITH {CLEAN}, {_histogram('clean', 'rent')}",
+    "rate_histogram_runs": f"WITH {CLEAN}, rates AS (SELECT rent * rent / area AS rate FROM clean), {_histogram_runs('rates', 'rate')}",
     "rent_kde": f"WITH {CLEAN}, {_curve('clean', 'rent', 3)}",
     **{name: _box_summary(group) for name, group in BOXES.items()},
     **{name.replace("box", "box_outliers"): _box_outliers(group) for name, group in BOXES.items()},

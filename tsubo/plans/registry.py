@@ -206,7 +206,7 @@ def describe_numeric(spark: SparkSession, folder: str) -> DataFrame:
 @query
 def describe_numeric_by_ranks(spark: SparkSession, folder: str) -> DataFrame:
     """The same with every group held too large for the in-memory quantiles."""
-    return _rounded(profile.describe_numeric(prepared.clean(spark, folder), rows_in_memory=0), **SUMMARY_DIGITS)
+    return _rounded(profile.describe_numeric(prepared.clean(spark, folder), most_values=1000), **SUMMARY_DIGITS)
 
 
 @query
@@ -259,6 +259,13 @@ def rent_histogram(spark: SparkSession, folder: str) -> DataFrame:
     return _rounded(distribution.histogram(prepared.clean(spark, folder), "rent"), **HISTOGRAM_DIGITS)
 
 
+@query
+def rate_histogram_runs(spark: SparkSession, folder: str) -> DataFrame:
+    """A skewed value: far bins are empty, and each run of them is one row."""
+    rows = prepared.clean(spark, folder).select((F.col("rent") * F.col("rent") / F.col("area")).alias("rate"))
+    return _rounded(distribution.histogram_runs(rows, "rate"), **HISTOGRAM_DIGITS)
+
+
 @query
 def rent_kde(spark: SparkSession, folder: str) -> DataFrame:
     return _rounded(distribution.density_curve(prepared.clean(spark, folder), "rent"), **CURVE_DIGITS)
@@ -296,7 +303,7 @@ for _name, _group in BOXES.items():
 def box_by_station_ranked(spark: SparkSession, folder: str) -> DataFrame:
     """The station box plot with the large-group quantiles and the sliced join."""
     rows = prepared.clean(spark, folder)
-    return distribution.box_summary(rows, "nearest_station", "rent", broadcast_bytes=0, rows_in_memory=0, buckets=64)
+    return distribution.box_summary(rows, "nearest_station", "rent", broadcast_bytes=0, most_values=500)
 
 
 @query
