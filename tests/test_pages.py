@@ -125,3 +125,34 @@ def test_unmatched_end_tags_change_nothing_and_cost_linear_time():
     taken(2000)
     # 16 times the size: a quadratic scan would take 256 times as long
     assert taken(32000) < 80 * max(taken(2000), 0.005)
+
+
+def test_tokens_of_broken_pages_equal_one_plain_expression():
+    """Reading step by step finds what trying the whole expression at every place finds."""
+    import random
+    import re
+
+    from tsubo.functions.page_text import Tokens
+
+    tag = r"""<(?:(/)?([a-zA-Z][^\s/>]*+)((?:[^>"']++|"[^"]*+"|'[^']*+')*+)>|!--.*?(?:-->|\Z)|[!?/][^>]*+>)"""
+    plain = re.compile(tag, re.S)
+    rng = random.Random(7)
+    parts = ["<", "<", "a", "</", ">", "'", '"', " x=", "!", "--", "-->", "<!--", "<b", "?", "/", " "]
+    for _ in range(20_000):
+        html = "".join(rng.choice(parts) for _ in range(rng.randrange(1, 30)))
+        assert list(Tokens(html).read(0)) == [(m.start(), m.end(), *m.groups()) for m in plain.finditer(html)], html
+
+
+@pytest.mark.parametrize("unit", ["<a x='", "<a x=\"'", "<a ", "<!", "<a '<b \"", "</a x=\"", "<a'\"'", "</", "<script></script><a '", "<a b='<c\" "])
+def test_broken_tags_cost_linear_time(unit):
+    import time
+
+    from tsubo.functions import page_text
+
+    def taken(n):
+        began = time.process_time()
+        page_text.read_page(unit * n + "'")
+        return time.process_time() - began
+
+    taken(1000)
+    assert taken(32000) < 80 * max(taken(2000), 0.005)

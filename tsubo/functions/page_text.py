@@ -31,11 +31,15 @@ NO_TAGS_INSIDE = {
     "style": re.compile(r"</style(?=[\s/>])", re.I),
 }
 
-# A tag with its quoted attribute values, a comment, or a declaration.  The
-# possessive quantifiers keep a broken tag from being tried in many ways.
+# A tag with its quoted attribute values, a comment, a declaration, or a broken
+# beginning of one.  The possessive quantifiers keep a broken tag from being
+# tried in many ways.
 TOKEN = re.compile(
-    r"""<(?:(/)?([a-zA-Z][^\s/>]*+)((?:[^>"']++|"[^"]*+"|'[^']*+')*+)>|!--.*?(?:-->|\Z)|[!?/][^>]*+>)""", re.S
+    r"""<(?:(/)?([a-zA-Z][^\s/>]*+)((?:[^>"']++|"[^"]*+"|'[^']*+')*+)>|!--.*?(?:-->|\Z)|[!?/][^>]*+>|([a-zA-Z!?/]))""", re.S
 )
+OPENING = re.compile(r"<(/)?[a-zA-Z]")
+NAME_END = re.compile(r"[\s/>]")
+SPECIAL = re.compile(r"""[>"']""")
 ATTRIBUTE = re.compile(r"""([^\s"'>/=]+)(?:\s*=\s*("[^"]*"|'[^']*'|[^\s"'>]+))?""")
 
 
@@ -76,6 +80,85 @@ class Page:
         self.pieces: list[str] = []
 
 
+class Tokens:
+    """The tokens of a page, in turn.
+
+    The expression reads well-formed pages.  After the first broken tag, ends of
+    tags are sought step by step, and every quote from which no end was found is
+    remembered: no later tag follows it again, so a page costs its length
+    whatever is left open in it.
+    """
+
+    def __init__(self, html: str) -> None:
+        self.html = html
+        self.broken = False
+        self.dead: set[int] = set()  # quotes after which the tag never ends
+        self.missing: dict[str, int] = {}  # from here on the text does not occur
+        self.ahead: dict[re.Pattern, tuple[int, int]] = {}  # what is next from the first place on, at the second
+
+    def find(self, text: str, at: int) -> int:
+        if at >= self.missing.get(text, len(self.html) + 1):
+            return -1
+        found = self.html.find(text, at)
+        if found < 0:
+            self.missing[text] = at
+        return found
+
+    def next(self, what: re.Pattern, at: int) -> int:
+        """The next place of ``what`` from ``at`` on, or the end of the page; asked for ascending places."""
+        since, place = self.ahead.get(what, (0, -1))
+        if not since <= at <= place:
+            found = what.search(self.html, at)
+            place = found.start() if found else len(self.html)
+            self.ahead[what] = (at, place)
+        return place
+
+    def end_of_tag(self, at: int) -> int:
+        """Place of the ``>`` that ends a tag, outside quotes; -1 if there is none."""
+        passed, spot = [], self.next(SPECIAL, at)
+        while 0 <= spot < len(self.html) and spot not in self.dead:
+            if self.html[spot] == ">":
+                return spot
+            passed.append(spot)
+            close = self.find(self.html[spot], spot + 1)
+            # not remembered as the next one: the following tag begins before it
+            later = SPECIAL.search(self.html, close + 1) if close >= 0 else None
+            spot = later.start() if later else -1
+        self.dead.update(passed)
+        return -1
+
+    def read(self, at: int) -> Iterator[tuple[int, int, str | None, str | None, str | None]]:
+        """Start, end, slash, tag and attributes of each token from ``at`` on; no tag for comments and declarations."""
+        if not self.broken:
+            for token in TOKEN.finditer(self.html, at):
+                if token[4]:
+                    self.broken, at = True, token.start()
+                    break
+                yield token.start(), token.end(), token[1], token[2], token[3]
+        if self.broken:
+            yield from self._read_broken(at)
+
+    def _read_broken(self, at: int) -> Iterator[tuple[int, int, str | None, str | None, str | None]]:
+        html = self.html
+        while (start := html.find("<", at)) >= 0:
+            at = start + 1
+            opening = OPENING.match(html, start)
+            named = self.next(NAME_END, opening.end()) if opening else 0
+            end = self.end_of_tag(named) if opening else -1
+            if end >= 0:
+                at = end + 1
+                yield start, at, opening[1], html[opening.end() - 1 : named], html[named:end]
+                continue
+            if html.startswith("!--", at):
+                close = self.find("-->", at + 3)
+                end = len(html) if close < 0 else close + 3
+            elif html.startswith(("!", "?", "/"), at):
+                end = self.find(">", at + 1) + 1
+            if end > 0:
+                at = end
+                yield start, end, None, None, None
+
+
 def read_page(html: str | None) -> Element:
     html = html or ""
     page = Page()
@@ -85,16 +168,15 @@ def read_page(html: str | None) -> Element:
     count = Counter()  # open elements by tag: a scan starts only where it can end
     silent = 0  # open elements whose text is not page text
     at = 0
+    tokens = Tokens(html)
     more = True
     while more:
         more = False
-        for token in TOKEN.finditer(html, at):
-            start = token.start()
+        for start, end, ending, tag, raw in tokens.read(at):
             if start > at and not silent:
                 piece = html[at:start]
                 pieces.append(unescape(piece) if "&" in piece else piece)
-            at = token.end()
-            ending, tag, raw = token.groups()
+            at = end
             if tag is None:
                 continue
             tag = tag.lower()
