@@ -3,22 +3,25 @@
 Documents with equal shingle sets are one class.  Classes with equal size and
 equal prefix (the first tokens in one global order, so many that similar sets
 must share one) are one group.  Tokens are joined on groups; group pairs that
-pass the size filter and share enough prefix tokens are expanded to members and verified.
+pass the size filter and share an early token are expanded to members and verified.
 
 The order puts tokens of common buckets last, by a fixed-size frequency sketch;
 any order gives the same result, this one keeps passages that very many
 documents share out of the prefixes.
 
 Only components are asked for, so links inside a component need not be listed.
-Round one verifies each group against the neighbour below in size order that
-shares most tokens, then bridges between the components so found.
-Round two joins tokens again, but only groups that are not yet in one
-component.  A group of m near copies thus costs some m pairs, and no link
-between different components is left out.
+First, in rounds, every token names a leader among its holders of about one size,
+and one group of each other component that holds the token is verified against it:
+as many pairs as there are holders, not their square.  Then tokens are
+joined on each other, but only for groups that are still in different components,
+and only where the token comes so early in both prefixes that it can be the first
+shared one.  A group of m near copies thus costs some m pairs, and no link between
+different components is left out.
 """
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 
 import numpy as np
@@ -28,7 +31,7 @@ from pyspark.sql import functions as F
 
 from tsubo.llm.byte_hash import buffers
 from tsubo.llm.components import components
-from tsubo.llm.shingles import batches, binary, bounded_batches, row_sets, shingle_hashes, slices
+from tsubo.llm.shingles import binary, bounded_batches, row_sets, slices
 from tsubo.operators.lookup import attach
 from tsubo.sources.staging import discard, stage
 
@@ -39,23 +42,48 @@ SKETCH = 1 << 22
 # A token that this many groups hold in their prefix is moved to the end of the order.
 OFTEN = 12
 REORDERINGS = 3
-# Rounds that join neighbouring components before all pairs between components are looked at.
-MERGES = 3
+# Rounds in which parts meet the leaders of their tokens, before all pairs between components are looked at.
+ROUNDS = 2
 
 
-def _common_buckets(docs: DataFrame, width: int) -> np.ndarray:
-    """Per bucket of token hashes, the logarithm of its count where that stands out, else 0."""
+def _token_sets(docs: DataFrame, width: int) -> DataFrame:
+    """``doc_id, k, n, d1, d2, tokens`` per row of ``doc_id, text, k``: set size, set digest and the set itself.  Texts are hashed here only."""
+
+    def work(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in slices(parts):
+            n, d1, d2, sets = [], [], [], []
+            for tokens in row_sets(batch, "text", width):
+                n.append(len(tokens))
+                d1.append(int(tokens.sum().view(np.int64)) if len(tokens) else 0)
+                d2.append(int(np.bitwise_xor.reduce(tokens * np.uint64(0x9E3779B97F4A7C15)).view(np.int64)) if len(tokens) else 0)
+                sets.append(tokens.tobytes())
+            yield pa.RecordBatch.from_arrays(
+                [batch.column("doc_id"), batch.column("k"), pa.array(n, pa.int64()), pa.array(d1, pa.int64()), pa.array(d2, pa.int64()), binary(sets)],
+                ["doc_id", "k", "n", "d1", "d2", "tokens"],
+            )
+
+    made = docs.mapInArrow(work, f"doc_id {docs.schema['doc_id'].dataType.simpleString()}, k BIGINT, n BIGINT, d1 BIGINT, d2 BIGINT, tokens BINARY")
+    return made.withColumn("c", F.xxhash64("n", "d1", "d2")).drop("d1", "d2")
+
+
+def _opened(batch: pa.RecordBatch, column: str) -> tuple[np.ndarray, np.ndarray]:
+    """The tokens of all rows of a batch, and where each row's begin (rows + 1 numbers)."""
+    data, offsets = buffers(batch.column(column))
+    return data.view(np.uint64), offsets // 8
+
+
+def _common_buckets(sets: DataFrame) -> np.ndarray:
+    """Per bucket of tokens, the logarithm of its count where that stands out, else 0."""
 
     def count(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        counts = np.zeros(SKETCH, np.int64)
+        counts = np.zeros(SKETCH, np.uint32)
         for batch in parts:
-            for _, data, offsets in batches(batch, "text"):
-                hashes, _ = shingle_hashes(data, offsets, width)
-                np.add.at(counts, (hashes & np.uint64(SKETCH - 1)).astype(np.int64), 1)
-        found = np.flatnonzero(counts >= counts.mean() + 3 * np.sqrt(counts.mean()) + 4)
-        yield pa.RecordBatch.from_arrays([pa.array(found, pa.int64()), pa.array(counts[found], pa.int64())], ["bucket", "n"])
+            np.add.at(counts, (_opened(batch, "tokens")[0] & np.uint64(SKETCH - 1)).astype(np.int32), 1)
+        mean = float(counts.mean())
+        found = np.flatnonzero(counts >= mean + 3 * np.sqrt(mean) + 4)
+        yield pa.RecordBatch.from_arrays([pa.array(found, pa.int64()), pa.array(counts[found].astype(np.int64))], ["bucket", "n"])
 
-    sums = docs.mapInArrow(count, "bucket BIGINT, n BIGINT").groupBy("bucket").agg(F.sum("n").alias("n"))
+    sums = sets.select("tokens").mapInArrow(count, "bucket BIGINT, n BIGINT").groupBy("bucket").agg(F.sum("n").alias("n"))
     # written, so that every task sees the same order; at most SKETCH rows
     rows = stage(sums.select("bucket", F.ceil(F.log2("n")).cast("int").alias("rank")), "common").toArrow()
     ranks = np.zeros(SKETCH, np.uint8)
@@ -63,82 +91,71 @@ def _common_buckets(docs: DataFrame, width: int) -> np.ndarray:
     return ranks
 
 
-def _required(n: Column, percent: int) -> Column:
-    return F.ceil(n * percent / F.lit(100)).cast("bigint")
-
-
-def _sets(docs: DataFrame, ranks, width: int, percent: int) -> DataFrame:
-    """``doc_id, k, n, d1, d2, g, prefix`` per row: set size, set digest, group key and prefix tokens."""
+def _prefixes(sets: DataFrame, ranks: np.ndarray, percent: int) -> DataFrame:
+    """``c, n, g, prefix``, written, of ``c, n, tokens`` with n > 0: the first tokens in the order of ``ranks``, and the group key."""
+    shared = sets.sparkSession.sparkContext.broadcast(ranks)
 
     def work(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        order = ranks.value
+        order = shared.value
         for batch in slices(parts):
-            n, d1, d2, prefixes = [], [], [], []
-            for tokens in row_sets(batch, "text", width):
-                size = len(tokens)
-                n.append(size)
-                d1.append(int(tokens.sum().view(np.int64)) if size else 0)
-                d2.append(int(np.bitwise_xor.reduce(tokens * np.uint64(0x9E3779B97F4A7C15)).view(np.int64)) if size else 0)
-                length = size - -(-percent * size // 100) + 1 if size else 0
-                late = order[(tokens & np.uint64(SKETCH - 1)).astype(np.int64)]
-                prefixes.append(tokens[np.argsort(late, kind="stable")[:length]].tobytes())
-            yield pa.RecordBatch.from_arrays(
-                [batch.column("doc_id"), batch.column("k"), pa.array(n, pa.int64()), pa.array(d1, pa.int64()), pa.array(d2, pa.int64()), binary(prefixes)],
-                ["doc_id", "k", "n", "d1", "d2", "prefix"],
-            )
+            every, begin = _opened(batch, "tokens")
+            found = []
+            for a, b in zip(begin[:-1], begin[1:]):
+                tokens = every[a:b]
+                late = order[(tokens & np.uint64(SKETCH - 1)).astype(np.int32)]
+                length = len(tokens) - -(-percent * len(tokens) // 100) + 1
+                found.append(tokens[np.argsort(late, kind="stable")[:length]].tobytes())
+            yield pa.RecordBatch.from_arrays([batch.column("c"), batch.column("n"), binary(found)], ["c", "n", "prefix"])
 
-    made = docs.mapInArrow(work, f"doc_id {docs.schema['doc_id'].dataType.simpleString()}, k BIGINT, n BIGINT, d1 BIGINT, d2 BIGINT, prefix BINARY")
-    return made.withColumn("c", F.xxhash64("n", "d1", "d2")).withColumn("g", F.xxhash64("n", "prefix"))
+    made = sets.select("c", "n", "tokens").mapInArrow(work, "c BIGINT, n BIGINT, prefix BINARY").withColumn("g", F.xxhash64("n", "prefix"))
+    written = stage(made, "prefixes")
+    shared.destroy()
+    return written
 
 
 def _open_prefixes(rows: DataFrame) -> DataFrame:
-    """``token, g, n``: one row per prefix token of ``rows`` (``g, n, prefix``)."""
+    """``token, g, n, place``: one row per prefix token of ``rows`` (``g, n, prefix``), its place counted from 1."""
 
     def work(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in parts:
-            prefixes = [np.frombuffer(p, np.int64) for p in batch.column("prefix").to_pylist()]
-            if not prefixes:
-                continue
-            lengths = np.array([len(p) for p in prefixes])
+            tokens, begin = _opened(batch, "prefix")
+            lengths = np.diff(begin)
             g, n = (np.repeat(batch.column(c).to_numpy(), lengths) for c in ("g", "n"))
-            yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(prefixes), pa.int64()), pa.array(g), pa.array(n)], ["token", "g", "n"])
+            place = np.arange(len(tokens)) - np.repeat(begin[:-1], lengths) + 1
+            yield pa.RecordBatch.from_arrays([pa.array(tokens.view(np.int64)), pa.array(g), pa.array(n), pa.array(place, pa.int64())], ["token", "g", "n", "place"])
 
-    return rows.mapInArrow(work, "token BIGINT, g BIGINT, n BIGINT")
+    return rows.select("g", "n", "prefix").mapInArrow(work, "token BIGINT, g BIGINT, n BIGINT, place BIGINT")
 
 
-def _may_link(n1: Column, n2: Column, common: Column, percent: int) -> Column:
-    """Size filter, and the tokens that two prefixes must share.
+def _may_link(percent: int) -> Column:
+    """Of two rows (n1, place1 and n2, place2) that hold one token: sizes are near enough, and the token comes early enough.
 
-    All shared tokens up to the end of the prefix that ends first lie in both
-    prefixes; beyond that end its set has only ceil(n * percent / 100) - 1 tokens.
+    Sets that link share at least ``overlap`` tokens, so the first of them lies within the first n - overlap + 1 of each.
     """
-    sizes = 100 * F.least(n1, n2) >= percent * F.greatest(n1, n2)
-    overlap = F.ceil(percent * (n1 + n2) / F.lit(100 + percent))
-    return sizes & (common >= overlap - _required(F.greatest(n1, n2), percent) + 1)
+    overlap = F.ceil(percent * (F.col("n1") + F.col("n2")) / F.lit(100 + percent))
+    sizes = 100 * F.least("n1", "n2") >= percent * F.greatest("n1", "n2")
+    return sizes & (F.col("place1") <= F.col("n1") - overlap + 1) & (F.col("place2") <= F.col("n2") - overlap + 1)
 
 
-def _verify(pairs: DataFrame, docs: DataFrame, classes: DataFrame, width: int, percent: int) -> DataFrame:
+def _verify(pairs: DataFrame, sets: DataFrame, classes: DataFrame, percent: int) -> DataFrame:
     """The pairs of classes (``a, b``) whose sets are similar enough."""
     pairs = stage(pairs.filter(F.col("a") != F.col("b")).select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct(), "pairs")
     needed = pairs.select(F.col("a").alias("c")).unionByName(pairs.select(F.col("b").alias("c"))).distinct()
     where = stage(classes.join(needed, "c").select("c", "doc_id", "k"), "needed")
 
-    def sets(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in slices(parts):
-            yield pa.RecordBatch.from_arrays([batch.column("c"), binary([s.tobytes() for s in row_sets(batch, "text", width)])], ["c", "tokens"])
-
     def similar(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in parts:
+            (left, lo), (right, ro) = _opened(batch, "x"), _opened(batch, "y")
             keep = []
-            (left, lo), (right, ro) = buffers(batch.column("x")), buffers(batch.column("y"))
             for row in range(batch.num_rows):
-                x, y = left[lo[row] : lo[row + 1]].view(np.uint64), right[ro[row] : ro[row + 1]].view(np.uint64)
+                x, y = left[lo[row] : lo[row + 1]], right[ro[row] : ro[row + 1]]
                 shared = len(np.intersect1d(x, y, assume_unique=True))
                 keep.append(100 * shared >= percent * (len(x) + len(y) - shared))
-            yield pa.RecordBatch.from_arrays([batch.column("a").filter(pa.array(keep, pa.bool_())), batch.column("b").filter(pa.array(keep, pa.bool_()))], ["a", "b"])
+            chosen = pa.array(keep, pa.bool_())
+            yield pa.RecordBatch.from_arrays([batch.column("a").filter(chosen), batch.column("b").filter(chosen)], ["a", "b"])
 
-    found = attach(docs, where, ["doc_id", "k"], "inner").mapInArrow(sets, "c BIGINT, tokens BINARY")
-    opened = stage(found.dropDuplicates(["c"]), "sets")
+    found = attach(sets.select("doc_id", "k", "c", "tokens"), where.drop("c"), ["doc_id", "k"], "left_semi")
+    opened = stage(found.select("c", "tokens").dropDuplicates(["c"]), "sets")
     both = pairs.join(opened.select(F.col("c").alias("a"), F.col("tokens").alias("x")), "a").join(opened.select(F.col("c").alias("b"), F.col("tokens").alias("y")), "b")
     links = stage(both.select("a", "b", "x", "y").mapInArrow(similar, "a BIGINT, b BIGINT"), "links")
     discard(pairs, where, opened)
@@ -168,76 +185,82 @@ def _classes(docs: DataFrame, percent: int, width: int) -> tuple[DataFrame, Data
 
     ``root`` names the component, ``doc_id`` is the smallest of the class.  Both are written on return.
     """
-    ranks = _common_buckets(docs.select("text"), width)
-    context = docs.sparkSession.sparkContext
-    rows = stage(_sets(docs, context.broadcast(ranks), width, percent), "shingle_sets")
+    sets = stage(_token_sets(docs, width), "shingle_sets")
+    some = sets.filter("n > 0")
+    ranks = _common_buckets(some)
+    prefixes = _prefixes(some, ranks, percent)
     for _ in range(REORDERINGS):
         # tokens that many prefixes still hold go to the end as well
-        often = _open_prefixes(rows.groupBy("g", "n").agg(F.first("prefix").alias("prefix"))).groupBy("token").agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") >= OFTEN)
+        often = _open_prefixes(prefixes.groupBy("g", "n").agg(F.first("prefix").alias("prefix"))).groupBy("token").agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") >= OFTEN)
         often = often.groupBy(F.col("token").bitwiseAND(F.lit(SKETCH - 1).cast("bigint")).alias("bucket")).agg(F.ceil(F.log2(F.max("n"))).cast("int").alias("rank"))
         late = stage(often, "often")
         found = late.toArrow()
         at = found["bucket"].to_numpy()
         ranks = ranks.copy()
         ranks[at] = np.maximum(ranks[at], found["rank"].to_numpy())
-        discard(rows, late)
-        rows = stage(_sets(docs, context.broadcast(ranks), width, percent), "shingle_sets")
-    classes = rows.filter("n > 0").groupBy("c", "g", "n").agg(F.min(F.struct(F.col("doc_id").isNull().alias("no"), "doc_id", "k")).alias("one"))
-    classes = stage(classes.select("c", "g", "n", "one.doc_id", "one.k"), "classes")
-    groups = stage(classes.groupBy("g").agg(F.min("c").alias("head"), F.count(F.lit(1)).alias("members")), "groups")
-
-    heads = groups.join(classes.select("c", "doc_id", "k"), F.col("head") == F.col("c")).select("g", "doc_id", "k")
-    postings = _open_prefixes(attach(rows.select("g", "n", "doc_id", "k", "prefix"), stage(heads, "heads"), ["g", "doc_id", "k"], "inner").select("g", "n", "prefix"))
+        discard(prefixes, late)
+        prefixes = _prefixes(some, ranks, percent)
+    named = some.groupBy("c").agg(F.min(F.struct(F.col("doc_id").isNull().alias("no"), "doc_id", "k")).alias("one"))
+    of_class = prefixes.groupBy("c").agg(F.first("g").alias("g"), F.first("n").alias("n"), F.first("prefix").alias("prefix"))
+    classes = stage(of_class.join(named, "c").select("c", "g", "n", "prefix", "one.doc_id", "one.k"), "classes")
+    groups = stage(classes.groupBy("g", "n").agg(F.min("c").alias("head"), F.count(F.lit(1)).alias("members"), F.first("prefix").alias("prefix")), "groups")
+    discard(prefixes)
+    classes = classes.drop("prefix")
+
+    # tokens of which the holder next in size may link, in size bands: within one, any two sizes are near enough
     by_size = Window.partitionBy("token").orderBy("n", "g")
-    near = postings.withColumns({"before": F.lag(F.struct("g", "n")).over(by_size), "after": F.lead("g").over(by_size)})
-    near = stage(near.filter("before IS NOT NULL OR after IS NOT NULL").drop("after"), "shared_tokens")
-
-    step = near.filter("before IS NOT NULL AND before.g != g").groupBy(F.col("before.g").alias("g1"), F.col("g").alias("g2"), F.col("before.n").alias("n1"), F.col("n").alias("n2"))
-    step = step.agg(F.count(F.lit(1)).alias("common"))
-    step = stage(step.filter(_may_link(F.col("n1"), F.col("n2"), F.col("common"), percent)), "neighbours")
-    # the nearest of the neighbours below: one pair for each group at most
-    best = step.groupBy("g2").agg(F.max(F.struct("common", "g1")).alias("best")).select(F.col("best.g1").alias("g1"), "g2")
+    postings = _open_prefixes(groups).withColumns({"_before": F.lag("n").over(by_size), "_after": F.lead("n").over(by_size)})
+    near = (100 * F.col("_before") >= percent * F.col("n")) | (100 * F.col("n") >= percent * F.col("_after"))
+    band = F.floor(F.log(F.col("n")) / F.lit(math.log(100 / percent))) if percent < 100 else F.col("n")
+    postings = stage(postings.filter(near).select("token", "g", "n", "place", band.alias("band")), "shared_tokens")
     one, two = groups.select(F.col("g").alias("g1"), F.col("head").alias("a")), groups.select(F.col("g").alias("g2"), F.col("head").alias("b"))
-    across = best.join(one, "g1").join(two, "g2").select("a", "b")
-    crowded = classes.join(groups.filter("members > 1").select("g"), "g")
-    within = crowded.select(F.lag("c").over(Window.partitionBy("g").orderBy("c")).alias("a"), F.col("c").alias("b")).filter("a IS NOT NULL")
-    links = _verify(across.unionByName(within), docs, classes, width, percent)
+    crowded = stage(classes.join(groups.filter("members > 1").select("g"), "g").select("g", "c"), "crowded")
 
     def labelled(links: DataFrame) -> tuple[DataFrame, DataFrame]:
         """Root of each class, and of each group whose classes have one root."""
         labels = stage(classes.join(components(links).withColumnRenamed("node", "c"), "c", "left").select("c", "g", F.coalesce("root", "c").alias("root")), "labels")
         state = labels.groupBy("g").agg(F.min("root").alias("low"), F.max("root").alias("high"))
-        return labels, state.select("g", F.when(F.col("low") == F.col("high"), F.col("low")).alias("root"))
-
-    labels, state = labelled(links)
-    for _ in range(MERGES):
-        # of all neighbours in two components, the pair that shares most tokens
-        roots = [state.select(F.col("g").alias(f"g{i}"), F.col("root").alias(f"r{i}")) for i in (1, 2)]
-        bridge = step.join(roots[0], "g1").join(roots[1], "g2").filter("r1 != r2").groupBy(F.least("r1", "r2").alias("r1"), F.greatest("r1", "r2").alias("r2"))
-        bridge = bridge.agg(F.max(F.struct("common", "g1", "g2")).alias("best")).select("best.g1", "best.g2")
-        more = _verify(bridge.join(one, "g1").join(two, "g2").select("a", "b"), docs, classes, width, percent)
-        if more.isEmpty():
+        return labels, stage(state.select("g", F.when(F.col("low") == F.col("high"), F.col("low")).alias("root")), "states")
+
+    def to_leaders(rows: DataFrame, key: list[str], member: str, first: Column) -> DataFrame:
+        """Of ``rows`` (key, member, part): one member of each part of a key beside the key's leader, which comes first; parts differ."""
+        chosen = rows.groupBy(*key, "part").agg(F.min(F.struct(first.alias("first"), F.col(member).alias("member"), "part")).alias("one"))
+        leader = chosen.groupBy(*key).agg(F.min("one").alias("leader"), F.count(F.lit(1)).alias("parts")).filter("parts > 1")
+        return chosen.join(leader, key).filter("one.part != leader.part").select(F.col("leader.member").alias("m1"), F.col("one.member").alias("m2")).distinct()
+
+    links, labels, state = None, None, None
+    for number in range(ROUNDS):
+        if labels is None:
+            holders, members = postings.withColumn("part", F.col("g")), crowded.withColumn("part", F.col("c"))
+        else:
+            holders = postings.join(state, "g").withColumn("part", F.coalesce("root", "g"))
+            members = crowded.join(labels.select("c", F.col("root").alias("part")), "c")
+        # the first leader is the holder with fewest rarer tokens, that is, nearest to what the others are copies of; later ones change
+        across = to_leaders(holders, ["token", "band"], "g", F.col("place") if labels is None else F.xxhash64("g", F.lit(number)))
+        across = across.toDF("g1", "g2").join(one, "g1").join(two, "g2").select("a", "b")
+        within = to_leaders(members, ["g"], "c", F.xxhash64("c", F.lit(number))).toDF("a", "b")
+        more = _verify(across.unionByName(within), sets, classes, percent)
+        if labels is not None and more.isEmpty():
             break
-        links = stage(links.unionByName(more), "links")
+        links = more if links is None else stage(links.unionByName(more), "links")
         labels, state = labelled(links)
 
-    # all that share enough tokens and are still apart
-    tokens = near.drop("before").join(state, "g")
+    # all that share an early token and are still apart
+    tokens = postings.drop("band").join(state, "g")
     open_tokens = tokens.groupBy("token").agg(F.min("root").alias("low"), F.max("root").alias("high"), F.max(F.col("root").isNull()).alias("mixed"))
     open_tokens = open_tokens.filter("mixed OR low != high").select("token")
     open_rows = stage(tokens.join(open_tokens, "token"), "open_tokens")
-    x, y = (open_rows.select("token", *(F.col(c).alias(f"{c}{i}") for c in ("g", "n", "root"))) for i in (1, 2))
-    apart = x.join(y, "token").filter(f"(n1 < n2 OR (n1 = n2 AND g1 < g2)) AND 100 * n1 >= {percent} * n2").filter("root1 IS NULL OR root2 IS NULL OR root1 != root2")
-    apart = apart.groupBy("g1", "g2", "n1", "n2").agg(F.count(F.lit(1)).alias("common"))
-    apart = apart.filter(_may_link(F.col("n1"), F.col("n2"), F.col("common"), percent)).select("g1", "g2")
+    x, y = (open_rows.select("token", *(F.col(c).alias(f"{c}{i}") for c in ("g", "n", "place", "root"))) for i in (1, 2))
+    apart = (F.col("root1").isNull() | F.col("root2").isNull() | (F.col("root1") != F.col("root2"))) & ((F.col("n1") < F.col("n2")) | ((F.col("n1") == F.col("n2")) & (F.col("g1") < F.col("g2"))))
+    left = x.join(y, "token").filter(apart & _may_link(percent)).select("g1", "g2").distinct()
     mixed = state.filter("root IS NULL").select(F.col("g").alias("g1"), F.col("g").alias("g2"))
     member = [labels.select(F.col("g").alias(f"g{i}"), F.col("c").alias(name), F.col("root").alias(f"r{i}")) for i, name in ((1, "a"), (2, "b"))]
-    expanded = apart.unionByName(mixed).join(member[0], "g1").join(member[1], "g2").filter("r1 != r2").select("a", "b")
-    more = _verify(expanded, docs, classes, width, percent)
-    discard(near, step, open_rows)
+    expanded = left.unionByName(mixed).join(member[0], "g1").join(member[1], "g2").filter("r1 != r2").select("a", "b")
+    more = _verify(expanded, sets, classes, percent)
+    discard(postings, open_rows)
 
     roots = components(links.unionByName(more)).withColumnRenamed("node", "c")
-    return rows, stage(classes.select("c", "doc_id").join(roots, "c", "left").select("c", "doc_id", F.coalesce("root", "c").alias("root")), "placed")
+    return sets.drop("tokens"), stage(classes.select("c", "doc_id").join(roots, "c", "left").select("c", "doc_id", F.coalesce("root", "c").alias("root")), "placed")
 
 
 def one_per_class(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", percent: int = SIMILAR_PERCENT, width: int = SHINGLE_WORDS) -> DataFrame:
