@@ -39,6 +39,8 @@ SHINGLE_WORDS = 4
 SIMILAR_PERCENT = 85
 # Buckets of the frequency sketch: one byte each reaches every task, whatever the input.
 SKETCH = 1 << 22
+# Parts of a set's count sketch, one byte each: no two sets share more tokens than the sum of the lesser counts.
+PARTS = 256
 # A token that this many groups hold in their prefix is moved to the end of the order.
 OFTEN = 12
 REORDERINGS = 3
@@ -92,22 +94,24 @@ def _common_buckets(sets: DataFrame) -> np.ndarray:
 
 
 def _prefixes(sets: DataFrame, ranks: np.ndarray, percent: int) -> DataFrame:
-    """``c, n, g, prefix``, written, of ``c, n, tokens`` with n > 0: the first tokens in the order of ``ranks``, and the group key."""
+    """``c, n, g, prefix, sketch``, written, of ``c, n, tokens`` with n > 0: the first tokens in the order of ``ranks``, the group key, the counts."""
     shared = sets.sparkSession.sparkContext.broadcast(ranks)
 
     def work(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         order = shared.value
         for batch in slices(parts):
             every, begin = _opened(batch, "tokens")
-            found = []
+            found, sketches = [], []
             for a, b in zip(begin[:-1], begin[1:]):
                 tokens = every[a:b]
+                # counts beyond a byte are cut off here and there; 255 then stands for any number
+                sketches.append(np.minimum(np.bincount((tokens >> np.uint64(40)).astype(np.int64) % PARTS, minlength=PARTS), 255).astype(np.uint8).tobytes())
                 late = order[(tokens & np.uint64(SKETCH - 1)).astype(np.int32)]
                 length = len(tokens) - -(-percent * len(tokens) // 100) + 1
                 found.append(tokens[np.argsort(late, kind="stable")[:length]].tobytes())
-            yield pa.RecordBatch.from_arrays([batch.column("c"), batch.column("n"), binary(found)], ["c", "n", "prefix"])
+            yield pa.RecordBatch.from_arrays([batch.column("c"), batch.column("n"), binary(found), binary(sketches)], ["c", "n", "prefix", "sketch"])
 
-    made = sets.select("c", "n", "tokens").mapInArrow(work, "c BIGINT, n BIGINT, prefix BINARY").withColumn("g", F.xxhash64("n", "prefix"))
+    made = sets.select("c", "n", "tokens").mapInArrow(work, "c BIGINT, n BIGINT, prefix BINARY, sketch BINARY").withColumn("g", F.xxhash64("n", "prefix"))
     written = stage(made, "prefixes")
     shared.destroy()
     return written
@@ -138,8 +142,24 @@ def _may_link(percent: int) -> Column:
 
 
 def _verify(pairs: DataFrame, sets: DataFrame, classes: DataFrame, percent: int) -> DataFrame:
-    """The pairs of classes (``a, b``) whose sets are similar enough."""
-    pairs = stage(pairs.filter(F.col("a") != F.col("b")).select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct(), "pairs")
+    """The pairs of classes (``a, b``) whose sets are similar enough.
+
+    Their sketches are compared first: sets travel only where these leave it open.
+    """
+
+    def possible(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in parts:
+            x, y = (buffers(batch.column(c))[0].reshape(-1, PARTS) for c in ("x", "y"))
+            n1, n2 = (batch.column(c).to_numpy() for c in ("n1", "n2"))
+            least = np.minimum(x, y)
+            shared = np.where((least == 255).any(axis=1), np.minimum(n1, n2), least.sum(axis=1, dtype=np.int64))
+            keep = pa.array((100 * shared >= percent * (n1 + n2 - shared)) & (100 * np.minimum(n1, n2) >= percent * np.maximum(n1, n2)))
+            yield pa.RecordBatch.from_arrays([batch.column("a").filter(keep), batch.column("b").filter(keep)], ["a", "b"])
+
+    pairs = pairs.filter(F.col("a") != F.col("b")).select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
+    for side, number, sketch in (("a", "n1", "x"), ("b", "n2", "y")):
+        pairs = pairs.join(classes.select(F.col("c").alias(side), F.col("n").alias(number), F.col("sketch").alias(sketch)), side)
+    pairs = stage(pairs.select("a", "b", "n1", "n2", "x", "y").mapInArrow(possible, "a BIGINT, b BIGINT"), "pairs")
     needed = pairs.select(F.col("a").alias("c")).unionByName(pairs.select(F.col("b").alias("c"))).distinct()
     where = stage(classes.join(needed, "c").select("c", "doc_id", "k"), "needed")
 
@@ -201,8 +221,8 @@ def _classes(docs: DataFrame, percent: int, width: int) -> tuple[DataFrame, Data
         discard(prefixes, late)
         prefixes = _prefixes(some, ranks, percent)
     named = some.groupBy("c").agg(F.min(F.struct(F.col("doc_id").isNull().alias("no"), "doc_id", "k")).alias("one"))
-    of_class = prefixes.groupBy("c").agg(F.first("g").alias("g"), F.first("n").alias("n"), F.first("prefix").alias("prefix"))
-    classes = stage(of_class.join(named, "c").select("c", "g", "n", "prefix", "one.doc_id", "one.k"), "classes")
+    of_class = prefixes.dropDuplicates(["c"])
+    classes = stage(of_class.join(named, "c").select("c", "g", "n", "prefix", "sketch", "one.doc_id", "one.k"), "classes")
     groups = stage(classes.groupBy("g", "n").agg(F.min("c").alias("head"), F.count(F.lit(1)).alias("members"), F.first("prefix").alias("prefix")), "groups")
     discard(prefixes)
     classes = classes.drop("prefix")
@@ -214,7 +234,7 @@ def _classes(docs: DataFrame, percent: int, width: int) -> tuple[DataFrame, Data
     band = F.floor(F.log(F.col("n")) / F.lit(math.log(100 / percent))) if percent < 100 else F.col("n")
     postings = stage(postings.filter(near).select("token", "g", "n", "place", band.alias("band")), "shared_tokens")
     one, two = groups.select(F.col("g").alias("g1"), F.col("head").alias("a")), groups.select(F.col("g").alias("g2"), F.col("head").alias("b"))
-    crowded = stage(classes.join(groups.filter("members > 1").select("g"), "g").select("g", "c"), "crowded")
+    crowded = stage(classes.join(groups.filter("members > 1").select("g"), "g").select("g", "c", "n", F.lit(1).alias("place")), "crowded")
 
     def labelled(links: DataFrame) -> tuple[DataFrame, DataFrame]:
         """Root of each class, and of each group whose classes have one root."""
@@ -223,10 +243,12 @@ def _classes(docs: DataFrame, percent: int, width: int) -> tuple[DataFrame, Data
         return labels, stage(state.select("g", F.when(F.col("low") == F.col("high"), F.col("low")).alias("root")), "states")
 
     def to_leaders(rows: DataFrame, key: list[str], member: str, first: Column) -> DataFrame:
-        """Of ``rows`` (key, member, part): one member of each part of a key beside the key's leader, which comes first; parts differ."""
-        chosen = rows.groupBy(*key, "part").agg(F.min(F.struct(first.alias("first"), F.col(member).alias("member"), "part")).alias("one"))
+        """Of ``rows`` (key, member, part, n, place): one member of each part of a key beside the key's leader, which comes first; parts differ."""
+        chosen = rows.groupBy(*key, "part").agg(F.min(F.struct(first.alias("first"), F.col(member).alias("member"), "part", "n", "place")).alias("one"))
         leader = chosen.groupBy(*key).agg(F.min("one").alias("leader"), F.count(F.lit(1)).alias("parts")).filter("parts > 1")
-        return chosen.join(leader, key).filter("one.part != leader.part").select(F.col("leader.member").alias("m1"), F.col("one.member").alias("m2")).distinct()
+        met = chosen.join(leader, key).filter("one.part != leader.part")
+        met = met.select(*(F.col(f"{row}.{c}").alias(f"{c}{i}") for i, row in ((1, "leader"), (2, "one")) for c in ("member", "n", "place")))
+        return met.filter(_may_link(percent)).select("member1", "member2").distinct()
 
     links, labels, state = None, None, None
     for number in range(ROUNDS):
