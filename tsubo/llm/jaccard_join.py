@@ -43,7 +43,7 @@ SKETCH = 1 << 22
 PARTS = 256
 # A token that this many groups hold in their prefix is moved to the end of the order.
 OFTEN = 12
-REORDERINGS = 3
+REORDERINGS = 2
 # Rounds in which parts meet the leaders of their tokens, before all pairs between components are looked at.
 ROUNDS = 2
 
@@ -94,7 +94,7 @@ def _common_buckets(sets: DataFrame) -> np.ndarray:
 
 
 def _prefixes(sets: DataFrame, ranks: np.ndarray, percent: int) -> DataFrame:
-    """``c, n, g, prefix, sketch``, written, of ``c, n, tokens`` with n > 0: the first tokens in the order of ``ranks``, the group key, the counts."""
+    """``doc_id, k, c, n, g, prefix, sketch``, written, of ``sets`` with n > 0: the first tokens in the order of ``ranks``, the group key, the counts."""
     shared = sets.sparkSession.sparkContext.broadcast(ranks)
 
     def work(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -109,9 +109,10 @@ def _prefixes(sets: DataFrame, ranks: np.ndarray, percent: int) -> DataFrame:
                 late = order[(tokens & np.uint64(SKETCH - 1)).astype(np.int32)]
                 length = len(tokens) - -(-percent * len(tokens) // 100) + 1
                 found.append(tokens[np.argsort(late, kind="stable")[:length]].tobytes())
-            yield pa.RecordBatch.from_arrays([batch.column("c"), batch.column("n"), binary(found), binary(sketches)], ["c", "n", "prefix", "sketch"])
+            yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in ("doc_id", "k", "c", "n")), binary(found), binary(sketches)], ["doc_id", "k", "c", "n", "prefix", "sketch"])
 
-    made = sets.select("c", "n", "tokens").mapInArrow(work, "c BIGINT, n BIGINT, prefix BINARY, sketch BINARY").withColumn("g", F.xxhash64("n", "prefix"))
+    key = sets.schema["doc_id"].dataType.simpleString()
+    made = sets.select("doc_id", "k", "c", "n", "tokens").mapInArrow(work, f"doc_id {key}, k BIGINT, c BIGINT, n BIGINT, prefix BINARY, sketch BINARY").withColumn("g", F.xxhash64("n", "prefix"))
     written = stage(made, "prefixes")
     shared.destroy()
     return written
@@ -207,11 +208,22 @@ def _classes(docs: DataFrame, percent: int, width: int) -> tuple[DataFrame, Data
     """
     sets = stage(_token_sets(docs, width), "shingle_sets")
     some = sets.filter("n > 0")
+    # of each class one row stands for all: the smallest id, and the smallest text hash of it
+    rows = some.groupBy("c", "doc_id", "k").agg(F.count(F.lit(1)).alias("copies"))
+    named = rows.groupBy("c").agg(F.min(F.struct(F.col("doc_id").isNull().alias("no"), "doc_id", "k", "copies")).alias("one"))
+    named = stage(named.select("c", "one.doc_id", "one.k", "one.copies"), "named")
+    key = ["c", "doc_id", "k"]
+
+    def one_each(prefixes: DataFrame) -> DataFrame:
+        """The rows that stand for their class; only rows that are repeated are moved to keep one."""
+        found = attach(prefixes, named, key, "inner")
+        return found.filter("copies = 1").unionByName(found.filter("copies > 1").dropDuplicates(["c"])).drop("copies")
+
     ranks = _common_buckets(some)
     prefixes = _prefixes(some, ranks, percent)
     for _ in range(REORDERINGS):
         # tokens that many prefixes still hold go to the end as well
-        often = _open_prefixes(prefixes.groupBy("g", "n").agg(F.first("prefix").alias("prefix"))).groupBy("token").agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") >= OFTEN)
+        often = _open_prefixes(one_each(prefixes)).groupBy("token").agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") >= OFTEN)
         often = often.groupBy(F.col("token").bitwiseAND(F.lit(SKETCH - 1).cast("bigint")).alias("bucket")).agg(F.ceil(F.log2(F.max("n"))).cast("int").alias("rank"))
         late = stage(often, "often")
         found = late.toArrow()
@@ -220,11 +232,9 @@ def _classes(docs: DataFrame, percent: int, width: int) -> tuple[DataFrame, Data
         ranks[at] = np.maximum(ranks[at], found["rank"].to_numpy())
         discard(prefixes, late)
         prefixes = _prefixes(some, ranks, percent)
-    named = some.groupBy("c").agg(F.min(F.struct(F.col("doc_id").isNull().alias("no"), "doc_id", "k")).alias("one"))
-    of_class = prefixes.dropDuplicates(["c"])
-    classes = stage(of_class.join(named, "c").select("c", "g", "n", "prefix", "sketch", "one.doc_id", "one.k"), "classes")
-    groups = stage(classes.groupBy("g", "n").agg(F.min("c").alias("head"), F.count(F.lit(1)).alias("members"), F.first("prefix").alias("prefix")), "groups")
+    classes = stage(one_each(prefixes), "classes")
     discard(prefixes)
+    groups = stage(classes.groupBy("g", "n").agg(F.min("c").alias("head"), F.count(F.lit(1)).alias("members"), F.first("prefix").alias("prefix")), "groups")
     classes = classes.drop("prefix")
 
     # tokens of which the holder next in size may link, in size bands: within one, any two sizes are near enough
