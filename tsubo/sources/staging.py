@@ -15,6 +15,10 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 
+# Writers hold a row group in memory and readers a column of one; stages are read whole, so small ones cost nothing.
+ROW_GROUP_BYTES = 16 << 20
+
+
 def shared_folder(spark: SparkSession) -> str:
     """The folder the session names in ``spark.checkpoint.dir``; all executors must reach it."""
     folder = spark.conf.get("spark.checkpoint.dir", None)
@@ -41,7 +45,7 @@ def new_path(spark: SparkSession, name: str) -> str:
 def stage(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` once and return the written table."""
     path = new_path(df.sparkSession, name)
-    df.write.parquet(path)
+    df.write.option("parquet.block.size", ROW_GROUP_BYTES).parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
