@@ -261,8 +261,9 @@ def report(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", words: W
     spans, values = F.col("spans"), F.col("values")
     base = of_kinds(spans, BASE_KINDS)
     costs = F.transform(values, lambda v: F.concat_ws(":", v["start"], v["end"], F.format_string("%.2f", v["bits"])))
-    return scan(docs, text, words).select(
-        F.col(f"row.{doc_id}").alias("doc_id"),
+    narrow = docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text"))
+    return scan(narrow, "text", words).select(
+        "row.doc_id",
         *(count_kind(spans, kind).alias(f"n_{kind}") for kind in KINDS),
         digest(base).alias("base_sha256"),
         joined(spans).alias("spans"),
