@@ -340,24 +340,50 @@ def test_judge_many_path_lengths_and_no_host(spark):
 # Contained items ------------------------------------------------------------
 
 
+def shares_enough(text, item, percent=80):
+    """Whether the text holds enough of the item's windows of five words, or all words of a shorter item in a row."""
+    held, asked = WORD.findall((text or "").lower()), WORD.findall((item or "").lower())
+    width = min(5, len(asked))
+    windows = {tuple(asked[i : i + width]) for i in range(len(asked) - width + 1)} if asked else set()
+    inside = {tuple(held[i : i + width]) for i in range(len(held) - width + 1)}
+    return bool(windows) and 100 * len(windows & inside) >= percent * len(windows)
+
+
 def test_contained_items(spark):
     rng = random.Random(8)
-    items = [prose(rng, n) for n in (3, 5, 12, 40)] + [None, ""]
+    items = [prose(rng, n) for n in (3, 5, 12, 40, 1, 2, 4)] + [None, ""]
     broken = items[3].split()
     broken[20] = "other"
-    texts = [*ODD, items[0], prose(rng, 900) + " " + items[3].upper() + " " + prose(rng, 50), " ".join(broken), items[2], items[1] + " end"]
+    texts = [
+        *ODD, items[0], prose(rng, 900) + " " + items[3].upper() + " " + prose(rng, 50), " ".join(broken), items[2], items[1] + " end",
+        prose(rng, 300) + " " + items[0] + " " + prose(rng, 300), items[4] + " " + items[5], prose(rng, 40) + "\n" + items[6],
+    ]
     item_rows = spark.createDataFrame([(i, t) for i, t in enumerate(items)], "item_id BIGINT, text STRING")
     docs = documents(spark, texts)
-
-    def shingles(t):
-        tokens = WORD.findall((t or "").lower())
-        return {tuple(tokens[i : i + 5]) for i in range(max(1, len(tokens) - 4))} if tokens else set()
-
-    expected = {(d, i) for d, t in enumerate(texts) for i, x in enumerate(items) if shingles(x) and 100 * len(shingles(t) & shingles(x)) >= 80 * len(shingles(x))}
-    assert {(r["doc_id"], r["item_id"]) for r in decontaminate.contained(docs, item_rows).collect()} == expected and len(expected) >= 4
+    expected = {(d, i) for d, t in enumerate(texts) for i, x in enumerate(items) if shares_enough(t, x)}
+    assert {(15, 0), (16, 4), (16, 5), (17, 6)} <= expected
+    assert {(r["doc_id"], r["item_id"]) for r in decontaminate.contained(docs, item_rows).collect()} == expected
     assert {(r["doc_id"], r["item_id"]) for r in decontaminate.contained(docs, item_rows, broadcast_bytes=0).collect()} == expected
     kept = decontaminate.clean_documents(docs, item_rows)
     assert kept.columns == docs.columns and {r["doc_id"] for r in kept.collect()} == set(range(len(texts))) - {d for d, _ in expected}
+    assert decontaminate.contained(docs, item_rows.limit(0)).count() == 0 and decontaminate.contained(docs.limit(0), item_rows).count() == 0
+
+
+@pytest.mark.parametrize("percent", [50, 80, 100])
+def test_every_size_class_misses_no_item(spark, percent):
+    """Items of 1 to 70 words, of which documents lack words up to and beyond the containment."""
+    rng = random.Random(percent)
+    items = [" ".join(f"i{k}w{j}" for j in range(n)) for k, n in enumerate([*range(1, 40), 47, 64, 67, 68, 69, 70])]
+    texts = []
+    for _ in range(150):
+        words = rng.choice(items).split()
+        held = max(1, round(len(words) * rng.uniform(percent / 100 - 0.1, 1.1)))
+        cut = rng.randrange(max(len(words) - held, 0) + 1)
+        texts.append(" ".join([*prose(rng, rng.randrange(30)).split(), *words[cut : cut + held], *prose(rng, rng.randrange(30)).split()]))
+    item_rows = spark.createDataFrame([(i, t) for i, t in enumerate(items)], "item_id BIGINT, text STRING")
+    expected = {(d, i) for d, t in enumerate(texts) for i, x in enumerate(items) if shares_enough(t, x, percent)}
+    got = decontaminate.contained(documents(spark, texts), item_rows, percent=percent).collect()
+    assert {(r["doc_id"], r["item_id"]) for r in got} == expected and 40 < len(got) == len(expected) < 150
 
 
 def test_clean_documents_of_null_and_repeated_ids(spark):

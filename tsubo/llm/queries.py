@@ -169,8 +169,9 @@ def op10_contained_items(spark: SparkSession, folder: str) -> DataFrame:
 ORACLES["op10_contained_items"] = r"""
 WITH dw AS (SELECT doc_id, regexp_extract_all(lower(text), '[^\x20\x09-\x0D]+') AS w FROM (SELECT DISTINCT doc_id, text FROM documents)),
 iw AS (SELECT item_id, regexp_extract_all(lower(text), '[^\x20\x09-\x0D]+') AS w FROM benchmark),
-ds AS (SELECT DISTINCT doc_id, array_to_string(w[i:i + 4], ' ') AS s FROM (SELECT doc_id, w, unnest(range(1, greatest(len(w) - 3, 2))) AS i FROM dw WHERE len(w) > 0)),
-it AS (SELECT DISTINCT item_id, array_to_string(w[i:i + 4], ' ') AS s FROM (SELECT item_id, w, unnest(range(1, greatest(len(w) - 3, 2))) AS i FROM iw WHERE len(w) > 0)),
+it AS (SELECT DISTINCT item_id, least(len(w), 5) AS k, array_to_string(w[i:i + 4], ' ') AS s FROM (SELECT item_id, w, unnest(range(1, greatest(len(w) - 3, 2))) AS i FROM iw WHERE len(w) > 0)),
+ds AS (SELECT DISTINCT doc_id, array_to_string(w[i:i + k - 1], ' ') AS s
+       FROM (SELECT doc_id, w, k, unnest(range(1, len(w) - k + 2)) AS i FROM dw, (SELECT DISTINCT k FROM it) WHERE len(w) >= k)),
 n AS (SELECT item_id, count(*) AS n_item FROM it GROUP BY item_id)
 SELECT doc_id, item_id, n_item, count(*) AS n_shared FROM ds JOIN it USING (s) JOIN n USING (item_id)
 GROUP BY doc_id, item_id, n_item HAVING 100 * count(*) >= 80 * n_item
