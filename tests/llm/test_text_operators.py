@@ -75,6 +75,64 @@ def test_language_held_out_and_odd_texts(spark):
     assert nothing[0]["lang_pred"] == "und" and nothing[0]["score"] == 0
 
 
+def plain_grams(text):
+    """All n-grams (n = 1 to 3) of a text, lower-cased, with one border sign for what is no letter."""
+    text = "".join(c if c.isalpha() else "#" for c in text.lower())
+    return {text[i : i + n] for n in (1, 2, 3) for i in range(len(text) - n + 1)}
+
+
+def test_scores_are_those_of_a_plain_kernel_ridge(spark):
+    rng = random.Random(31)
+    words = {"x": ["abra", "kedo", "milu", "éta"], "y": ["ubra", "kodi", "melu", "ßan"], "z": ["日本", "語文", "abra", "字"]}
+    rows = [(i, " ".join(rng.choices(words[lang], k=rng.randrange(1, 9))) + rng.choice(["", ".", " 12"]), lang) for i, lang in enumerate("xyxzy" * 12)]
+    docs = spark.createDataFrame(rows, "doc_id BIGINT, text STRING, lang STRING")
+    model = language.fit(docs, per_language=15, landmarks=20)
+    got = {r["doc_id"]: r for r in language.predict(docs, model).collect()}
+    order = [r[0] for r in docs.select("doc_id").orderBy(language.shuffle_order(language.F.col("doc_id")), "doc_id").collect()]
+    ranked = sorted((order.index(i), i, lang) for i, _, lang in rows)
+    sample = [(k, lang, i) for lang in "xyz" for k, i in enumerate([i for _, i, one in ranked if one == lang][:15])]
+    texts = {i: t for i, t, _ in rows}
+    marks = [plain_grams(texts[i]) for _, _, i in sorted(sample)[:20]]
+    known = set().union(*marks)
+
+    def kernel(grams):
+        grams = grams & known
+        return [len(grams & m) / max(len(grams), 1) ** 0.5 / len(m) ** 0.5 for m in marks]
+
+    learned = np.array([kernel(plain_grams(texts[i])) for _, _, i in sample])
+    goal = np.array([[1.0 if lang == one else -1.0 for one in "xyz"] for _, lang, _ in sample])
+    ridge = language.RIDGE * len(sample) * np.array([kernel(m) for m in marks]) + 1e-6 * len(sample) * np.eye(20)
+    share = Counter(lang for _, lang, _ in sample)
+    weighted = learned * np.array([len(sample) / 3 / share[lang] for _, lang, _ in sample])[:, None]
+    weights = np.linalg.solve(weighted.T @ learned + ridge, weighted.T @ goal)
+    for i, text, _ in rows:
+        values = np.exp(4 * (np.array(kernel(plain_grams(text))) @ weights))
+        assert got[i]["score"] == pytest.approx(values.max() / values.sum(), abs=1e-3)
+        assert got[i]["lang_pred"] == "xyz"[values.argmax()] or np.sort(values)[-1] - np.sort(values)[-2] < 1e-3
+
+
+def test_scripts_of_thousands_of_letters(spark):
+    """Two languages share 2,000 signs and have 400 of their own each; letters that were never learned leave a guess."""
+    rng = random.Random(32)
+    shared, own = [chr(0x4E00 + i) for i in range(2000)], {"a": [chr(0x6000 + i) for i in range(400)], "b": [chr(0x7000 + i) for i in range(400)]}
+    rows = [(i, "".join(rng.choices(shared, k=80) + rng.choices(own[lang], k=20)), lang) for i, lang in enumerate("aab" * 200)]
+    unknown = [(1000, "ქართული", "a"), (1001, "...", "b"), (1002, None, "b")]
+    got = {r["doc_id"]: r for r in language.identify(spark.createDataFrame(rows + unknown, "doc_id BIGINT, text STRING, lang STRING")).collect()}
+    held = [i for i, _, _ in rows if got[i]["held_out"]]
+    right = sum(got[i]["lang_pred"] == "aab"[i % 3] for i in held)
+    assert len(held) > 100 and right >= 0.97 * len(held), (right, len(held))
+    assert got[1001]["lang_pred"] == got[1002]["lang_pred"] == "und" and 0 <= got[1000]["score"] <= 1
+
+
+def test_lookup_finds_every_gram():
+    rng = np.random.default_rng(33)
+    grams = np.unique(rng.integers(0, 1 << 62, 50_000))
+    model = language.Model(np.append(grams, -1), language.lookup_levels(grams), np.zeros((len(grams), 1), np.float32), np.zeros((1, 1)), ["a"], 0)
+    asked = np.concatenate([grams[::3], rng.integers(0, 1 << 62, 1000)])
+    assert set(language.features_of(asked, model).tolist()) == set(np.flatnonzero(np.isin(grams, asked)).tolist())
+    assert len(language.features_of(asked, language.Model(np.array([-1]), [], np.zeros((0, 1)), np.zeros((1, 1)), [], 0))) == 0
+
+
 # Repeats --------------------------------------------------------------------
 
 
@@ -114,7 +172,9 @@ def test_repeated_ranges(spark, crowded, monkeypatch):
 # Mixing ---------------------------------------------------------------------
 
 
-def test_rates_meet_targets(spark):
+def test_rates_meet_targets(spark, monkeypatch):
+    """The projected gradient alone meets targets that can be met."""
+    monkeypatch.setattr(mixing, "_dual_step", None)
     rng = random.Random(4)
     rows = []
     for i in range(300):
@@ -128,6 +188,18 @@ def test_rates_meet_targets(spark):
         assert sum(r["rate"] * r["tokens"] * r[f"p_{d}"] for r in got) == pytest.approx(share * total, rel=1e-3)
 
 
+def test_projected_gradient_with_rates_at_the_border(spark, monkeypatch):
+    """Targets far from the documents' own: many rates end at 0, and the targets are met without the dual."""
+    monkeypatch.setattr(mixing, "_dual_step", None)
+    rng = np.random.default_rng(3)
+    shares, tokens = rng.dirichlet([4, 2, 1], 400).round(3), rng.integers(0, 300, 400)
+    members = spark.createDataFrame([(i, int(n), *map(float, p)) for i, (n, p) in enumerate(zip(tokens, shares))], "doc_id BIGINT, tokens BIGINT, p_a DOUBLE, p_b DOUBLE, p_c DOUBLE")
+    got = mixing.fit_rates(members, {"a": 0.2, "b": 0.5, "c": 0.3}, budget=5000).collect()
+    rates = np.array([r["rate"] for r in sorted(got, key=lambda r: r["doc_id"])])
+    assert rates.min() == 0 and (rates[tokens > 0] == 0).mean() > 0.1 and (rates[tokens == 0] == 1).all()
+    assert (rates * tokens) @ shares == pytest.approx([1000, 2500, 1500], rel=1e-3)
+
+
 def least_misfit(a, b):
     """The exact least |a x - b| over x >= 0 (Lawson and Hanson)."""
     x, on = np.zeros(a.shape[1]), np.zeros(a.shape[1], bool)
