@@ -103,6 +103,31 @@ SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, fail
 """
 
 
+@query
+def policy_counts(spark: SparkSession, folder: str) -> DataFrame:
+    """What each policy version keeps of all documents, from the ledger's bits."""
+    return quality.apply_policies(quality.ledger(read_table(spark, folder, "documents")))
+
+
+ORACLES["policy_counts"] = f"""
+SELECT version, mask, CAST(count(*) FILTER ((failed & mask) = 0) AS BIGINT) AS kept, CAST(count(*) FILTER ((failed & mask) <> 0) AS BIGINT) AS rejected
+FROM (VALUES (CAST(1 AS INTEGER), CAST(3 AS BIGINT)), (2, 63)) AS p(version, mask), ({ORACLES["op2_rule_ledger"]}) GROUP BY version, mask
+"""
+
+
+@query
+def rule_ablation(spark: SparkSession, folder: str) -> DataFrame:
+    """Per rule of the current policy, the documents that fail it and those that only it rejects."""
+    return quality.ablation(quality.ledger(read_table(spark, folder, "documents")))
+
+
+ORACLES["rule_ablation"] = f"""
+SELECT bit, rule, CAST(count(*) FILTER ((failed >> bit) & 1 = 1) AS BIGINT) AS fails, CAST(count(*) FILTER (failed = CAST(1 AS BIGINT) << bit) AS BIGINT) AS fails_alone
+FROM (VALUES (CAST(0 AS INTEGER), 'too_few_words'), (1, 'repeated_words'), (2, 'symbols'), (3, 'repeated_lines'), (4, 'short_words'), (5, 'long_words')) AS r(bit, rule),
+     ({ORACLES["op2_rule_ledger"]}) GROUP BY bit, rule
+"""
+
+
 @query
 def op3_string_kernel(spark: SparkSession, folder: str) -> DataFrame:
     return language.identify(read_table(spark, folder, "documents"))
