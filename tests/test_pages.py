@@ -156,3 +156,59 @@ def test_broken_tags_cost_linear_time(unit):
 
     taken(1000)
     assert taken(32000) < 80 * max(taken(2000), 0.005)
+
+
+def seen(root):
+    return [(e.tag, e.parent and e.parent.place, e.place, e.end, page_text.text(e), e.get("href"), sorted(e.classes)) for e in root.page.elements]
+
+
+def test_pages_of_one_make_share_their_tree_and_read_the_same():
+    import random
+
+    rng = random.Random(11)
+    reader = page_text.Reader()
+    parts = [
+        "<div class='a b'>", "<div class=a>", "</div>", "<li>", "<a class=x href=/l/%d>", "<A HREF='/%d' CLASS='x y'>", "</a>", "<img class='&amp;'>",
+        "<script>%d<li></scriptx></SCRIPT >", "<style>", "</style>", "<!-- <li> -->", "&am", "p;%d", "万%d", " ", "<br/>", "<script src=x/>", "<rt>", "</rt>", "<td>", "<tr>", "<a x='", "</",
+    ]
+    for _ in range(8000):
+        html = "".join(p.replace("%d", str(rng.randrange(100))) for p in rng.choices(parts, k=rng.randrange(5)))
+        assert seen(reader.read(html)) == seen(page_text.read_page(html)), html
+    one = page_text.Reader()
+    for i in range(50):
+        page = one.read(BUILDING.replace("UNITS", UNIT.replace("/l/1", f"/l/{i}").replace("8.3", f"{i}.3")))
+        found = next(pages._blocks("u", page))["units"][0]
+        assert (found["href"], found["rent"]) == (f"/l/{i}", f"{i}.3万円")
+    assert len(one.trees) == 1
+
+
+def test_a_reader_forgets_trees_and_keeps_its_bound(monkeypatch):
+    monkeypatch.setattr(page_text, "ELEMENTS_HELD", 100)
+    reader = page_text.Reader()
+    for i in range(100):
+        html = "<b>" * (i % 60) + "x"
+        assert seen(reader.read(html)) == seen(page_text.read_page(html))
+        assert sum(len(t.page.elements) for t in reader.trees.values()) <= 100
+
+
+@pytest.mark.parametrize("unit", ["<a x='", "<!", "<script></script><a '", "<script>", "<script ", "<style>x"])
+def test_a_reader_of_broken_pages_costs_linear_time(unit):
+    import time
+
+    def taken(n):
+        began = time.process_time()
+        page_text.Reader().read(unit * n + "'")
+        return time.process_time() - began
+
+    taken(1000)
+    assert taken(32000) < 80 * max(taken(2000), 0.005)
+
+
+@pytest.mark.parametrize("name", ["html_block_rejects", "html_images", "html_roundtrip_listings", "html_strict_stations"])
+def test_pages_made_of_dealt_rows_are_not_dealt_again(spark, tmp_path, name):
+    from tsubo.plans import registry
+
+    line = "l_orderkey LONG, l_linenumber INT, l_partkey LONG, l_suppkey LONG, l_quantity DOUBLE, l_extendedprice DOUBLE, l_discount DOUBLE, l_tax DOUBLE"
+    spark.createDataFrame([(1, 1, 1, 1, 1.0, 9.0, 0.1, 0.1)], line).write.parquet(f"{tmp_path}/lineitem.parquet")
+    plan = registry.QUERIES[name](spark, str(tmp_path))._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("Repartition") <= 1

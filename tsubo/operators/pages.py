@@ -8,6 +8,7 @@ no step shuffles.
 from __future__ import annotations
 
 from collections.abc import Callable, Iterator
+from itertools import accumulate, chain
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
@@ -63,24 +64,40 @@ RAW_COLUMNS = [
 ]
 
 
-def _read(pages: DataFrame, rows: Callable[[str, Element], Iterator[dict]], schema: pa.Schema, ddl: str) -> DataFrame:
-    """Rows found on each page; a page with very many leaves in several batches."""
+def _array(values: list, kind: pa.DataType) -> pa.Array:
+    """Values that are lists and structs, none of them missing, column by column."""
+    if pa.types.is_list(kind):
+        offsets = pa.array([0, *accumulate(map(len, values))], pa.int32())
+        return pa.ListArray.from_arrays(offsets, _array([*chain.from_iterable(values)], kind.value_type), type=kind)
+    if pa.types.is_struct(kind):
+        return pa.StructArray.from_arrays([_array([v[f.name] for v in values], f.type) for f in kind], fields=[*kind])
+    return pa.array(values, kind)
+
+
+def _read(pages: DataFrame, rows: Callable[[str, Element], Iterator[dict]], schema: pa.Schema, ddl: str, deal: bool = True) -> DataFrame:
+    """Rows found on each page; a page with very many leaves in several batches.
+
+    Pages from a small input are dealt out to all cores first, unless ``deal`` says that they already are.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        def sent() -> pa.RecordBatch:
+            return pa.RecordBatch.from_arrays([_array([row[f.name] for row in ready], f.type) for f in schema], schema=schema)
+
         ready: list[dict] = []
+        reader = page_text.Reader()
         for batch in batches:
-            for url, html in zip(batch.column(0), batch.column(1), strict=True):
-                page = page_text.read_page(html.as_py())
-                for row in rows(url.as_py(), page):
+            for url, html in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
+                for row in rows(url, reader.read(html.as_py())):
                     ready.append(row)
                     if len(ready) >= ROWS_PER_BATCH:
-                        yield pa.RecordBatch.from_pylist(ready, schema=schema)
+                        yield sent()
                         ready = []
-                page.page.elements.clear()  # leaves no cycles for the collector
         if ready:
-            yield pa.RecordBatch.from_pylist(ready, schema=schema)
+            yield sent()
 
-    return spread(pages.select("url", "html")).mapInArrow(run, ddl)
+    read = pages.select("url", "html")
+    return (spread(read) if deal else read).mapInArrow(run, ddl)
 
 
 def _unit(row: Element) -> dict:
@@ -88,39 +105,49 @@ def _unit(row: Element) -> dict:
         name: page_text.text(page_text.first(row, "span", PRICE, css))
         for name, css in (("rent", RENT), ("management_fee", MANAGEMENT_FEE), ("deposit", DEPOSIT), ("key_money", KEY_MONEY))
     }
-    links = (a for cell in page_text.elements(row, "td", *UNIT_LINK_CELL) for a in page_text.elements(cell, "a"))
-    link = next(links, None)
     return price | {
-        "href": None if link is None else link.get("href"),
+        "href": _link(row),
         "cells": [page_text.text(cell) for cell in page_text.elements(row, "td")],
         "floor_plan": page_text.text(page_text.first(row, "span", FLOOR_PLAN)),
         "area": page_text.text(page_text.first(row, "span", AREA)),
     }
 
 
+def _link(row: Element) -> str | None:
+    links = (a for cell in page_text.elements(row, "td", *UNIT_LINK_CELL) for a in page_text.elements(cell, "a"))
+    link = next(links, None)
+    return None if link is None else link.get("href")
+
+
 def _texts(block: Element, item: str, tag: str, *classes: str) -> list[str]:
     return [page_text.text(e) for li in page_text.elements(block, "li", item) for e in page_text.elements(li, tag, *classes)]
 
 
+def _image(block: Element) -> str | None:
+    images = (img for box in page_text.elements(block, "div", IMAGE_BOX) for img in page_text.elements(box, "img"))
+    image = next(images, None)
+    return None if image is None else image.get(IMAGE_ATTRIBUTE)
+
+
+# How each column of a building is read.
+BLOCK_READINGS: dict[str, Callable[[Element], object]] = {
+    "img": _image,
+    "title": lambda block: page_text.text(page_text.first(block, "div", TITLE)),
+    "address": lambda block: page_text.text(page_text.first(block, "li", ADDRESS)),
+    "cells": lambda block: _texts(block, BUILDING_CELLS, "div"),
+    "station_texts": lambda block: _texts(block, STATION_LIST, "div", STATION_TEXT),
+    "units": lambda block: [_unit(row) for row in page_text.elements(block, "tr", UNIT)],
+}
+
+
 def _blocks(url: str, page: Element) -> Iterator[dict]:
     for place, block in enumerate(page_text.elements(page, "div", BLOCK)):
-        images = (img for box in page_text.elements(block, "div", IMAGE_BOX) for img in page_text.elements(box, "img"))
-        image = next(images, None)
-        yield {
-            "url": url,
-            "block": place,
-            "img": None if image is None else image.get(IMAGE_ATTRIBUTE),
-            "title": page_text.text(page_text.first(block, "div", TITLE)),
-            "address": page_text.text(page_text.first(block, "li", ADDRESS)),
-            "cells": _texts(block, BUILDING_CELLS, "div"),
-            "station_texts": _texts(block, STATION_LIST, "div", STATION_TEXT),
-            "units": [_unit(row) for row in page_text.elements(block, "tr", UNIT)],
-        }
-
-
-def building_blocks(pages: DataFrame) -> DataFrame:
+        yield {"url": url, "block": place} | {name: reading(block) for name, reading in BLOCK_READINGS.items()}
+
+
+def building_blocks(pages: DataFrame, deal: bool = True) -> DataFrame:
     """One row per building on a page, in document order; pages without any give none."""
-    return _read(pages, _blocks, BLOCK_TYPE, BLOCK_DDL)
+    return _read(pages, _blocks, BLOCK_TYPE, BLOCK_DDL, deal)
 
 
 def absolute_url(href: Column, base_url: str) -> Column:
@@ -148,8 +175,8 @@ def listings_from_blocks(blocks: DataFrame, base_url: str, strict_stations: bool
     return opened.select("*", *values).select(*image, *RAW_COLUMNS)
 
 
-def extract_listings(pages: DataFrame, base_url: str, **options) -> DataFrame:
-    return listings_from_blocks(building_blocks(pages), base_url, **options)
+def extract_listings(pages: DataFrame, base_url: str, deal: bool = True, **options) -> DataFrame:
+    return listings_from_blocks(building_blocks(pages, deal), base_url, **options)
 
 
 def block_rejects(blocks: DataFrame) -> DataFrame:

@@ -442,25 +442,25 @@ def residual_kde(spark: SparkSession, folder: str) -> DataFrame:
 
 @query
 def html_roundtrip_listings(spark: SparkSession, folder: str) -> DataFrame:
-    return pages.extract_listings(fixtures.listing_pages(_lineitem(spark, folder)), BASE_URL)
+    return pages.extract_listings(fixtures.listing_pages(_lineitem(spark, folder)), BASE_URL, deal=False)
 
 
 @query
 def html_strict_stations(spark: SparkSession, folder: str) -> DataFrame:
-    found = pages.extract_listings(fixtures.listing_pages(_lineitem(spark, folder)), BASE_URL, strict_stations=True)
+    found = pages.extract_listings(fixtures.listing_pages(_lineitem(spark, folder)), BASE_URL, deal=False, strict_stations=True)
     return found.select("url", "nearest_station", "distance_to_nearest_station", "avg_distance_to_stations")
 
 
 @query
 def html_images(spark: SparkSession, folder: str) -> DataFrame:
     """The picture of every listing's building."""
-    found = pages.extract_listings(fixtures.pictured_pages(_lineitem(spark, folder)), BASE_URL, with_image=True)
+    found = pages.extract_listings(fixtures.pictured_pages(_lineitem(spark, folder)), BASE_URL, deal=False, with_image=True)
     return found.select("url", "img")
 
 
 @query
 def html_block_rejects(spark: SparkSession, folder: str) -> DataFrame:
-    return pages.block_rejects(pages.building_blocks(fixtures.listing_pages(_lineitem(spark, folder))))
+    return pages.block_rejects(pages.building_blocks(fixtures.listing_pages(_lineitem(spark, folder)), deal=False))
 
 
 @query
