@@ -9,7 +9,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tsubo.sources.tables import spread
+from tsubo.operators.cleaning import DUPLICATE_KEY
+from tsubo.sources.tables import planned_bytes, spread
 
 BASE_COLUMNS = [
     "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_discount", "l_tax",
@@ -56,18 +57,37 @@ LISTING_COLUMNS = {
 }
 RAW_COLUMNS = list(LISTING_COLUMNS)
 AGAIN = "?again"
+# Of the file of line items; some 450,000 of them.
+BYTES_PER_TASK = 8 << 20
 BASE_URL = "https://example.org/"
 
 
-def once_listed(lineitem: DataFrame) -> DataFrame:
-    return spread(lineitem).selectExpr(*BASE_COLUMNS).selectExpr(*(f"{sql} AS {name}" for name, sql in LISTING_COLUMNS.items()))
+def _copies_together(base: DataFrame, size: int) -> DataFrame:
+    """Line items dealt out by the duplicate key of their listings, while they are narrow.
 
+    A listing is some twenty times as wide as its line item in the file, so a
+    file split of line items is too many listings for one task to sort.
+    """
+    key = F.xxhash64(*(F.expr(LISTING_COLUMNS[c]) for c in DUPLICATE_KEY))
+    return base.repartition(max(base.sparkSession.sparkContext.defaultParallelism, -(-size // BYTES_PER_TASK)), key)
+
+
+def once_listed(lineitem: DataFrame, copies_together: bool = False) -> DataFrame:
+    if copies_together:
+        base = _copies_together(lineitem.selectExpr(*BASE_COLUMNS), planned_bytes(lineitem))
+    else:
+        base = spread(lineitem).selectExpr(*BASE_COLUMNS)
+    return base.selectExpr(*(f"{sql} AS {name}" for name, sql in LISTING_COLUMNS.items()))
 
-def raw_listings(lineitem: DataFrame) -> DataFrame:
-    """Every line item as a listing; those three minutes from a station are listed twice."""
+
+def raw_listings(lineitem: DataFrame, copies_together: bool = False) -> DataFrame:
+    """Every line item as a listing; those three minutes from a station are listed twice.
+
+    With ``copies_together`` listings of one duplicate key are made in one task.
+    """
     again = F.col("distance_to_nearest_station") == 3
     urls = F.when(again, F.array("url", F.concat("url", F.lit(AGAIN)))).otherwise(F.array("url"))
-    return once_listed(lineitem).withColumn("url", F.explode(urls)).select(RAW_COLUMNS)
+    return once_listed(lineitem, copies_together).withColumn("url", F.explode(urls)).select(RAW_COLUMNS)
 
 
 def _text(name: str) -> str:

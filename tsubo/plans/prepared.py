@@ -46,13 +46,13 @@ def _prepared(spark: SparkSession, folder: str, name: str, build: Callable[[], D
     return spark.read.schema(df.schema).parquet(path)
 
 
-def raw(spark: SparkSession, folder: str) -> DataFrame:
-    return fixtures.raw_listings(read_table(spark, folder, "lineitem"))
+def raw(spark: SparkSession, folder: str, copies_together: bool = False) -> DataFrame:
+    return fixtures.raw_listings(read_table(spark, folder, "lineitem"), copies_together)
 
 
 def standard(spark: SparkSession, folder: str) -> DataFrame:
     """Distinct listings with typed columns."""
-    return _prepared(spark, folder, "standard", lambda: listings.standard_listings(raw(spark, folder)))
+    return _prepared(spark, folder, "standard", lambda: listings.standard_listings(raw(spark, folder, copies_together=True)))
 
 
 def clean(spark: SparkSession, folder: str) -> DataFrame:

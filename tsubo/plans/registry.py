@@ -55,7 +55,7 @@ def _pages(spark: SparkSession, folder: str) -> DataFrame:
 
 @query
 def dedup_listings(spark: SparkSession, folder: str) -> DataFrame:
-    return cleaning.dedup_listings(prepared.raw(spark, folder))
+    return cleaning.dedup_listings(prepared.raw(spark, folder, copies_together=True))
 
 
 def _labels(spark: SparkSession, folder: str, **columns: Column) -> DataFrame:
@@ -143,7 +143,7 @@ def station_features_sliced(spark: SparkSession, folder: str) -> DataFrame:
 
 @query
 def featured_view(spark: SparkSession, folder: str) -> DataFrame:
-    return listings.featured_view(prepared.raw(spark, folder))
+    return listings.featured_view(prepared.raw(spark, folder, copies_together=True))
 
 
 @query
@@ -158,7 +158,7 @@ def view_scan(spark: SparkSession, folder: str) -> DataFrame:
 def stored_view(spark: SparkSession, folder: str) -> DataFrame:
     """The view stored over a table of half the listings; the other half is added before it is read."""
     table, view, path = _unused("listings_raw"), _unused("listings_featured"), new_path(spark, "listings-raw")
-    raw = prepared.raw(spark, folder)
+    raw = prepared.raw(spark, folder, copies_together=True)
     late = F.pmod(F.xxhash64("url"), F.lit(2)) == 1
     tables.write_table(raw.filter(~late), table, path)
     views.create_featured_view(spark, table, view)
@@ -168,7 +168,7 @@ def stored_view(spark: SparkSession, folder: str) -> DataFrame:
 
 @query
 def clean_listings(spark: SparkSession, folder: str) -> DataFrame:
-    return listings.clean_listings(listings.featured_view(prepared.raw(spark, folder)))
+    return listings.clean_listings(listings.featured_view(prepared.raw(spark, folder, copies_together=True)))
 
 
 @query

@@ -30,6 +30,11 @@ def read_table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder.rstrip('/')}/{name}.parquet")
 
 
+def planned_bytes(df: DataFrame) -> int:
+    """The plan's own estimate of its size; no job runs."""
+    return int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())
+
+
 def spread(df: DataFrame) -> DataFrame:
     """Deal out the rows of a small input to all cores.
 
@@ -41,8 +46,7 @@ def spread(df: DataFrame) -> DataFrame:
     session = df.sparkSession
     split = int(session._jsparkSession.sessionState().conf().filesMaxPartitionBytes())
     cores = session.sparkContext.defaultParallelism
-    size = int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())
-    return df.repartition(cores) if size < cores * split else df
+    return df.repartition(cores) if planned_bytes(df) < cores * split else df
 
 
 def read_pages(spark: SparkSession, path: str) -> DataFrame:
