@@ -1,3 +1,4 @@
+import pytest
 from pyspark.sql import functions as F
 
 from tsubo.operators.cleaning import DUPLICATE_KEY
@@ -32,3 +33,13 @@ def test_distinct_listings_move_no_wide_row(spark, tmp_path):
     assert len(exchanges) == 1
     assert registry.QUERIES["dedup_listings"](spark, folder).count() == fixtures.raw_listings(spark.read.parquet(f"{folder}/lineitem.parquet")).select(*DUPLICATE_KEY).distinct().count()
     prepared.forget(spark)
+
+
+@pytest.mark.parametrize("name", ["featured_view", "clean_listings", "plan_features", "box_by_station_ranked", "stored_view"])
+def test_queries_of_distinct_listings_share_the_dealing(spark, tmp_path, monkeypatch, name):
+    dealt, real = [], fixtures._copies_together
+    monkeypatch.setattr(fixtures, "_copies_together", lambda *args: dealt.append(1) or real(*args))
+    prepared.forget(spark)
+    assert registry.QUERIES[name](spark, lineitem(spark, tmp_path, 300)).count() > 0
+    assert dealt
+    prepared.forget(spark)
