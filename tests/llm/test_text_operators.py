@@ -10,6 +10,7 @@ import pytest
 
 import corpus_pipeline
 from tsubo.llm import components, decontaminate, jaccard_join, language, mixing, private_terms, quality, quotes, repeats, secrets_scan, url_filter
+from tsubo.sources.staging import stage
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
 DOCS = "doc_id BIGINT, text STRING, lang STRING, source STRING, n_chars BIGINT, row STRING, n_words STRING"
@@ -251,6 +252,32 @@ def test_mix_learns_labels_and_takes_odd_rows(spark):
     assert mixing.mix(docs.limit(0), labels.limit(0)).count() == 0
 
 
+def test_mix_writes_few_files_however_many_partitions_there_are(spark, tmp_path):
+    settings = {"spark.sql.shuffle.partitions": "40", "spark.sql.adaptive.coalescePartitions.enabled": "false"}
+    before = {k: spark.conf.get(k) for k in settings}
+    files = {}
+
+    def counted(df, name, *most):
+        written = stage(df, name, *most)
+        files[name] = len(written.inputFiles())
+        return written
+
+    for k, v in settings.items():
+        spark.conf.set(k, v)
+    try:
+        docs = spark.createDataFrame([(i, f"word{i % 7} word{i % 11} other") for i in range(400)], "doc_id BIGINT, text STRING")
+        docs.write.parquet(f"{tmp_path}/docs")
+        labels = spark.createDataFrame([(i, i % 2, 0) for i in range(100)], "doc_id BIGINT, quality INT, toxic INT")
+        with pytest.MonkeyPatch.context() as patch:
+            patch.setattr(mixing, "stage", counted)
+            got = mixing.mix(spark.read.parquet(f"{tmp_path}/docs"), labels).collect()
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
+    assert sorted(r["doc_id"] for r in got) == list(range(400))
+    assert max(files["memberships"], files["cells"]) <= spark.sparkContext.defaultParallelism
+
+
 # Secrets --------------------------------------------------------------------
 
 

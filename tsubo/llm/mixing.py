@@ -32,6 +32,7 @@ from tsubo.functions.keys import shuffle_order
 from tsubo.llm.words import words
 from tsubo.operators.lookup import attach
 from tsubo.sources.staging import stage
+from tsubo.sources.tables import planned_bytes
 
 # Words are counted in this many buckets.
 BUCKETS = 4096
@@ -44,6 +45,8 @@ UNIT = 1 << 16
 # Posteriors are rounded to this many digits.  Documents with equal posteriors have equal rates, so
 # the fit runs on one cell per combination: for three domains some 500,000 at most, whatever the input.
 DIGITS = 3
+# Files of the written cells, which are few; and bytes of documents whose memberships, a few dozen bytes each, share a file.
+CELL_FILES, BYTES_PER_FILE = 8, 64 << 20
 TOLERANCE = 1e-6
 # Sums that the projected gradient may take, and the shortest part of a step: of 213 random sets of targets that can be
 # met, nine in ten took 21 sums at most.
@@ -183,7 +186,7 @@ def fit_rates(members: DataFrame, targets: Mapping[str, float] = TARGETS, budget
     tokens = F.col("tokens")
     pairs = [(i, j) for i in range(len(names)) for j in range(i, len(names))]
     zero = F.lit(0.0)
-    cells = stage(members.groupBy(*(f"p_{d}" for d in names)).agg(F.sum("tokens").alias("tokens")), "cells")
+    cells = stage(members.groupBy(*(f"p_{d}" for d in names)).agg(F.sum("tokens").alias("tokens")), "cells", CELL_FILES)
     whole = float(sum(targets.values())) or 1.0
     total = float(cells.agg(F.sum(tokens)).first()[0] or 0)
     if not total:
@@ -232,5 +235,7 @@ def mix(docs: DataFrame, labels: DataFrame, targets: Mapping[str, float] = TARGE
     ``doc_id`` and ``text`` are read, whatever other columns are named.
     """
     named = labels.select("doc_id", label_domain().alias("domain"))
-    members = stage(memberships(docs, named, tuple(targets)), "memberships")
+    # rows that are not read from files have no known size, and are planned as exabytes
+    files = min(max(docs.sparkSession.sparkContext.defaultParallelism, -(-planned_bytes(docs) // BYTES_PER_FILE)), 2**31 - 1)
+    members = stage(memberships(docs, named, tuple(targets)), "memberships", files)
     return fit_rates(members, targets, budget)

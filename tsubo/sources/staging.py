@@ -42,10 +42,13 @@ def new_path(spark: SparkSession, name: str) -> str:
     return f"{around}/data"
 
 
-def stage(df: DataFrame, name: str) -> DataFrame:
-    """Write ``df`` once and return the written table."""
+def stage(df: DataFrame, name: str, files: int | None = None) -> DataFrame:
+    """Write ``df`` once and return the written table.
+
+    ``files`` bounds the number of files, without a shuffle; for a result that is small in however many partitions it comes.
+    """
     path = new_path(df.sparkSession, name)
-    df.write.option("parquet.block.size", ROW_GROUP_BYTES).parquet(path)
+    (df if files is None else df.coalesce(files)).write.option("parquet.block.size", ROW_GROUP_BYTES).parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
