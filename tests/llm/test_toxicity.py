@@ -102,3 +102,16 @@ def test_held_out_labels_are_not_read(spark):
     wrong = [(i, 1 - i % 2) for i in range(200) if zlib.crc32(str(i).encode()) % 4 == 2]
     a, b = (sorted((r["doc_id"], r["score"]) for r in toxicity.assess(docs(spark, rows), labels(spark, m)).collect()) for m in (kept, kept + wrong))
     assert a == b
+
+
+def test_the_machine_does_not_depend_on_the_order_of_texts_and_tasks(spark):
+    pick = random.Random(3)
+    words = ["you", "idiot", "fine", "day", "rain", "stupid", "garden", "letter", "hate", "sun"]
+    rows = [(" ".join(pick.choice(words) for _ in range(12)), 0) for _ in range(300)]
+    rows = [(text, int("idiot" in text and "hate" in text)) for text, _ in rows]
+    found = []
+    for parts in (1, 3, 7):
+        pick.shuffle(rows)
+        made = toxicity.fit(spark.createDataFrame(rows, "text STRING, toxic INT").repartition(parts), steps=10)
+        found.append((made.bias, made.weights.tolist(), made.factors.tolist()))
+    assert len(found[0][1]) and found[0] == found[1] == found[2]

@@ -42,6 +42,9 @@ LEAST_RATIO = 12.0
 FACTORS = 8
 STEPS, RATE, PENALTY = 60, 0.15, 1e-4
 PARTS = 8
+# Gradients are added up as whole numbers of these units, so that sums do not depend on the order of texts and tasks
+# (while they stay below 2**53 of them).
+UNIT = 1 << 34
 THRESHOLD = 0.3
 
 _WORD = np.zeros(256, bool)
@@ -224,9 +227,10 @@ def fit(sample: DataFrame, steps: int = STEPS, rate: float = RATE, penalty: floa
                 row = np.repeat(np.arange(len(count)), count)
                 value, total = _margins(bias, weights, own, len(count), row, features)
                 miss = _sigmoid(value) - batch.column("toxic").to_numpy()
+                pull = np.rint(UNIT * miss[row][:, None] * (total[row] - own[features]))
+                miss = np.rint(UNIT * miss)
                 g0 += miss.sum()
                 g1 += np.bincount(features, miss[row], width)
-                pull = miss[row][:, None] * (total[row] - own[features])
                 for f in range(factors):
                     g2[:, f] += np.bincount(features, pull[:, f], width)
             yield pa.RecordBatch.from_arrays([pa.array([np.concatenate([[g0], g1, g2.ravel()]).tobytes()], pa.binary())], ["gradient"])
@@ -239,7 +243,7 @@ def fit(sample: DataFrame, steps: int = STEPS, rate: float = RATE, penalty: floa
     for step in range(1, steps + 1):
         work = gradient_of(float(x[0]), x[1 : width + 1].astype(np.float32), x[width + 1 :].reshape(width, factors).astype(np.float32))
         parts = encoded.mapInArrow(work, "gradient BINARY").collect()
-        g = sum(np.frombuffer(p["gradient"]) for p in parts) / n
+        g = sum(np.frombuffer(p["gradient"]) for p in parts) / UNIT / n
         g[1:] += penalty * x[1:]
         m, v = 0.9 * m + 0.1 * g, 0.99 * v + 0.01 * g * g
         x = x - rate * (1 - (step - 1) / steps) * (m / (1 - 0.9**step)) / (np.sqrt(v / (1 - 0.99**step)) + 1e-8)
