@@ -6,32 +6,37 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tsubo.llm import decontaminate, jaccard_join, mixing, quality, secrets_scan
-from tsubo.sources.staging import stage
+from tsubo.sources.staging import plain_reads, stage
 from tsubo.sources.tables import read_table
 
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the current policy keeps."""
+    plain_reads(spark)
     return quality.keep(docs)
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of similar ones: five-word shingles, Jaccard 0.8 (op7 alone has its own contract)."""
+    plain_reads(spark)
     return jaccard_join.one_per_class(docs, percent=80, width=5)
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that contain no benchmark item."""
+    plain_reads(spark)
     return decontaminate.clean_documents(docs, read_table(spark, sf_dir, "benchmark"))
 
 
 def secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """All documents, their secrets replaced; ``n_chars`` follows the text."""
+    plain_reads(spark)
     return secrets_scan.redact(docs).withColumn("n_chars", F.coalesce(F.length("text").cast("bigint"), F.col("n_chars")))
 
 
 def mixing_rates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Every document with its tokens, domain posteriors and rate."""
+    plain_reads(spark)
     return mixing.mix(docs, read_table(spark, sf_dir, "labels"))
 
 

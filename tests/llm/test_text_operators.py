@@ -6,10 +6,11 @@ import re
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 import corpus_pipeline
-from tsubo.llm import components, decontaminate, jaccard_join, language, mixing, private_terms, quality, quotes, repeats, secrets_scan, url_filter
+from tsubo.llm import byte_hash, components, decontaminate, jaccard_join, language, mixing, private_terms, quality, quotes, repeats, secrets_scan, url_filter
 from tsubo.sources.staging import stage
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
@@ -508,3 +509,30 @@ def test_links_between_messages(spark):
     assert (got[1, 2]["parent"], got[1, 2]["thread"], got[1, 2]["text"], got[1, 2]["n_linked"]) == (1, 0, "Thanks", 2)
     assert (got[1, 3]["parent"], got[1, 3]["thread"], got[1, 3]["n_quoted"]) == (None, 3, 1)
     assert got[2, 0]["parent"] is None and got[3, 0]["text"] == "" and got[4, None]["text"] == "y"
+
+
+def test_prefix_tokens_leave_in_slices():
+    """A batch of small prefixes, opened, is many times as large; it used to leave as one batch."""
+    sizes = [i % 90 for i in range(10_000)]
+    tokens = [np.arange(i, i + n, dtype=np.uint64) for i, n in enumerate(sizes)]
+    batch = pa.RecordBatch.from_arrays([pa.array(range(10_000)), pa.array(sizes), pa.array([t.tobytes() for t in tokens], pa.binary())], ["g", "n", "prefix"])
+    opened = list(jaccard_join._prefix_tokens(iter([batch])))
+    assert max(b.num_rows for b in opened) <= 90 * 1000
+    got = pa.Table.from_batches(opened).to_pydict()
+    assert got["token"] == [int(x) for t in tokens for x in t]
+    assert got["g"] == [i for i, n in enumerate(sizes) for _ in range(n)]
+    assert got["place"] == [k for n in sizes for k in range(1, n + 1)]
+
+
+def test_power_tables_grow_with_their_use():
+    """Every Python worker keeps both tables: a short text made them 8 MB each."""
+    before = dict(byte_hash._powers)
+    try:
+        byte_hash._powers.update(up=np.ones(1, np.uint64), down=np.ones(1, np.uint64))
+        small = byte_hash.Hasher(np.arange(200, dtype=np.uint8)).windows(7)
+        assert all(len(t) <= 1 << 16 for t in byte_hash._powers.values())
+        large = byte_hash.Hasher(np.arange(300_000, dtype=np.uint64).astype(np.uint8)).windows(7)
+        assert all(300_000 < len(t) <= 1 << 19 for t in byte_hash._powers.values())
+        assert (large[: len(small)] == small).all()
+    finally:
+        byte_hash._powers.update(before)

@@ -1,4 +1,5 @@
 import pytest
+from pyspark.sql import functions as F
 
 from tsubo.plans import prepared
 from tsubo.sources import staging, tables
@@ -64,3 +65,27 @@ def test_prepared_tables_follow_their_input(spark, tmp_path):
     assert again.inputFiles() != first.inputFiles() and again.count() > first.count()
     prepared.forget(spark)
     assert prepared.standard(spark, str(tmp_path)).inputFiles() != again.inputFiles()
+
+
+def direct_bytes(spark):
+    """Memory of the JVM's direct buffers."""
+    jvm = spark.sparkContext._jvm
+    pools = jvm.java.lang.management.ManagementFactory.getPlatformMXBeans(jvm.java.lang.Class.forName("java.lang.management.BufferPoolMXBean"))
+    return sum(p.getMemoryUsed() for p in pools if p.getName() == "direct")
+
+
+def test_reading_leaves_no_buffers(spark, tmp_path):
+    """Vectored reads left one of 14 MB here, the size of the column chunk, and one more in every thread that met one."""
+    wide = spark.range(14 << 10).coalesce(1).select(F.concat_ws("", F.transform(F.sequence(F.lit(1), F.lit(16)), lambda i: F.sha2(F.concat_ws("-", "id", i), 256))).alias("text"))
+    written = staging.stage(wide, "wide")
+    wide.write.option("parquet.block.size", 64 << 20).parquet(str(tmp_path / "wide"))
+    before = direct_bytes(spark)
+    assert written.agg(F.sum(F.length("text"))).first()[0] == 14 << 20
+    assert direct_bytes(spark) - before < 4 << 20
+    setting = spark.conf.get(staging.VECTORED_READS, None)
+    try:
+        staging.plain_reads(spark)
+        assert spark.read.parquet(str(tmp_path / "wide")).agg(F.sum(F.length("text"))).first()[0] == 14 << 20
+        assert direct_bytes(spark) - before < 4 << 20
+    finally:
+        spark.conf.unset(staging.VECTORED_READS) if setting is None else spark.conf.set(staging.VECTORED_READS, setting)

@@ -21,7 +21,7 @@ def _power_table(which: str, n: int) -> np.ndarray:
     table = _powers[which]
     if len(table) <= n:
         base = _MULTIPLIER if which == "up" else _INVERSE
-        table = np.full(max(n + 1, 1 << 20), base, np.uint64)
+        table = np.full(1 << max(n.bit_length(), 16), base, np.uint64)
         table[0] = 1
         np.multiply.accumulate(table, out=table)
         _powers[which] = table

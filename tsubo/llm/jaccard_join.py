@@ -118,18 +118,19 @@ def _prefixes(sets: DataFrame, ranks: np.ndarray, percent: int) -> DataFrame:
     return written
 
 
-def _open_prefixes(rows: DataFrame) -> DataFrame:
-    """``token, g, n, place``: one row per prefix token of ``rows`` (``g, n, prefix``), its place counted from 1."""
+def _prefix_tokens(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The tokens of batches of ``g, n, prefix``.  A token makes four numbers of it, so a batch leaves in slices."""
+    for batch in slices(parts):
+        tokens, begin = _opened(batch, "prefix")
+        lengths = np.diff(begin)
+        g, n = (np.repeat(batch.column(c).to_numpy(), lengths) for c in ("g", "n"))
+        place = np.arange(len(tokens)) - np.repeat(begin[:-1], lengths) + 1
+        yield pa.RecordBatch.from_arrays([pa.array(tokens.view(np.int64)), pa.array(g), pa.array(n), pa.array(place, pa.int64())], ["token", "g", "n", "place"])
 
-    def work(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in parts:
-            tokens, begin = _opened(batch, "prefix")
-            lengths = np.diff(begin)
-            g, n = (np.repeat(batch.column(c).to_numpy(), lengths) for c in ("g", "n"))
-            place = np.arange(len(tokens)) - np.repeat(begin[:-1], lengths) + 1
-            yield pa.RecordBatch.from_arrays([pa.array(tokens.view(np.int64)), pa.array(g), pa.array(n), pa.array(place, pa.int64())], ["token", "g", "n", "place"])
 
-    return rows.select("g", "n", "prefix").mapInArrow(work, "token BIGINT, g BIGINT, n BIGINT, place BIGINT")
+def _open_prefixes(rows: DataFrame) -> DataFrame:
+    """``token, g, n, place``: one row per prefix token of ``rows`` (``g, n, prefix``), its place counted from 1."""
+    return rows.select("g", "n", "prefix").mapInArrow(_prefix_tokens, "token BIGINT, g BIGINT, n BIGINT, place BIGINT")
 
 
 def _may_link(percent: int) -> Column:

@@ -12,7 +12,7 @@ from pyspark.sql import SparkSession
 from tsubo.llm.byte_hash import Hasher, buffers, chunks, mix
 
 # Hashing takes some 40 times the bytes of a chunk at its peak.
-CHUNK_BYTES = 1 << 19
+CHUNK_BYTES = 1 << 18
 # Rows of an Arrow batch that are worked on, and sent on, at once.
 ROWS_AT_ONCE = 1000
 # Bytes of an Arrow batch: a batch of 10,000 texts or token sets has tens of MB, several times over in JVM and worker.

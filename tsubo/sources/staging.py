@@ -17,6 +17,13 @@ from pyspark.sql import types as T
 
 # Writers hold a row group in memory and readers a column of one; stages are read whole, so small ones cost nothing.
 ROW_GROUP_BYTES = 16 << 20
+# Vectored reads fill heap buffers from threads that keep a direct buffer as large as the largest column chunk they ever read.
+VECTORED_READS = "parquet.hadoop.vectored.io.enabled"
+
+
+def plain_reads(spark: SparkSession) -> None:
+    """From here on, Parquet files of the session are read by the tasks themselves, which keep no buffers."""
+    spark.conf.set(VECTORED_READS, "false")
 
 
 def shared_folder(spark: SparkSession) -> str:
@@ -49,7 +56,7 @@ def stage(df: DataFrame, name: str, files: int | None = None) -> DataFrame:
     """
     path = new_path(df.sparkSession, name)
     (df if files is None else df.coalesce(files)).write.option("parquet.block.size", ROW_GROUP_BYTES).parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    return df.sparkSession.read.schema(df.schema).option(VECTORED_READS, "false").parquet(path)
 
 
 def discard(*stages: DataFrame) -> None:
