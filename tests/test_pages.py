@@ -212,3 +212,122 @@ def test_pages_made_of_dealt_rows_are_not_dealt_again(spark, tmp_path, name):
     spark.createDataFrame([(1, 1, 1, 1, 1.0, 9.0, 0.1, 0.1)], line).write.parquet(f"{tmp_path}/lineitem.parquet")
     plan = registry.QUERIES[name](spark, str(tmp_path))._jdf.queryExecution().optimizedPlan().toString()
     assert plan.count("Repartition") <= 1
+
+
+class Pages:
+    """A table of pages for ``pages._read`` without a session: its function over Arrow batches."""
+
+    def select(self, *columns):
+        return self
+
+    def mapInArrow(self, run, ddl):
+        return run
+
+
+def all_elements(url, root):
+    for e in root.page.elements[1:]:
+        below = [*page_text.elements(e, "a"), *page_text.elements(e, "a", "x")]
+        yield {"url": url, "place": e.place, "text": page_text.text(e), "href": e.get("href"), "css": e.get("class"), "below": [page_text.text(a) for a in below], "links": [{"h": a.get("href"), "x": a.get("x")} for a in below]}
+
+
+def read_rows(html, rows, schema, urls=None):
+    import pyarrow as pa
+
+    table = pa.table({"url": urls or [str(i) for i in range(len(html))], "html": pa.array(html, pa.string())})
+    found = pa.Table.from_batches(pages._read(Pages(), rows, schema, "", deal=False)(iter(table.slice(1).to_batches(700) + table.slice(0, 1).to_batches())), schema)
+    found.validate(full=True)
+    return sorted(found.to_pylist(), key=str)
+
+
+@pytest.mark.parametrize("seed", range(6))
+def test_pages_that_fit_a_form_read_the_same(monkeypatch, seed):
+    import random
+
+    import pyarrow as pa
+
+    text, links = pa.string(), pa.list_(pa.struct([("h", pa.string()), ("x", pa.string())]))
+    schema = pa.schema([("url", text), ("place", pa.int64()), ("text", text), ("href", text), ("css", text), ("below", pa.list_(text)), ("links", links)])
+    rng = random.Random(seed)
+    parts = [
+        "<div class='a b'>%t", "<div class=a id=%w>%t", "</div>%t", "<li>%t", "%t", "<a class=x href=\"%v\" x='%v'>%t", "<A x HREF='%v' href='%v' CLASS='x y'>%t", "<a href=%w>%t", "</a>%t",
+        "<img class='&amp;' src=\"%v\">", "<script x='%v'>%t</scriptx></SCRIPT >%t", "<script>", "<style>b</style>", "<!-- <li> -->", "<!-->", "<!--%t", "-->", "<!doctype %w>", "<rt>%t</rt>",
+        "<a class='%c' href='%v'>%t", "<td>%t", "<tr>%t", "<br/>%t", "<a x='", "</", "<a b\"x=\" href=\"%w\">%t", "<a 'href=' x='%v'>", "<p title=\"%v\" y>%t</p>",
+    ]
+    texts = ["", "", " ", "\u3000万\x1f", "a", "&", "&am", "p;", "&nbsp;b", "1 < 2", "<", ">", "x='", '"', "-->", "</a>", "é"]
+    values = ["", "/l/1", " 万 ", "&amp;", "a>b", "<li>", "'", '"', "é"]
+
+    def page(shape):
+        for name, choices in (("%t", texts), ("%v", values), ("%w", ["w", "1", "万"]), ("%c", ["x", "y", "x y", ""])):
+            while name in shape:
+                # most pages of a make have plain values
+                shape = shape.replace(name, rng.choice(choices) if rng.random() < 0.3 else rng.choice(choices[:4]), 1)
+        return shape
+
+    shapes = ["".join(rng.choices(parts, k=rng.randrange(6))) for _ in range(120)]
+    html = [page(rng.choice(shapes)) for _ in range(6000)] + [None, ""]
+    monkeypatch.setattr(pages, "FORMS_HELD", 0)
+    expected = read_rows(html, all_elements, schema)
+    for name, value in (("FORMS_HELD", 10_000), ("FORMS_TRIED", 10_000), ("FORM_PAGES", 2), ("ROWS_PER_BATCH", 50)):
+        monkeypatch.setattr(pages, name, value)
+    made = []
+    monkeypatch.setattr(pages, "_make", lambda *given, make=pages._make: made.append(make(*given)) or made[-1])
+    assert read_rows(html, all_elements, schema) == expected
+    assert sum(make is not None for make in made) > 50
+
+
+@pytest.mark.parametrize(
+    "page, other",
+    [
+        ('<a b"x=" href="w">t</a>', '<a b"x=">"w">t</a>'),
+        ("<p>a<!-->", "<p>a<!-->b"),
+        ("<p>a<!-- b", "<p>a<!-- b-->c"),
+        ("<p><script>x", "<p><script>xy"),
+        ("<p><script>x</script>a", "<p><script>xy</script>a"),
+        ("<p><script>x</script>a", "<p><script></script>x</script>a"),
+        ("<p><a class='x'>t</a>", "<p><a class='y'>t</a>"),
+        ("<p><a class=x href='1'>t</a>", "<p><a class=x href='1' class='y'>t</a>"),
+        ("<p><a href='1' class='x'>t</a>", "<p><a href='1' class='' class='x'>t</a>"),
+        ("<p><a href=1>t</a>", "<p><a href=2>t</a>"),
+        ("<p>1 < 2<b>", "<p>1 <i<b>"),
+        ("", "x"),
+    ],
+)
+def test_a_form_takes_no_page_of_another_tree(monkeypatch, page, other):
+    import pyarrow as pa
+
+    text, links = pa.string(), pa.list_(pa.struct([("h", pa.string()), ("x", pa.string())]))
+    schema = pa.schema([("url", text), ("place", pa.int64()), ("text", text), ("href", text), ("css", text), ("below", pa.list_(text)), ("links", links)])
+    monkeypatch.setattr(pages, "FORM_PAGES", 2)
+    for first, second in ((page, other), (other, page)):
+        html = [first] * 4 + [second] * 2
+        plain = [row for i, h in enumerate(html) for row in all_elements(str(i), page_text.read_page(h))]
+        assert read_rows(html, all_elements, schema) == sorted(plain, key=str)
+
+
+def test_most_pages_of_a_make_are_read_without_a_tree(monkeypatch):
+    read = []
+    monkeypatch.setattr(page_text.Reader, "read", lambda self, html, plain=page_text.Reader.read: read.append(html) or plain(self, html))
+    units = [UNIT.replace("/l/1", f"/l/{i}").replace("8.3", f"{i} &amp; {i}.3") for i in range(3000)]
+    html = [BUILDING.replace("UNITS", unit if i % 3 else unit + unit) for i, unit in enumerate(units)]
+    found = read_rows(html, pages._blocks, pages.BLOCK_TYPE)
+    assert len(read) == 2 * pages.FORM_PAGES
+    assert sorted(u["href"] for b in found for u in b["units"]) == sorted(f"/l/{i}" for i in range(3000) for _ in range(1 if i % 3 else 2))
+    assert {b["units"][0]["rent"] for b in found} == {f"{i} & {i}.3万円" for i in range(3000)}
+    assert {(b["title"], b["units"][0]["floor_plan"], b["units"][0]["cells"][2]) for b in found} == {("Building & T1", "ワンルーム", "2階")}
+
+
+def test_the_most_common_make_comes_to_be_tried(monkeypatch):
+    read = []
+    monkeypatch.setattr(page_text.Reader, "read", lambda self, html, plain=page_text.Reader.read: read.append(html) or plain(self, html))
+    rare = [f"<li>{i}" * n for n in range(1, 9) for i in range(pages.FORM_PAGES)]
+    read_rows(rare + [BUILDING.replace("UNITS", UNIT)] * 3000, pages._blocks, pages.BLOCK_TYPE)
+    assert len(read) < 8 * pages.FORM_PAGES + 2 * pages.FORM_PAGES
+
+
+def test_invalid_utf8_is_still_refused():
+    import pyarrow as pa
+
+    html = pa.array([b"<p>\xff</p>"], pa.binary()).view(pa.string())
+    batch = pa.RecordBatch.from_arrays([pa.array(["u"]), html], names=["url", "html"])
+    with pytest.raises((UnicodeDecodeError, pa.ArrowInvalid)):
+        list(pages._read(Pages(), pages._blocks, pages.BLOCK_TYPE, "", deal=False)(iter([batch])))

@@ -1,21 +1,26 @@
 """Listing pages to raw listing rows, page links and crawl completeness.
 
 Only opening the HTML runs in Python, in Arrow batches on the executors; it
-yields one row per building block.  Everything else is column expressions, and
-no step shuffles.
+yields one row per building block.  What is read from many pages of one make is
+looked up once, and their values are found by one expression and put into
+columns without rows in between.  Everything else is column expressions, and no
+step shuffles.
 """
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterator
-from itertools import accumulate, chain
+import re
+from collections.abc import Callable, Iterable, Iterator
+from itertools import accumulate, chain, islice, repeat
+from operator import itemgetter
 
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tsubo.functions import page_text, stations
-from tsubo.functions.page_text import Element
+from tsubo.functions.page_text import Element, Form, Gap
 from tsubo.sources.tables import spread
 
 # Element classes of the listing pages.
@@ -56,6 +61,10 @@ NEXT_TYPE = pa.schema([("url", pa.string()), ("href", pa.string())])
 NEXT_DDL = "url STRING, href STRING"
 
 ROWS_PER_BATCH = 2048
+# A make gets its form after so many of its pages, which take as long to read as the form to be made; a task holds so
+# many forms, and tries so many on a page, those that fitted most first.
+FORM_PAGES, FORMS_HELD, FORMS_TRIED = 64, 16, 4
+BLANKS = "".join(filter(str.isspace, map(chr, range(0x10000))))
 
 UNIT_COLUMNS = ["url", "rent", "management_fee", "deposit", "key_money", "floor", "floor_plan", "area"]
 RAW_COLUMNS = [
@@ -74,9 +83,99 @@ def _array(values: list, kind: pa.DataType) -> pa.Array:
     return pa.array(values, kind)
 
 
+_URL = object()  # stands for a page's address where a make's rows are looked up
+
+
+def _gaps(value: object) -> Iterator[Gap]:
+    if isinstance(value, Gap):
+        yield value
+    elif isinstance(value, dict | list):
+        for inner in value.values() if isinstance(value, dict) else value:
+            yield from _gaps(inner)
+
+
+class _Make:
+    """The rows that all pages of one form have; addresses and values of pages that fit it wait for their batch."""
+
+    def __init__(self, rows: list[dict], form: Form, schema: pa.Schema) -> None:
+        self.form, self.schema = form, schema
+        self.pages_per_batch = -(-ROWS_PER_BATCH // len(rows)) if rows else 0
+        self.urls: list[str | None] = []
+        self.values: list[tuple[bytes, ...]] = []
+        self.columns = [self._column([row[f.name] for row in rows], f.type) for f in schema]
+
+    def _column(self, values: list, kind: pa.DataType) -> tuple:
+        """How a column is put together: its type, the lengths of a page's lists or what the values are, and the parts or values."""
+        if pa.types.is_list(kind):
+            return kind, [*map(len, values)], self._column([*chain.from_iterable(values)], kind.value_type)
+        if pa.types.is_struct(kind):
+            return kind, None, [self._column([v[f.name] for v in values], f.type) for f in kind]
+        values = [self.form.fixed.get(v, v) if isinstance(v, Gap) else v for v in values]
+        what = {"url" for v in values if v is _URL} | {"text" if v.name is None else "attribute" for v in values if isinstance(v, Gap)}
+        if len(what) > 1:
+            raise TypeError(f"one column of {' and '.join(sorted(what))}")
+        return kind, what, [self.form.groups.get(v, v) if isinstance(v, Gap) else v for v in values]
+
+    def _of_each_page(self, value: object) -> Iterable:
+        """The addresses, the joined groups, or what is the same on every page."""
+        if value is _URL:
+            return self.urls
+        if isinstance(value, list):
+            found = map(itemgetter(*value), self.values) if value else repeat(b"", len(self.values))
+            return map(b"".join, found) if len(value) > 1 else found
+        return repeat(value, len(self.urls))
+
+    def _filled(self, kind: pa.DataType, what: object, parts: object) -> pa.Array:
+        if pa.types.is_list(kind):
+            offsets = pa.array([0, *accumulate(what * len(self.urls))], pa.int32())
+            return pa.ListArray.from_arrays(offsets, self._filled(*parts), type=kind)
+        if pa.types.is_struct(kind):
+            return pa.StructArray.from_arrays([self._filled(*part) for part in parts], fields=[*kind])
+        values = [*chain.from_iterable(zip(*map(self._of_each_page, parts), strict=True))]
+        if not what & {"text", "attribute"}:
+            return pa.array(values, kind)
+        texts = pa.array(values, pa.binary()).view(kind)
+        return pc.utf8_trim(texts, characters=BLANKS) if "text" in what else texts
+
+    def add(self, url: str | None, found: re.Match) -> bool:
+        """Keeps a page's address and values; whether there are enough for a batch."""
+        if not self.pages_per_batch:
+            return False
+        self.urls.append(url)
+        self.values.append(page_text.group_values(found))
+        return len(self.urls) >= self.pages_per_batch
+
+    def sent(self) -> pa.RecordBatch:
+        batch = pa.RecordBatch.from_arrays([self._filled(*column) for column in self.columns], schema=self.schema)
+        self.urls, self.values = [], []
+        return batch
+
+
+def _make(rows: Callable[[str, Element], Iterator[dict]], html: str, root: Element, schema: pa.Schema) -> _Make | None:
+    root.page.traced = True
+    found = [*rows(_URL, root)]
+    root.page.traced = False
+    form = page_text.form_of(html, root.page, [*_gaps(found)])
+    return form and _Make(found, form, schema)
+
+
+def _forward(makes: list[_Make], k: int) -> None:
+    if k:
+        makes[k - 1], makes[k] = makes[k], makes[k - 1]
+
+
+def _texts_of(column: pa.Array) -> tuple[pa.Buffer | bytes, list[int]]:
+    """The bytes of a text column, and where each value begins and the last one ends."""
+    _, offsets, data = column.buffers()
+    places = memoryview(offsets).cast("q" if pa.types.is_large_string(column.type) else "i")
+    return data or b"", places[column.offset : column.offset + len(column) + 1].tolist()
+
+
 def _read(pages: DataFrame, rows: Callable[[str, Element], Iterator[dict]], schema: pa.Schema, ddl: str, deal: bool = True) -> DataFrame:
     """Rows found on each page; a page with very many leaves in several batches.
 
+    ``rows`` passes addresses, texts and attributes on without looking into them, and has texts and attributes in
+    different columns: what it finds on one page is then found on all pages of the same tags.
     Pages from a small input are dealt out to all cores first, unless ``deal`` says that they already are.
     """
 
@@ -86,13 +185,37 @@ def _read(pages: DataFrame, rows: Callable[[str, Element], Iterator[dict]], sche
 
         ready: list[dict] = []
         reader = page_text.Reader()
+        makes: list[_Make] = []
         for batch in batches:
-            for url, html in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
-                for row in rows(url, reader.read(html.as_py())):
-                    ready.append(row)
-                    if len(ready) >= ROWS_PER_BATCH:
-                        yield sent()
-                        ready = []
+            if not batch.num_rows:
+                continue
+            column = batch.column(1)
+            column.validate(full=True)
+            data, places = _texts_of(column)
+            for i, url in enumerate(batch.column(0).to_pylist()):
+                for k, make in enumerate(islice(makes, FORMS_TRIED)):
+                    if found := make.form.match(data, places[i], places[i + 1]):
+                        _forward(makes, k)
+                        if make.add(url, found):
+                            yield make.sent()
+                        break
+                else:
+                    html = column[i].as_py() or ""
+                    root = reader.read(html)
+                    for row in rows(url, root):
+                        ready.append(row)
+                        if len(ready) >= ROWS_PER_BATCH:
+                            yield sent()
+                            ready = []
+                    if root.page.make:
+                        _forward(makes, makes.index(root.page.make))
+                    elif root.page.reads == FORM_PAGES and len(makes) < FORMS_HELD and (make := _make(rows, html, root, schema)):
+                        root.page.make = make
+                        makes.append(make)
+            # what waits is never more than an input batch holds
+            for make in makes:
+                if make.urls:
+                    yield make.sent()
         if ready:
             yield sent()
 
