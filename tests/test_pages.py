@@ -331,3 +331,13 @@ def test_invalid_utf8_is_still_refused():
     batch = pa.RecordBatch.from_arrays([pa.array(["u"]), html], names=["url", "html"])
     with pytest.raises((UnicodeDecodeError, pa.ArrowInvalid)):
         list(pages._read(Pages(), pages._blocks, pages.BLOCK_TYPE, "", deal=False)(iter([batch])))
+
+
+@pytest.mark.parametrize("strict", [True])
+def test_every_station_pattern_is_searched_for_once(spark, strict):
+    from tsubo.functions import stations
+
+    found = pages.extract_listings(page_table(spark, BUILDING.replace("UNITS", UNIT)), BASE, strict_stations=strict)
+    plan = found._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count(stations.STATION_NAME) == 1
+    assert plan.count(stations.WALK_MINUTES if strict else stations.DIGIT_RUN) == 1

@@ -34,15 +34,11 @@ def _mean(values: Column) -> Column:
     return F.try_divide(total, F.size(values).cast("double"))
 
 
-def summarize(blocks: Column, strict: bool = False) -> StationSummary:
-    """Joined text, nearest station, its minutes and the average minutes.
+def readings(blocks: Column, strict: bool = False) -> dict[str, Column]:
+    """What the patterns find in the blocks.
 
-    By default names and minutes are two separately filtered lists matched by
-    index, and the first digit run of a block counts as its minutes.  With
-    ``strict`` only blocks that state both count and stay paired.
+    The summary uses every reading several times: made columns first, they are searched for once.
     """
-    present = F.size(blocks) > 0
-    joined = F.when(present, F.array_join(blocks, ","))
     if strict:
         paired = F.filter(
             F.transform(
@@ -55,12 +51,28 @@ def summarize(blocks: Column, strict: bool = False) -> StationSummary:
             ),
             lambda s: s["minutes"].isNotNull() & s["name"].isNotNull(),
         )
-        nearest = F.array_min(paired)
+        return {"paired": paired}
+    return {}
+
+
+def summarize(blocks: Column, strict: bool = False, found: dict[str, Column] | None = None) -> StationSummary:
+    """Joined text, nearest station, its minutes and the average minutes.
+
+    By default names and minutes are two separately filtered lists matched by
+    index, and the first digit run of a block counts as its minutes.  With
+    ``strict`` only blocks that state both count and stay paired.  ``found`` are
+    the columns that ``readings`` were made.
+    """
+    present = F.size(blocks) > 0
+    joined = F.when(present, F.array_join(blocks, ","))
+    found = found or readings(blocks, strict)
+    if strict:
+        nearest = F.array_min(found["paired"])
         return StationSummary(
             joined,
             F.when(present, nearest["name"]),
             F.when(present, nearest["minutes"]),
-            F.when(present, _mean(F.transform(paired, lambda s: s["minutes"]))),
+            F.when(present, _mean(found["paired"]["minutes"])),
         )
     names = _first_matches(blocks, STATION_NAME)
     runs = _first_matches(blocks, DIGIT_RUN)

@@ -281,9 +281,11 @@ def absolute_url(href: Column, base_url: str) -> Column:
 def listings_from_blocks(blocks: DataFrame, base_url: str, strict_stations: bool = False, with_image: bool = False) -> DataFrame:
     """One raw listing per unit; a building without units gives no row."""
     image = ["img"] if with_image else []
-    station = stations.summarize(F.col("station_texts"), strict=strict_stations)
+    texts = F.col("station_texts")
+    readings = {f"station_{name}": column for name, column in stations.readings(texts, strict_stations).items()}
+    station = stations.summarize(texts, strict_stations, {name.removeprefix("station_"): F.col(name) for name in readings})
     # The building's own columns are made before its units are opened, once per building.
-    building = blocks.select(
+    building = blocks.withColumns(readings).select(
         *image,
         "title",
         "address",
