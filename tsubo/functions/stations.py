@@ -52,7 +52,11 @@ def readings(blocks: Column, strict: bool = False) -> dict[str, Column]:
             lambda s: s["minutes"].isNotNull() & s["name"].isNotNull(),
         )
         return {"paired": paired}
-    return {}
+    runs = F.transform(
+        _first_matches(blocks, DIGIT_RUN),
+        lambda d: F.named_struct(F.lit("text"), d, F.lit("minutes"), ascii_digits(d).try_cast("bigint")),
+    )
+    return {"names": _first_matches(blocks, STATION_NAME), "runs": runs}
 
 
 def summarize(blocks: Column, strict: bool = False, found: dict[str, Column] | None = None) -> StationSummary:
@@ -74,14 +78,12 @@ def summarize(blocks: Column, strict: bool = False, found: dict[str, Column] | N
             F.when(present, nearest["minutes"]),
             F.when(present, _mean(found["paired"]["minutes"])),
         )
-    names = _first_matches(blocks, STATION_NAME)
-    runs = _first_matches(blocks, DIGIT_RUN)
-    minutes = F.transform(runs, lambda d: ascii_digits(d).try_cast("bigint"))
-    least = F.array_min(minutes)
-    place = F.array_position(runs, least.cast("string")).cast("int")
+    names, runs = found["names"], found["runs"]
+    least = F.array_min(runs["minutes"])
+    place = F.array_position(runs["text"], least.cast("string")).cast("int")
     return StationSummary(
         joined,
         F.when(present, F.get(names, place - 1)),
         F.when(present, least),
-        F.when(present, _mean(minutes)),
+        F.when(present, _mean(runs["minutes"])),
     )
